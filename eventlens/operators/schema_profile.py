@@ -39,45 +39,46 @@ def type_name(v: Column) -> Column:
     )
 
 
-_ENTRY_ARRAY = "array<struct<path:string,type:string,v:variant,expand:boolean>>"
+_DONE = "array<struct<path:string,type:string>>"
+_FRONT = "array<struct<path:string,v:variant>>"
 
 
-def _entry(path: Column, v: Column, expand: Column) -> Column:
-    return F.struct(path.alias("path"), type_name(v).alias("type"), v.alias("v"), expand.alias("expand"))
+def _children(path: Column | None, v: Column) -> Column:
+    """Child entries of one value: the fields of an object (``a.b``), or the
+    first element of a non-empty array (``a[]``); empty for scalars."""
+    fields = F.map_entries(F.try_variant_get(v, "$", "map<string, variant>"))
+    name = (lambda k: k) if path is None else (lambda k: F.concat(path, F.lit("."), k))
+    obj = F.transform(fields, lambda e: F.struct(name(e["key"]).alias("path"), e["value"].alias("v")))
+    if path is None:
+        return obj
+    first = F.try_variant_get(v, "$[0]", "variant")
+    arr = F.when(first.isNotNull(), F.array(F.struct(F.concat(path, F.lit("[]")).alias("path"), first.alias("v"))))
+    return F.coalesce(obj, arr, F.array().cast(_FRONT))
+
+
+def _typed(frontier: Column) -> Column:
+    return F.transform(frontier, lambda e: F.struct(e["path"].alias("path"), type_name(e["v"]).alias("type")))
 
 
 def field_entries(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
     """(path, type) of every field of every parsable object line, down to
-    ``max_depth`` levels, as ONE chain of narrow Generates (one scan).
+    ``max_depth`` levels, in one scan and one final Generate.
 
-    A row is an entry; each step replaces every not-yet-expanded entry by
-    itself (now expanded, variant dropped) plus its children: the fields of
-    an object (``a.b``) or the first element of a non-empty array (``a[]``)."""
+    Each record carries two arrays: ``done`` (typed entries) and
+    ``frontier`` (entries whose children are not expanded yet).  A step is
+    one Project of higher-order functions: the frontier is typed and moved to
+    ``done``, and replaced by its children (fields of objects, first element
+    of arrays).  Work per step is proportional to the frontier only."""
     v = F.try_parse_json(F.col(line_col))
-    roots = lines.select(v.alias("v")).where(
+    df = lines.select(v.alias("v")).where(
         F.col("v").isNotNull() & F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
-    )
-
-    def children(prefix: Column | None, val: Column) -> Column:
-        fields = F.map_entries(F.try_variant_get(val, "$", "map<string, variant>"))
-        sep = (lambda k: k) if prefix is None else (lambda k: F.concat(prefix, F.lit("."), k))
-        obj = F.transform(fields, lambda e: _entry(sep(e["key"]), e["value"], F.lit(True)))
-        if prefix is None:
-            return obj
-        first = F.try_variant_get(val, "$[0]", "variant")
-        arr = F.when(first.isNotNull(), F.array(_entry(F.concat(prefix, F.lit("[]")), first, F.lit(True))))
-        return F.coalesce(obj, arr, F.array().cast(_ENTRY_ARRAY))
-
-    df = roots.select(F.inline(children(None, F.col("v"))))
+    ).select(F.array().cast(_DONE).alias("done"), _children(None, F.col("v")).alias("frontier"))
     for _ in range(max_depth - 1):
-        done = F.array(
-            F.struct(F.col("path"), F.col("type"), F.lit(None).cast("variant").alias("v"), F.lit(False).alias("expand"))
-        )
-        step = F.when(F.col("expand"), F.concat(done, children(F.col("path"), F.col("v")))).otherwise(
-            F.array(F.struct("path", "type", "v", "expand"))
+        df = df.select(
+            F.concat("done", _typed(F.col("frontier"))).alias("done"),
+            F.flatten(F.transform("frontier", lambda e: _children(e["path"], e["v"]))).alias("frontier"),
         )
-        df = df.select(F.inline(step))
-    return df.select("path", "type")
+    return df.select(F.inline(F.concat("done", _typed(F.col("frontier")))))
 
 
 def schema_profile(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:

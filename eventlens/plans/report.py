@@ -33,7 +33,17 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_long(silver: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
     """Every ranking in one long table (metric, rank, name, count)."""
-    return top_k_per_metric(A.report_metrics(silver), limits or TOP_K)
+    return report_from_metrics(A.report_metrics(silver), limits)
+
+
+def report_from_metrics(metrics: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    return top_k_per_metric(metrics, limits or TOP_K)
+
+
+def records_from_metrics(metrics: DataFrame) -> DataFrame:
+    """Valid records = total of the event-type counts (each record has
+    exactly one type).  Shares the report's aggregation exchange."""
+    return metrics.where(F.col("kind") == "type").agg(F.sum("count").cast("bigint").alias("records"))
 
 
 # Stand-alone rankings (A1-A7 with T2/T3), each (rank, name, count).

@@ -69,3 +69,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/eventlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back.  Used when several consumers need the same expensive input (the
+    parsed, normalized events): JSON is parsed once instead of once per
+    consumer, readers get column pruning and pushdown, and recovery after an
+    executor loss re-reads files instead of re-running the lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
