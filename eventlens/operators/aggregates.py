@@ -107,17 +107,14 @@ def metrics_long(silver: DataFrame) -> DataFrame:
     )
 
 
-def report_metrics(silver: DataFrame) -> DataFrame:
-    """The report's one-pass aggregate: (kind, name, count) for the seven
-    ranking kinds repo, push, commits, user, lang, type, hour.
+def report_aggregate(silver: DataFrame) -> DataFrame:
+    """The report's one aggregation: (kind, name) -> n, p (pushes), c
+    (commits) for kinds repo, user, type, lang, hour.
 
     Each event emits at most five rows -- (repo, with its push flag and commit
-    count), user, type, language, hour -- and ONE aggregation (map-side
-    partial, one shuffle) reduces them per (kind, name).  Push and commit
-    totals ride on the repo row, so they cost no extra emission.  The final
-    rows leave through a generator (repo -> repo, push, commits), which also
-    stops later per-metric filters from being pushed into the aggregation, so
-    every consumer shares one scan and one shuffle."""
+    count), user, type, language, hour -- reduced by ONE aggregation (map-side
+    partial, one shuffle).  Push and commit totals ride on the repo row, so
+    they cost no extra emission.  Also valid on a stream (stateful)."""
     one = F.lit(1).cast("bigint")
     nul = F.lit(None).cast("bigint")
     push = F.col("type") == F.lit(PUSH)
@@ -135,10 +132,18 @@ def report_metrics(silver: DataFrame) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     )
-    agg = silver.select(F.inline(arr)).groupBy("kind", "name").agg(
+    return silver.select(F.inline(arr)).groupBy("kind", "name").agg(
         F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("c").alias("c")
     )
 
+
+def expand_report_aggregate(agg: DataFrame) -> DataFrame:
+    """(kind, name, n, p, c) -> (kind, name, count) for the seven ranking
+    kinds: a repo row yields repo, push and commits rows.  The rows leave
+    through a generator, which also keeps later per-metric filters from being
+    pushed into the aggregation, so every consumer shares one scan and one
+    shuffle."""
+
     def out(kind, cnt):
         return F.struct(kind.alias("kind"), cnt.cast("bigint").alias("count"))
 
@@ -157,6 +162,12 @@ def report_metrics(silver: DataFrame) -> DataFrame:
     return agg.select("name", F.inline(rows)).select("kind", "name", "count")
 
 
+def report_metrics(silver: DataFrame) -> DataFrame:
+    """The report's one-pass aggregate: (kind, name, count) for the seven
+    ranking kinds repo, push, commits, user, lang, type, hour."""
+    return expand_report_aggregate(report_aggregate(silver))
+
+
 def run_counters(parsed: DataFrame) -> DataFrame:
     """Records (valid), malformed, emissions and distinct keys.
 

@@ -55,6 +55,24 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
     return normalize(_valid(spark, sf))
 
 
+# ---------------------------------------------------------------- streaming
+def hourly_stream_report(spark, sf):
+    """The report maintained by a file stream over hourly gzip dumps (one
+    file per hour, eight hours per micro-batch, so state carries across
+    three batches); returns the report the sink holds at the end."""
+    from eventlens.streaming.hourly import start_report_stream
+
+    src = scratch_path(spark, "stream-src")
+    hourly = adapter.event_lines_with_hour(spark, sf).select("value", "hour").repartition("hour")
+    publish(hourly, src, "text", partition_by=["hour"], compression="gzip")
+    sink = scratch_path(spark, "stream-sink")
+    q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=8)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink)
+
+
 # ---------------------------------------------------------------- sources
 def scan_inferred(spark, sf):
     """NDJSON written to the lake, read back with an inferred schema."""
@@ -409,6 +427,6 @@ QUERIES: dict[str, Query] = {
         repo_type_counts, repo_type_rollup, repo_type_matrix_top15, metrics_long, run_counters,
         schema_inferred, schema_profile,
         all_push_repos, all_users, keyvalue_sorted, events_by_time, leader_headline,
-        ranking_agreement, ranking_fallback,
+        ranking_agreement, ranking_fallback, hourly_stream_report,
     ]
 }

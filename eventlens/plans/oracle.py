@@ -206,6 +206,7 @@ UNION ALL SELECT 'payload', CAST(count_if(event_type = 'view' AND event_id % 2 =
     "json_sink_roundtrip": BASE + "\n" + _ranking(C_PUSH, TOP_K["push"]),
     "text_sink_roundtrip": BASE + "\nSELECT key, kind, name, event_type, value FROM ml",
     "report_long": BASE + REPORT + "\nSELECT * FROM rep",
+    "hourly_stream_report": BASE + REPORT + "\nSELECT * FROM rep",
     "ndjson_roundtrip": BASE + """
 SELECT type, CAST(count(*) AS BIGINT) AS events, CAST(sum(commits) AS BIGINT) AS commits FROM s GROUP BY type""",
     "synthetic_events": BASE + _synthetic_sql() + """
