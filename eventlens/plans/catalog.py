@@ -107,7 +107,7 @@ def hourly_gzip_ingest(spark, sf):
     """Hourly gzip layout, hour taken from the file path."""
     path = scratch_path(spark, "hourly")
     publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
-    parsed = parse_events(adapter.spread(read_hourly(spark, path, HOUR_PARTITION, 1)), keep=["source_hour"])
+    parsed = parse_events(adapter.spread(read_hourly(spark, path, HOUR_PARTITION, 1), ["value"]), keep=["source_hour"])
     return parsed.groupBy("source_hour").agg(
         F.count("*").alias("lines"), F.count_if("valid").cast("bigint").alias("valid_events")
     )
@@ -163,7 +163,7 @@ def ndjson_roundtrip(spark, sf):
 
 
 def _synthetic_silver(spark, sf):
-    rows = adapter.spread(adapter.read_events(spark, sf).select("event_id"))
+    rows = adapter.spread(adapter.read_events(spark, sf).select("event_id"), ["event_id"])
     return normalize(valid_events(generate_events(rows)))
 
 

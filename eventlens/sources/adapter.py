@@ -26,14 +26,16 @@ BROKEN_LINE = '{"id":"broken"'
 # --- end fixed values ---
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Parsing JSON is CPU-heavy and row-local.  When a scan yields fewer
     partitions than the cluster has cores (a few large row groups, or a few
     gzip files), hash-spread the rows first; on a large input the scan
-    already has thousands of splits and this is a no-op."""
+    already has thousands of splits and this is a no-op.  Rows are placed by
+    a hash of their own columns, so a recomputed task after an executor loss
+    sends every row to the same partition again."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *(keys or df.columns))
     return df
 
 
@@ -118,20 +120,20 @@ def splice_payload(envelope: Column, payload: Column) -> Column:
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NDJSON line per ``events`` row, column ``value`` (like ``read.text``)."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"))
+    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
     return fixture_columns(ev).select("value")
 
 
 def event_lines_with_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines plus the UTC hour (``HH``) of the source event, for hourly layouts."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"))
+    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
     return fixture_columns(ev).select("value", F.date_format("ts", "HH").alias("hour"), F.to_date("ts").alias("day"))
 
 
 def event_lines_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines where every 13th event is followed by a whitespace-only line and
     every 17th line carries surrounding spaces (exercises strip + skip)."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"))
+    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
     fx = fixture_columns(ev)
     line = F.when(F.col("event_id") % 17 == 0, F.concat(F.lit("  "), "value", F.lit(" \t"))).otherwise(F.col("value"))
     arr = F.when(F.col("event_id") % 13 == 0, F.array(line, F.lit("   "))).otherwise(F.array(line))
