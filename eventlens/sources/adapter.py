@@ -29,14 +29,18 @@ BROKEN_LINE = '{"id":"broken"'
 def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Parsing JSON is CPU-heavy and row-local.  When a scan yields fewer
     partitions than the cluster has cores (a few large row groups, or a few
-    gzip files), hash-spread the rows first; on a large input the scan
-    already has thousands of splits and this is a no-op.  Rows are placed by
-    a hash of their own columns, so a recomputed task after an executor loss
-    sends every row to the same partition again."""
+    gzip files), spread the rows first; on a large input the scan already has
+    thousands of splits and this is a no-op.
+
+    With ``keys`` (unique per row, e.g. an event id) rows are hash-placed;
+    without, round-robin, which stays balanced even when many rows are
+    identical (a hash of the content would put all copies in one task).
+    Both are deterministic under task retries (Spark sorts before a
+    round-robin repartition), so a recomputed partition gets the same rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *(keys or df.columns))
-    return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

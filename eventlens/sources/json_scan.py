@@ -51,11 +51,17 @@ def quarantine(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return parse_events(lines, line_col).where(~F.col("valid")).select("line", "reason")
 
 
-def read_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``spark.read.json`` with an inferred nested schema (discovery only;
-    costs a full extra pass).  Malformed lines come back as rows with only
-    ``_corrupt_record`` set."""
-    return spark.read.option("columnNameOfCorruptRecord", CORRUPT_COL).json(path)
+def read_inferred(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0) -> DataFrame:
+    """``spark.read.json`` with an inferred nested schema.  Inference is
+    a distributed pass of its own over the input (``sampling_ratio`` < 1
+    reads a fraction of the lines for it; the data pass still reads all).
+    Malformed lines come back as rows with only ``_corrupt_record`` set.
+    For production runs prefer ``read_declared``: no inference pass."""
+    return (
+        spark.read.option("columnNameOfCorruptRecord", CORRUPT_COL)
+        .option("samplingRatio", str(sampling_ratio))
+        .json(path)
+    )
 
 
 def read_declared(spark: SparkSession, path: str | list[str]) -> DataFrame:
