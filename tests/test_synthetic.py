@@ -1,0 +1,44 @@
+"""Synthetic source (S13) and weighted picks."""
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from eventlens.operators.normalize import normalize
+from eventlens.sources.json_scan import parse_events
+from eventlens.sources.synthetic import EVENT_TYPES, generate_events, pick_index, zipf_thresholds
+
+
+def test_deterministic_and_valid(spark):
+    rows = spark.range(0, 2000, numPartitions=4).withColumnRenamed("id", "event_id")
+    a = {r["id"]: r["value"] for r in generate_events(rows).collect()}
+    b = {r["id"]: r["value"] for r in generate_events(rows.repartition(3)).collect()}
+    assert a == b and len(a) == 2000
+    parsed = parse_events(generate_events(rows))
+    assert parsed.where("not valid").count() == 0
+
+
+def test_type_weights(spark):
+    rows = spark.range(0, 20000, numPartitions=4).withColumnRenamed("id", "event_id")
+    silver = normalize(parse_events(generate_events(rows)).where("valid"))
+    got = Counter({r["type"]: r["count"] for r in silver.groupBy("type").count().collect()})
+    for name, w in EVENT_TYPES:
+        assert abs(got[name] / 20000 - w) < 0.02, (name, got[name])
+    # every push has 1..6 commits and size == len(commits)
+    c = silver.where("type = 'PushEvent'").agg(F.min("commits"), F.max("commits")).collect()[0]
+    assert (c[0], c[1]) == (1, 6)
+
+
+def test_pick_index_matches_linear_scan(spark):
+    th = zipf_thresholds(30, 0.85)
+    us = [0, 1, th[0] - 1, th[0], th[5], th[-2] - 1, th[-2], (1 << 32) - 1] + [i * 99991 * 7919 % (1 << 32) for i in range(200)]
+    df = spark.createDataFrame([(u,) for u in us], "u bigint")
+    got = [r["i"] for r in df.select(pick_index(F.col("u"), th).alias("i")).collect()]
+    want = [next(i for i, t in enumerate(th) if u < t) for u in us]
+    assert got == want
+
+
+def test_sorted_option(spark):
+    rows = spark.range(0, 500, numPartitions=4).withColumnRenamed("id", "event_id")
+    got = [r["created_at"] for r in generate_events(rows, sort=True).collect()]
+    assert got == sorted(got)
