@@ -39,7 +39,7 @@ def type_name(v: Column) -> Column:
     )
 
 
-_DONE = "array<struct<path:string,type:string>>"
+_DONE = "array<struct<path:string,type:string,elem:boolean>>"
 _FRONT = "array<struct<path:string,v:variant>>"
 
 
@@ -57,7 +57,16 @@ def _children(path: Column | None, v: Column) -> Column:
 
 
 def _typed(frontier: Column) -> Column:
-    return F.transform(frontier, lambda e: F.struct(e["path"].alias("path"), type_name(e["v"]).alias("type")))
+    # elem: for arrays, whether a first element exists (NULL for non-arrays)
+    return F.transform(
+        frontier,
+        lambda e: F.struct(
+            e["path"].alias("path"),
+            type_name(e["v"]).alias("type"),
+            F.when(F.startswith(F.schema_of_variant(e["v"]), F.lit("ARRAY")),
+                   F.try_variant_get(e["v"], "$[0]", "variant").isNotNull()).alias("elem"),
+        ),
+    )
 
 
 def field_entries(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
@@ -81,26 +90,42 @@ def field_entries(lines: DataFrame, line_col: str = "value", max_depth: int = 12
     return df.select(F.inline(F.concat("done", _typed(F.col("frontier")))))
 
 
-def schema_profile(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
-    """(path, types_seen, present_rows).  ``types_seen`` is the sorted,
-    comma-joined set of type names at that path; a path occurs at most once
-    per record, so ``present_rows`` is a plain (partial-aggregated) count."""
+def _profile(lines: DataFrame, line_col: str, max_depth: int) -> DataFrame:
     return (
         field_entries(lines, line_col, max_depth)
         .groupBy("path")
         .agg(
             F.concat_ws(",", F.array_sort(F.collect_set("type"))).alias("types_seen"),
             F.count("*").alias("present_rows"),
+            F.bool_or("elem").alias("has_elements"),
         )
     )
 
 
-def schema_field_count(profile: DataFrame) -> DataFrame:
-    """A14 summary: named fields, leaves, and the compatible score where a
-    struct counts its fields plus their scores and an array 1 + its element
-    (so every leaf scores twice under a struct)."""
-    is_leaf = ~F.col("types_seen").isin("struct", "array")
-    return profile.agg(
-        F.count("*").alias("fields"),
-        F.count_if(is_leaf).alias("leaves"),
+def schema_profile(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
+    """(path, types_seen, present_rows).  ``types_seen`` is the sorted,
+    comma-joined set of type names at that path; a path occurs at most once
+    per record, so ``present_rows`` is a plain (partial-aggregated) count."""
+    return _profile(lines, line_col, max_depth).select("path", "types_seen", "present_rows")
+
+
+def schema_field_count(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
+    """A14 summary: named fields, leaves, and the compatible field score,
+    where a struct scores its number of fields plus their scores, an array 1
+    plus its element, a leaf 1 (so a leaf under a struct scores twice).  Over
+    paths that is: +1 per named field, +1 per leaf node (a named leaf or an
+    array element), +1 per array node, and +1 for an array whose element is
+    never seen (its element type is null).  One scan: the profile
+    aggregation also records whether each array ever had an element."""
+    prof = _profile(lines, line_col, max_depth)
+    is_elem = F.endswith("path", F.lit("[]"))
+    kinds = F.split("types_seen", ",")
+    is_array = F.array_contains(kinds, "array")
+    is_leaf = ~is_array & ~F.array_contains(kinds, "struct")
+    empty_array = is_array & ~F.coalesce(F.col("has_elements"), F.lit(False))
+    return prof.agg(
+        F.count_if(~is_elem).cast("bigint").alias("fields"),
+        F.count_if(is_leaf).cast("bigint").alias("leaves"),
+        (F.count_if(~is_elem) + F.count_if(is_leaf) + F.count_if(is_array) + F.count_if(empty_array))
+        .cast("bigint").alias("score"),
     )

@@ -340,6 +340,13 @@ def schema_profile(spark, sf):
     return profile_op(_parsed(spark, sf).where("valid").select(F.col("line").alias("value")))
 
 
+def schema_field_count(spark, sf):
+    """A14 summary: fields, leaves and the compatible field score."""
+    from eventlens.operators.schema_profile import schema_field_count as count_op
+
+    return count_op(_parsed(spark, sf).where("valid").select(F.col("line").alias("value")))
+
+
 # -------------------------------------------------------------- ranking
 def all_push_repos(spark, sf):
     """T1."""
@@ -425,7 +432,7 @@ QUERIES: dict[str, Query] = {
         commit_volume_size_only, ranking_with_blank_names, emissions,
         top_repos, top_push_repos, top_commit_repos, top_users, languages, event_types, events_by_hour,
         repo_type_counts, repo_type_rollup, repo_type_matrix_top15, metrics_long, run_counters,
-        schema_inferred, schema_profile,
+        schema_inferred, schema_profile, schema_field_count,
         all_push_repos, all_users, keyvalue_sorted, events_by_time, leader_headline,
         ranking_agreement, ranking_fallback, hourly_stream_report,
     ]

@@ -285,6 +285,16 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM s) AS records,
     "schema_profile": BASE + PROFILE_ENTRIES + """
 SELECT path, array_to_string(list_sort(list(DISTINCT t)), ',') AS types_seen, CAST(count(*) AS BIGINT) AS present_rows
 FROM pe GROUP BY path""",
+    "schema_field_count": BASE + PROFILE_ENTRIES + """
+, prof AS (SELECT path, list_sort(list(DISTINCT t)) AS ts FROM pe GROUP BY path)
+SELECT CAST(count_if(NOT ends_with(path, '[]')) AS BIGINT) AS fields,
+       CAST(count_if(NOT list_contains(ts, 'struct') AND NOT list_contains(ts, 'array')) AS BIGINT) AS leaves,
+       CAST(count_if(NOT ends_with(path, '[]'))
+            + count_if(NOT list_contains(ts, 'struct') AND NOT list_contains(ts, 'array'))
+            + count_if(list_contains(ts, 'array'))
+            + count_if(list_contains(ts, 'array') AND NOT EXISTS (SELECT 1 FROM prof q WHERE q.path = prof.path || '[]'))
+            AS BIGINT) AS score
+FROM prof""",
     "all_push_repos": BASE + "\n" + _ranking(C_PUSH, None),
     "all_users": BASE + "\n" + _ranking(C_USER, None),
     "keyvalue_sorted": BASE + """

@@ -88,3 +88,39 @@ def test_bad_lines_never_reach_metrics(spark):
     c = run_counters(parse_events(strip_lines(lines_df(spark, lines)))).collect()[0]
     assert c["records"] == len(GOOD)
     assert c["malformed"] == len(BAD)
+
+
+def test_schema_score_matches_recursive_rule(spark):
+    """The path-based score equals the recursive struct/array/leaf count."""
+    import json
+
+    from eventlens.operators.schema_profile import schema_field_count
+
+    recs = ['{"a":1,"b":{"c":"x","d":[1,2]},"e":[],"f":[{"g":true}]}', '{"a":2,"h":null}']
+
+    def tree(v):
+        if isinstance(v, dict):
+            return {"t": "struct", "f": {k: tree(x) for k, x in v.items()}}
+        if isinstance(v, list):
+            return {"t": "array", "e": tree(v[0]) if v else "null"}
+        return "leaf"
+
+    def merge(a, b):
+        if a is None:
+            return b
+        if isinstance(a, dict) and isinstance(b, dict) and a["t"] == b["t"] == "struct":
+            return {"t": "struct", "f": {k: merge(a["f"].get(k), b["f"].get(k)) for k in set(a["f"]) | set(b["f"])}}
+        return a if b is None else a
+
+    def score(t):
+        if isinstance(t, dict) and t["t"] == "struct":
+            return len(t["f"]) + sum(score(x) for x in t["f"].values())
+        if isinstance(t, dict) and t["t"] == "array":
+            return 1 + score(t["e"])
+        return 1
+
+    merged = None
+    for r in recs:
+        merged = merge(merged, tree(json.loads(r)))
+    got = schema_field_count(lines_df(spark, recs)).collect()[0]
+    assert got["score"] == score(merged)
