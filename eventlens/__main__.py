@@ -74,7 +74,9 @@ def main(argv: list[str] | None = None) -> None:
         out.select("value").write.mode("overwrite").text(args.output)
         return
 
-    lines = read_lines(spark, _paths(args))
+    from eventlens.sources.adapter import spread
+
+    lines = spread(read_lines(spark, _paths(args)))  # few gzip files -> more parse tasks
     parsed = parse_events(lines)
     silver = normalize(parsed.where("valid"))
 
