@@ -103,6 +103,19 @@ def first_n_events(spark, sf):
     return top.select(F.row_number().over(w).cast("bigint").alias("rank"), "id", "created_at", "type")
 
 
+def first_n_lines(spark, sf):
+    """S4, file-order form: the first 20 non-blank lines of a dump whose
+    files are in event-id order (range-partitioned write), as (rank, valid,
+    id)."""
+    from eventlens.sources.lines import first_lines
+
+    path = scratch_path(spark, "ordered")
+    ev = adapter.read_events(spark, sf).select("event_id", "ts", "user_id", "event_type", "props")
+    adapter.fixture_columns(ev).orderBy("event_id").select("value").write.text(path)
+    head = parse_events(first_lines(spark, path, 20), keep=["line_no"])
+    return head.select(F.col("line_no").alias("rank"), "valid", F.when(F.col("valid"), F.col("id")).alias("id"))
+
+
 def hourly_gzip_ingest(spark, sf):
     """Hourly gzip layout, hour taken from the file path."""
     path = scratch_path(spark, "hourly")
@@ -424,7 +437,7 @@ def ranking_fallback(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
-        scan_inferred, scan_lines, malformed_lines, first_n_events, hourly_gzip_ingest, required_fields,
+        scan_inferred, scan_lines, malformed_lines, first_n_events, first_n_lines, hourly_gzip_ingest, required_fields,
         publish_roundtrip, volume_gate, json_sink_roundtrip, text_sink_roundtrip, report_long, ndjson_roundtrip,
         synthetic_events, weighted_pick, dataset_summary,
         push_events, language_events, nested_paths, path_coverage, preview,

@@ -192,6 +192,10 @@ FROM ev GROUP BY 1""",
     "malformed_lines": BASE + "\nSELECT 'invalid_json' AS reason, CAST(count(*) AS BIGINT) AS lines FROM ev WHERE NOT valid GROUP BY 1",
     "first_n_events": BASE + """
 SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY created_at, id) AS BIGINT) AS rank, id, created_at, type FROM s) x
+WHERE rank <= 20""",
+    "first_n_lines": BASE + """
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) AS rank, valid,
+                      CASE WHEN valid THEN id END AS id FROM ev) x
 WHERE rank <= 20""",
     "hourly_gzip_ingest": BASE + """
 SELECT strftime(ts, '%H') AS source_hour, CAST(count(*) AS BIGINT) AS lines, CAST(count_if(valid) AS BIGINT) AS valid_events

@@ -30,6 +30,31 @@ def first_n(events: DataFrame, n: int, order: list[str] | None = None) -> DataFr
     return events.orderBy(*(order or ["created_at", "id"])).limit(n)
 
 
+def first_lines(spark: SparkSession, path: str | list[str], n: int) -> DataFrame:
+    """S4, file-order form: the first ``n`` non-blank lines (with their
+    1-based ``line_no``) of the input as a
+    reader going file by file would see them (hourly dump names
+    ``{day}-{h}.json.gz`` are taken in day, then numeric hour order; other
+    files by path).  Within a file, lines keep their order through (split
+    start, position in the split); a file split is read by one task in
+    order, so the key is stable across retries.  ``orderBy().limit(n)``
+    plans as TakeOrderedAndProject: each task keeps its first n."""
+    df = spark.read.text(path).select(
+        strip("value").alias("value"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    day = F.regexp_extract("source_file", HOURLY_NAME, 1)
+    hour = F.regexp_extract("source_file", HOURLY_NAME, 2)
+    df = df.select("*", day.alias("_day"), F.when(hour != "", hour.cast("int")).otherwise(F.lit(-1)).alias("_hour"))
+    key = ["_day", "_hour", "source_file", "_block", "_pos"]
+    from pyspark.sql import Window
+
+    head = df.where(F.length("value") > 0).orderBy(*key).limit(n)
+    return head.select(F.row_number().over(Window.orderBy(*key)).cast("bigint").alias("line_no"), "value", "source_file")
+
+
 def hourly_paths(base: str, day: str, hours: list[int] | range) -> list[str]:
     """Paths of hourly dumps ``{base}/{day}-{h}.json.gz``."""
     return [f"{base.rstrip('/')}/{day}-{h}.json.gz" for h in hours]

@@ -53,3 +53,20 @@ def test_publish_partitioned_hourly_reads_hours(spark):
     back = read_hourly(spark, path, HOUR_PARTITION, 1).groupBy("source_hour").count()
     want = src.groupBy(F.col("hour").alias("source_hour")).count()
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_first_lines_follow_hourly_file_order(spark):
+    import gzip
+    import os
+
+    from eventlens.sources.lines import first_lines, hourly_paths
+
+    base = scratch_path(spark, "t-first")
+    local = base.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    for h in (10, 2, 0):
+        with gzip.open(f"{local}/2023-03-15-{h}.json.gz", "wt") as f:
+            f.write("".join(f'{{"h":{h},"i":{i}}}\n' + ("\n" if i == 1 else "") for i in range(3)))
+    got = [(r["line_no"], r["value"]) for r in first_lines(spark, hourly_paths(base, "2023-03-15", [0, 2, 10]), 7).collect()]
+    want = [f'{{"h":{h},"i":{i}}}' for h in (0, 2, 10) for i in range(3)][:7]
+    assert sorted(got) == list(enumerate(want, start=1))
