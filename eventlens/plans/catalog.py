@@ -57,16 +57,20 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 def hourly_stream_report(spark, sf):
-    """The report maintained by a file stream over hourly gzip dumps (one
-    file per hour, eight hours per micro-batch, so state carries across
-    three batches); returns the report the sink holds at the end."""
+    """The report maintained by a file stream over hourly gzip dumps, fed in
+    three micro-batches (so state carries across batches); returns the
+    report the sink holds at the end."""
+    import math
+
     from eventlens.streaming.hourly import start_report_stream
 
     src = scratch_path(spark, "stream-src")
-    hourly = adapter.event_lines_with_hour(spark, sf).select("value", "hour").repartition("hour")
-    publish(hourly, src, "text", partition_by=["hour"], compression="gzip")
+    publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), src, "text", partition_by=["hour"],
+            compression="gzip")
+    n_files = len(spark.read.text(src).inputFiles())  # file listing only
     sink = scratch_path(spark, "stream-sink")
-    q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=8)
+    q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"),
+                            max_files_per_trigger=max(1, math.ceil(n_files / 3)))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
