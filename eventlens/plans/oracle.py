@@ -286,6 +286,34 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM s) AS records,
        (SELECT CAST(count(*) AS BIGINT) FROM ev WHERE NOT valid) AS malformed,
        (SELECT CAST(count(*) AS BIGINT) FROM em) AS emissions,
        (SELECT CAST(count(*) AS BIGINT) FROM ml) AS keys""",
+    "schema_inferred": BASE + """
+, flags AS (
+  SELECT count(*) AS records,
+    bool_or(user_id % 11 <> 0) AS has_dl, bool_or(raw_login IS NOT NULL) AS has_login,
+    bool_or(NOT (event_type = 'view' AND event_id % 2 = 1)) AS has_payload,
+    bool_or(event_type = 'purchase') AS has_push, bool_or(event_type = 'purchase' AND n_commits > 0) AS has_commit,
+    bool_or(event_type = 'signup') AS has_fork, bool_or(event_type = 'signup' AND k % 6 <> 0) AS has_fork_lang,
+    bool_or(event_type = 'click') AS has_pr, bool_or(event_type = 'error') AS has_issue,
+    bool_or(event_type = 'purchase' AND event_id % 3 = 0) AS size_int,
+    bool_or(event_type = 'purchase' AND event_id % 3 = 2) AS size_str,
+    bool_or(raw_repo IS NOT NULL) AS has_repo_name, bool_or(raw_type IS NOT NULL) AS has_type
+  FROM s)
+SELECT CAST(records AS BIGINT) AS records,
+  'OBJECT<' || array_to_string(list_filter([
+    'actor: OBJECT<' || array_to_string(list_filter([CASE WHEN has_dl THEN 'display_login: STRING' END,
+                                                     CASE WHEN has_login THEN 'login: STRING' END], lambda x: x IS NOT NULL), ', ') || '>',
+    'created_at: STRING', 'id: STRING',
+    CASE WHEN has_payload THEN 'payload: OBJECT<' || array_to_string(list_filter([
+      CASE WHEN has_push THEN 'commits: ARRAY<' || CASE WHEN has_commit THEN 'OBJECT<sha: STRING>' ELSE 'VOID' END || '>' END,
+      CASE WHEN has_fork THEN 'forkee: OBJECT<' || CASE WHEN has_fork_lang THEN 'language: STRING' ELSE '' END || '>' END,
+      CASE WHEN has_pr THEN 'pull_request: OBJECT<base: OBJECT<repo: OBJECT<language: STRING>>, '
+                            || 'head: OBJECT<repo: OBJECT<language: STRING>>>' END,
+      CASE WHEN has_issue THEN 'repository: OBJECT<language: STRING>' END,
+      CASE WHEN size_int AND size_str THEN 'size: VARIANT' WHEN size_int THEN 'size: BIGINT'
+           WHEN size_str THEN 'size: STRING' END], lambda x: x IS NOT NULL), ', ') || '>' END,
+    'repo: OBJECT<' || CASE WHEN has_repo_name THEN 'name: STRING' ELSE '' END || '>',
+    CASE WHEN has_type THEN 'type: STRING' END], lambda x: x IS NOT NULL), ', ') || '>' AS schema
+FROM flags""",
     "schema_profile": BASE + PROFILE_ENTRIES + """
 SELECT path, array_to_string(list_sort(list(DISTINCT t)), ',') AS types_seen, CAST(count(*) AS BIGINT) AS present_rows
 FROM pe GROUP BY path""",
