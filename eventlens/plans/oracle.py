@@ -19,7 +19,7 @@ _LANGS = ", ".join(f"'{x}'" for x in FIXTURE_LANGS)
 BASE = f"""
 WITH fx AS (
   SELECT event_id, user_id, event_type, ts,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         CAST(regexp_extract(props, '"k"[ ]*:[ ]*(-?[0-9]+)', 1) AS BIGINT) AS k,
          event_id % 97 <> 0 AS valid,
          CAST(event_id AS VARCHAR) AS id
   FROM events
