@@ -86,25 +86,21 @@ def top_k_per_metric(metrics: DataFrame, limits: dict[str, int] | None = None) -
     limits = dict(limits or TOP_K)
     ranked_kinds = [k for k in limits if k != "hour"]
     cap = max(limits[k] for k in ranked_kinds)
-    kk = F.col("kind")
+    kinds_sql = ", ".join(f"'{k}'" for k in ranked_kinds)
+    limit_sql = "CASE kind " + " ".join(f"WHEN '{k}' THEN {limits[k]}" for k in ranked_kinds) + " END"
+    metric_sql = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{m}'" for k, m in METRIC_NAMES.items()) + " END"
     w = Window.partitionBy("kind").orderBy(*rank_order())
     ranked = (
-        metrics.where(kk.isin(ranked_kinds))
+        metrics.where(f"kind IN ({kinds_sql})")
         .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= cap)
+        .where(f"rank <= {limit_sql}")
     )
-    limit_expr = F.lit(None).cast("int")
-    for kind in ranked_kinds:
-        limit_expr = F.when(kk == kind, F.lit(limits[kind])).otherwise(limit_expr)
-    ranked = ranked.where(F.col("rank") <= limit_expr)
-    hours = metrics.where(kk == "hour").withColumn(
+    hours = metrics.where("kind = 'hour'").withColumn(
         "rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.col("name").asc()))
     )
-    metric = F.lit(None).cast("string")
-    for kind, name in METRIC_NAMES.items():
-        metric = F.when(kk == kind, F.lit(name)).otherwise(metric)
-    return ranked.unionByName(hours).select(
-        metric.alias("metric"), F.col("rank").cast("bigint").alias("rank"), "name", F.col("count").cast("bigint").alias("count")
+    return ranked.unionByName(hours).selectExpr(
+        f"{metric_sql} AS metric", "CAST(rank AS BIGINT) AS rank", "name", "CAST(count AS BIGINT) AS count"
     )
 
 
