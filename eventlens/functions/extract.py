@@ -17,6 +17,14 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 # ASCII whitespace, as stripped around an NDJSON line
 WHITESPACE = " \t\n\r\x0b\x0c"
 
@@ -38,6 +46,9 @@ def payload_path(path: str, payload: str | Column = "payload", as_type: str = "s
 
 def language(paths: list[str] | None = None, payload: str | Column = "payload") -> Column:
     """F1 (4 paths) / F2 (pass LANGUAGE_PATHS_3): first non-empty language."""
+    if isinstance(payload, str):
+        parts = [f"nullif(try_variant_get({_q(payload)}, {_lit(p)}, 'string'), '')" for p in (paths or LANGUAGE_PATHS)]
+        return F.expr(f"coalesce({', '.join(parts)})")
     return F.coalesce(*[blank_to_null(payload_path(p, payload)) for p in (paths or LANGUAGE_PATHS)])
 
 
@@ -49,6 +60,13 @@ def commit_count(payload: str | Column = "payload", fallback: str = "commits") -
     """integer ``size``; else the length of a ``commits`` array; else 0.
     A string, float or boolean ``size`` is not an integer.
     ``fallback="zero"`` is F12: integer ``size`` else 0."""
+    if isinstance(payload, str):
+        p = _q(payload)
+        other = "0L" if fallback == "zero" else f"coalesce(CAST(size(try_variant_get({p}, '$.commits', 'array<variant>')) AS BIGINT), 0L)"
+        return F.expr(
+            f"CASE WHEN schema_of_variant(try_variant_get({p}, '$.size', 'variant')) = 'BIGINT' "
+            f"THEN try_variant_get({p}, '$.size', 'bigint') ELSE {other} END"
+        )
     p = _c(payload)
     size = F.try_variant_get(p, "$.size", "bigint")
     if fallback == "zero":
@@ -60,22 +78,32 @@ def commit_count(payload: str | Column = "payload", fallback: str = "commits") -
 
 def user_name(actor: str | Column = "actor") -> Column:
     """login, else display login, else 'unknown' (empty counts as missing)."""
+    if isinstance(actor, str):
+        a = _q(actor)
+        return F.expr(f"coalesce(nullif({a}.login, ''), nullif({a}.display_login, ''), {_lit(UNKNOWN_USER)})")
     a = _c(actor)
     return F.coalesce(blank_to_null(a.getField("login")), blank_to_null(a.getField("display_login")), F.lit(UNKNOWN_USER))
 
 
 def repo_name(repo: str | Column = "repo") -> Column:
     """repository name, else 'unknown/unknown'."""
+    if isinstance(repo, str):
+        return F.expr(f"coalesce(nullif({_q(repo)}.name, ''), {_lit(UNKNOWN_REPO)})")
     return F.coalesce(blank_to_null(_c(repo).getField("name")), F.lit(UNKNOWN_REPO))
 
 
 def event_type(type_col: str | Column = "type") -> Column:
     """event type, else 'Unknown'."""
+    if isinstance(type_col, str):
+        return F.expr(f"coalesce(nullif({_q(type_col)}, ''), {_lit(UNKNOWN_TYPE)})")
     return F.coalesce(blank_to_null(_c(type_col)), F.lit(UNKNOWN_TYPE))
 
 
 def event_hour(created_at: str | Column = "created_at") -> Column:
     """characters 12-13 of the ISO timestamp; NULL when shorter than 13."""
+    if isinstance(created_at, str):
+        c = _q(created_at)
+        return F.expr(f"CASE WHEN length({c}) >= 13 THEN substring({c}, 12, 2) END")
     c = _c(created_at)
     return F.when(F.length(c) >= 13, F.substring(c, 12, 2))
 

@@ -29,15 +29,13 @@ def parse_events(lines: DataFrame, line_col: str = "value", keep: list[str] | No
     # the validity filter below a Generate, so neither the line expression nor
     # from_json is copied into the filter (each line is parsed exactly once).
     df = lines.select(F.inline(F.array(F.struct(*[F.col(c) for c in keep], line.alias("line"), parsed.alias("_e")))))
-    reason = (
-        F.when(F.length("line") == 0, F.lit("empty"))
-        .when(~F.startswith("line", F.lit("{")), F.lit("not_object"))
-        .when(
-            F.col(f"_e.{CORRUPT_COL}").isNotNull(),
-            F.when(F.try_parse_json("line").isNull(), F.lit("invalid_json")).otherwise(F.lit("bad_field_type")),
-        )
-        .when(~F.endswith("line", F.lit("}")), F.lit("trailing_text"))
-    )
+    reason = F.expr(f"""CASE
+        WHEN length(line) = 0 THEN 'empty'
+        WHEN NOT startswith(line, '{{') THEN 'not_object'
+        WHEN _e.{CORRUPT_COL} IS NOT NULL THEN
+          CASE WHEN try_parse_json(line) IS NULL THEN 'invalid_json' ELSE 'bad_field_type' END
+        WHEN NOT endswith(line, '}}') THEN 'trailing_text'
+      END""")
     return df.select(*keep, "line", *[F.col(f"_e.{c}").alias(c) for c in EVENT_FIELDS], reason.alias("reason")).withColumn(
         "valid", F.col("reason").isNull()
     )
