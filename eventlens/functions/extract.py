@@ -62,7 +62,7 @@ def commit_count(payload: str | Column = "payload", fallback: str = "commits") -
     ``fallback="zero"`` is F12: integer ``size`` else 0."""
     if isinstance(payload, str):
         p = _q(payload)
-        other = "0L" if fallback == "zero" else f"coalesce(CAST(size(try_variant_get({p}, '$.commits', 'array<variant>')) AS BIGINT), 0L)"
+        other = "0L" if fallback == "zero" else f"coalesce(CAST(array_size(try_variant_get({p}, '$.commits', 'array<variant>')) AS BIGINT), 0L)"
         return F.expr(
             f"CASE WHEN schema_of_variant(try_variant_get({p}, '$.size', 'variant')) = 'BIGINT' "
             f"THEN try_variant_get({p}, '$.size', 'bigint') ELSE {other} END"
@@ -72,7 +72,7 @@ def commit_count(payload: str | Column = "payload", fallback: str = "commits") -
     if fallback == "zero":
         other = F.lit(0).cast("bigint")
     else:
-        other = F.coalesce(F.size(F.try_variant_get(p, "$.commits", "array<variant>")).cast("bigint"), F.lit(0).cast("bigint"))
+        other = F.coalesce(F.array_size(F.try_variant_get(p, "$.commits", "array<variant>")).cast("bigint"), F.lit(0).cast("bigint"))
     return F.when(size_is_int(p), size).otherwise(other)
 
 
