@@ -124,3 +124,16 @@ def test_schema_score_matches_recursive_rule(spark):
         merged = merge(merged, tree(json.loads(r)))
     got = schema_field_count(lines_df(spark, recs)).collect()[0]
     assert got["score"] == score(merged)
+
+
+def test_commit_fallback_without_ansi(spark):
+    """A push without size or commits counts 0 commits in any ANSI mode
+    (legacy size(NULL) is -1 when ANSI is off)."""
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        lines = ['{"id":"1","type":"PushEvent"}', '{"id":"2","type":"PushEvent","payload":{"commits":[1,2]}}']
+        got = {r["id"]: r["commits"] for r in normalize(parse_events(lines_df(spark, lines)).where("valid")).collect()}
+        assert got == {"1": 0, "2": 2}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
