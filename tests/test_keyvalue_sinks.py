@@ -70,3 +70,19 @@ def test_first_lines_follow_hourly_file_order(spark):
     got = [(r["line_no"], r["value"]) for r in first_lines(spark, hourly_paths(base, "2023-03-15", [0, 2, 10]), 7).collect()]
     want = [f'{{"h":{h},"i":{i}}}' for h in (0, 2, 10) for i in range(3)][:7]
     assert sorted(got) == list(enumerate(want, start=1))
+
+
+def test_dataset_summary_from_hourly_names(spark):
+    import gzip
+    import os
+
+    from eventlens.sources.lines import dataset_summary, hourly_paths, read_hourly
+
+    base = scratch_path(spark, "t-summary")
+    local = base.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    for h in (3, 4):
+        with gzip.open(f"{local}/2023-03-15-{h}.json.gz", "wt") as f:
+            f.write("".join(f'{{"i":{i}}}\n' for i in range(h)))
+    row = dataset_summary(read_hourly(spark, hourly_paths(base, "2023-03-15", [3, 4]))).collect()[0]
+    assert (row["events"], row["files"], row["days"], row["hours"], row["n_hours"]) == (7, 2, "2023-03-15", "03,04", 2)
