@@ -20,3 +20,18 @@ def test_ties_broken_by_name(spark):
     assert sorted(got) == [(1, "c"), (2, "a"), (3, "b")]
     full = sorted((r["rank"], r["name"]) for r in full_ranking(df).collect())
     assert full == [(1, "c"), (2, "a"), (3, "b"), (4, "d")]
+
+
+def test_spread_only_when_under_parallel(spark):
+    from eventlens.sources.adapter import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(wide) is wide  # enough splits: untouched, no shuffle
+    narrow = spark.range(0, 1000, numPartitions=1)
+    by_key = spread(narrow, ["id"])
+    assert by_key.rdd.getNumPartitions() == cores
+    assert sorted(r["id"] for r in by_key.collect()) == list(range(1000))
+    rr = spread(narrow.selectExpr("cast(id % 3 as string) as value"))  # many identical rows
+    sizes = rr.rdd.glom().map(len).collect()
+    assert max(sizes) - min(sizes) <= 1  # round-robin keeps copies spread
