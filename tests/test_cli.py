@@ -31,3 +31,14 @@ def test_cli_end_to_end(spark):
     lines = [r["value"] for r in spark.read.text(kv).collect()]
     assert len(lines) == len({ln.split("\t")[0] for ln in lines})
     assert sum(int(ln.split("\t")[1]) for ln in lines if ln.startswith("type|")) == 1500
+
+
+def test_cli_schema_and_preview(spark, capsys):
+    gen = scratch_path(spark, "t-cli-gen2")
+    main(["generate", "--n", "300", "--output", gen])
+    main(["schema", "--input", gen])
+    out = capsys.readouterr().out
+    assert "payload" in out and "payload.commits[].sha" in out
+    main(["preview", "--input", gen, "--n", "5"])
+    out = capsys.readouterr().out
+    assert "payload_keys" in out and out.count("|") > 10
