@@ -86,15 +86,15 @@ def main(argv: list[str] | None = None) -> None:
         full_ranking(A.events_per_user(silver)).write.mode("overwrite").json(f"{out}/top_users")
         full_ranking(A.events_per_language(silver)).write.mode("overwrite").json(f"{out}/languages")
     elif args.cmd == "report":
-        out = args.output.rstrip("/")
         from eventlens.session import materialize
 
-        silver = materialize(silver, "cli-silver")  # parsed once, read by the outputs below
+        out = args.output.rstrip("/")
+        # parse once: every line normalized with its valid flag, read by all outputs
+        rows = materialize(normalize(parsed, keep=["valid"]), "cli-rows")
+        silver = rows.where("valid").drop("valid")
         metrics = A.report_metrics(silver)
-        rep = R.report_from_metrics(metrics)
-        write_report(rep, f"{out}/report")
-        counters = A.run_counters(parsed)
-        counters.write.mode("overwrite").json(f"{out}/counters")
+        write_report(R.report_from_metrics(metrics), f"{out}/report")
+        A.counters_from_normalized(rows).write.mode("overwrite").json(f"{out}/counters")
         A.repo_type_matrix(silver).write.mode("overwrite").json(f"{out}/repo_type_matrix")
         leader_headline(spark.read.json(f"{out}/report"), spark.read.json(f"{out}/counters")).write.mode(
             "overwrite").json(f"{out}/headline")

@@ -154,14 +154,22 @@ def report_metrics(silver: DataFrame) -> DataFrame:
 
 
 def run_counters(parsed: DataFrame) -> DataFrame:
-    """Records (valid), malformed, emissions and distinct keys.
+    """Records (valid), malformed, emissions and distinct keys, from
+    parsed lines (``valid`` flag plus envelope fields)."""
+    from eventlens.operators.normalize import normalize
+
+    return counters_from_normalized(normalize(parsed, keep=["valid"]))
+
+
+def counters_from_normalized(rows_with_valid: DataFrame) -> DataFrame:
+    """A12 over normalized rows that still carry every line's ``valid``
+    flag (values of invalid rows are ignored).
 
     One scan: a malformed line becomes a single marker row next to the
     emissions of valid lines, everything is reduced per key (map-side
     partial), and a global aggregate over the reduced table yields the four
     counters.  No join."""
     from eventlens.operators.emissions import emission_array
-    from eventlens.operators.normalize import normalize
 
     marker = F.array(
         F.struct(
@@ -171,9 +179,7 @@ def run_counters(parsed: DataFrame) -> DataFrame:
             F.lit(1).cast("bigint").alias("value"),
         )
     )
-    rows = normalize(parsed, keep=["valid"]).select(
-        F.inline(F.when(F.col("valid"), emission_array()).otherwise(marker))
-    )
+    rows = rows_with_valid.select(F.inline(F.when(F.col("valid"), emission_array()).otherwise(marker)))
     reduced = rows.groupBy("kind", "name", "event_type").agg(
         F.sum("value").alias("value"), F.count("*").alias("rows")
     )
