@@ -54,13 +54,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this must be a shared filesystem (HDFS, S3, ...) and is read
     from the session.  Only when it is unset (local tests) do we pick a folder
-    of our own and register it with the SparkContext.
-    """
+    of our own; it is registered with the SparkContext (the conf itself is
+    static and cannot be changed on a running session)."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "eventlens-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
