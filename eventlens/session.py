@@ -7,7 +7,9 @@ Nothing here hard-codes cluster sizing.  Shuffle width is left to AQE
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,16 +52,21 @@ def ensure_semantics(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be a shared filesystem (HDFS, S3, ...) and is read
-    from the session.  Only when it is unset (local tests) do we pick a folder
-    of our own; it is registered with the SparkContext (the conf itself is
-    static and cannot be changed on a running session)."""
+    """The shared folder for checkpoints and scratch tables.
+
+    ``SparkContext.getCheckpointDir()`` first (a folder set by
+    ``setCheckpointDir`` or, at start-up, by ``spark.checkpoint.dir``), then the
+    session's ``spark.checkpoint.dir``.  Where neither is set, a local master
+    (tests, one machine) gets a folder of its own that goes when Python ends;
+    any other master raises, because a machine-local folder would be
+    unreadable to the other executors."""
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "eventlens-checkpoints")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="eventlens-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -72,11 +79,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back.  Used when several consumers need the same expensive input (the
-    parsed, normalized events): JSON is parsed once instead of once per
-    consumer, readers get column pruning and pushdown, and recovery after an
-    executor loss re-reads files instead of re-running the lineage."""
+    back.  Used when several consumers need the same expensive input: readers
+    get column pruning and pushdown, and recovery after an executor loss
+    re-reads files instead of re-running the lineage.  ``release`` removes the
+    copy when nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables) -> None:
+    """Remove the scratch copies that ``materialize`` made of these tables."""
+    for df in tables:
+        remove_path(df.sparkSession, df.scratch)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path with the file system that Spark itself uses for it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
