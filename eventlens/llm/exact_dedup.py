@@ -88,13 +88,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_text").alias("_n")
-    )
-    marked = docs.withColumns({"_sha0": F.sha2(normalised(), 256), "_n0": F.length(text_or_empty()).cast("long")})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha0") == F.col("_sha")) & (F.col("_n0") == F.col("_n"))
-    return (
-        marked.join(keep, same, "left_semi")
-        .dropDuplicates(["doc_id", "_sha0", "_n0"])
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    keep = exact_groups(docs).filter("kept").select(F.concat_ws("|", "doc_id", "n_text", "text_sha256").alias("_key"))
+    key = F.concat_ws("|", F.col("doc_id"), F.length(text_or_empty()), F.sha2(normalised(), 256))
+    marked = docs.withColumn("_key", key).join(keep, "_key", "left_semi")
+    return marked.dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,6 +20,23 @@ SELECT doc_id, max(n)::BIGINT AS n_lines, count(*) FILTER (bad)::BIGINT AS n_dro
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT bad), '')) AS kept_sha256
 FROM m GROUP BY doc_id"""
 
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)"""
+
 OP8 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 i AS (SELECT item_id, {WORDS} AS w FROM benchmark),
@@ -86,6 +103,7 @@ FROM documents LEFT JOIN sp USING (doc_id)"""
 
 ORACLE_SQL = {
     "op3_line_dedup": OP3,
+    "op4_near_dedup": OP4,
     "op8_decontaminate": OP8,
     "op9_exact_dedup": OP9,
     "op10_secret_scan": OP10,
