@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from eventlens.llm.common import table
 from eventlens.llm.decontaminate import hits
 from eventlens.llm.exact_dedup import exact_groups
+from eventlens.llm.html_text import extract
 from eventlens.llm.line_dedup import drop_common_lines
 from eventlens.llm.near_dedup import near_groups
 from eventlens.llm.packing import packed_documents
 from eventlens.llm.secrets import KINDS, find_secrets, rendered
+from eventlens.llm.warc import archive_round_trip
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    number = pages.schema["page_id"].dataType
+    return archive_round_trip(pages, least_bytes=0).select(
+        F.col("record_id").cast(number).alias("page_id"),
+        "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(number).alias("refers_to"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_common_lines(table(spark, sf_dir, "documents"), threshold=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -30,6 +42,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=75).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select(
@@ -61,8 +77,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,

@@ -6,6 +6,18 @@ WORDS = r"""
 list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
+#: Base32 of a 160-bit hexadecimal digest: every five digits are four letters.
+OP2 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hx, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hx) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + ((('0x' || substr(hx, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
 OP3 = r"""
 WITH lines AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -102,6 +114,7 @@ SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n
 FROM documents LEFT JOIN sp USING (doc_id)"""
 
 ORACLE_SQL = {
+    "op2_warc": OP2,
     "op3_line_dedup": OP3,
     "op4_near_dedup": OP4,
     "op8_decontaminate": OP8,
