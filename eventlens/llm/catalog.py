@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.llm.chat import rotate
 from eventlens.llm.common import table
 from eventlens.llm.decontaminate import hits
 from eventlens.llm.exact_dedup import exact_groups
 from eventlens.llm.html_text import extract
+from eventlens.llm.language_id import fit, held_out, identify
 from eventlens.llm.line_dedup import drop_common_lines
 from eventlens.llm.near_dedup import near_groups
 from eventlens.llm.packing import packed_documents
@@ -42,6 +44,16 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=75).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
+    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(spark, sf_dir, "conversations"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -80,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op5_language_id": op5_language_id,
+    "op6_chat_format": op6_chat_format,
     "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,

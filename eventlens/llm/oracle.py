@@ -49,6 +49,25 @@ comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)"""
 
+OP6 = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|im_', '<| im_') AS text,
+    coalesce(turn // 256, 0)::BIGINT AS part FROM conversations),
+who AS (SELECT DISTINCT conv_id, role AS speaker FROM c WHERE role <> 'system'),
+r AS (
+  SELECT c.*, speaker, CASE WHEN role = speaker THEN '<|im_start|>assistant' || chr(10)
+    WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
+    ELSE '<|im_start|>user name=' || role || chr(10) END AS head
+  FROM c JOIN who ON c.conv_id IS NOT DISTINCT FROM who.conv_id),
+p AS (
+  SELECT *, coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM r)
+SELECT conv_id, speaker, part, count(*)::BIGINT AS n_turns, count(*) FILTER (role = speaker)::BIGINT AS n_own,
+  string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text,
+  coalesce(string_agg((base + length(head)) || ':' || (base + length(head) + length(text) + 10), ',' ORDER BY turn, role, text)
+    FILTER (role = speaker), '') AS mask
+FROM p GROUP BY conv_id, speaker, part"""
+
 OP8 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 i AS (SELECT item_id, {WORDS} AS w FROM benchmark),
@@ -117,6 +136,7 @@ ORACLE_SQL = {
     "op2_warc": OP2,
     "op3_line_dedup": OP3,
     "op4_near_dedup": OP4,
+    "op6_chat_format": OP6,
     "op8_decontaminate": OP8,
     "op9_exact_dedup": OP9,
     "op10_secret_scan": OP10,
