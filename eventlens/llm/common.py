@@ -26,6 +26,12 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def plain(docs: DataFrame, *wanted: str) -> DataFrame:
+    """``docs`` with every column but ``wanted`` named by its place, so that no
+    helper column can clash; ``toDF(*docs.columns)`` undoes it."""
+    return docs.toDF(*[c if c in wanted else f"_{i}" for i, c in enumerate(docs.columns)])
+
+
 def width(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session sizes them for its input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import ascii_lower, text_or_empty
+from eventlens.llm.common import ascii_lower, plain, text_or_empty
 from eventlens.session import materialize
 
 SHINGLE = 5
@@ -170,8 +170,9 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
 
 def drop_hit(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` that no benchmark window hits, with all their columns."""
-    marked = docs.withColumns({"_h": F.xxhash64(text_or_empty())})
-    bad = hits(docs.select(F.struct("doc_id", F.xxhash64(text_or_empty()).alias("h")).alias("doc_id"), "text"), items, window)
+    text_hash = F.xxhash64(text_or_empty())
+    bad = hits(docs.select(F.struct("doc_id", text_hash.alias("h")).alias("doc_id"), "text"), items, window)
     bad = bad.filter(F.col("n_hit") > 0).select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_hash"))
+    rows = plain(docs, "doc_id", "text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
-    return marked.join(bad, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn("_h", text_hash).join(bad, same, "left_anti").select(*rows.columns).toDF(*docs.columns)

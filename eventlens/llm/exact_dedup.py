@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import WHITE, join_skewed, text_or_empty
+from eventlens.llm.common import WHITE, join_skewed, plain, text_or_empty
 from eventlens.session import materialize
 
 DIGIT_BITS = 4
@@ -90,5 +90,6 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     keep = exact_groups(docs).filter("kept").select(F.concat_ws("|", "doc_id", "n_text", "text_sha256").alias("_key"))
     key = F.concat_ws("|", F.col("doc_id"), F.length(text_or_empty()), F.sha2(normalised(), 256))
-    marked = docs.withColumn("_key", key).join(keep, "_key", "left_semi")
-    return marked.dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = plain(docs, "doc_id", "text")
+    kept = rows.withColumn("_key", key).join(keep, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.select(*rows.columns).toDF(*docs.columns)

@@ -38,10 +38,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import join_skewed, small_batches, text_or_empty, width
+from eventlens.llm.common import join_skewed, plain, small_batches, text_or_empty, width
 from eventlens.llm.graph import components
 from eventlens.llm.shingles import SYMBOLS, WordHashes, shingle_set, signature
-from eventlens.session import materialize
+from eventlens.session import materialize, release
 
 CHUNK = 4
 CHUNKS = SYMBOLS // CHUNK
@@ -165,14 +165,19 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").hint("merge").join(one, "a").hint("merge").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    links = materialize(both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "near-links")
+    release(sets, wanted)
+    return links
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """(key, node, center, n) for every key that several nodes share."""
     keys = nodes.select("node", "sig").mapInArrow(_keys, "key long, node long")
     shared = keys.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return materialize(join_skewed(keys, materialize(shared, "near-keys"), ["key"], "n"), "near-members")
+    shared = materialize(shared, "near-keys")
+    members = materialize(join_skewed(keys, shared, ["key"], "n"), "near-members")
+    release(shared)
+    return members
 
 
 def first_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +187,7 @@ def first_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent:
     both = pairs.join(sig.select(F.col("node").alias("a"), "sig"), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig2")), "b")
     near = both.select("a", "b", "sig", "sig2").mapInArrow(_near, "a long, b long, distance long")
     nearest = near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    return materialize(confirmed(docs, nodes, materialize(nearest, "near-first"), percent), "near-links")
+    return confirmed(docs, nodes, materialize(nearest, "near-first"), percent)
 
 
 def other_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -204,7 +209,9 @@ def other_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> Data
     rows = rows.join(nodes.select("node", "sig"), "node")
     rows = rows.select("key", "block", "node", "comp", (F.col("block") == F.col("home_block")).alias("home"), "sig")
     dealt = rows.repartition(width(spark), "key", "block").sortWithinPartitions("key", "block")
-    return dealt.mapInArrow(_bucket_pairs, "a long, b long").distinct()
+    pairs = materialize(dealt.mapInArrow(_bucket_pairs, "a long, b long").distinct(), "near-pairs")
+    release(placed, mixed)
+    return pairs
 
 
 def near_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -220,7 +227,8 @@ def near_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     members = bucket_members(nodes)
     links = first_links(docs, nodes, members, percent)
     labels = materialize(components(links), "near-labels")
-    pairs = materialize(other_pairs(nodes, members, labels), "near-pairs")
+    pairs = other_pairs(nodes, members, labels)
+    release(members, links)
     if not pairs.isEmpty():
         more = confirmed(docs, nodes, pairs, percent)
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -246,6 +254,7 @@ def drop_near(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of each group that share the id and text of its kept row, with all their columns."""
     decided = near_groups(docs, percent).groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"))
     gone = decided.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    marked = docs.withColumn("_h", F.xxhash64(text_or_empty()))
+    rows = plain(docs, "doc_id", "text")
+    marked = rows.withColumn("_h", F.xxhash64(text_or_empty()))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
-    return marked.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(gone, same, "left_anti").select(*rows.columns).toDF(*docs.columns)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import join_skewed, text_or_empty
+from eventlens.llm.common import join_skewed, plain, text_or_empty
 from eventlens.session import materialize
 
 #: Fixed patterns: what is matched, the least length, and the part that it is measured on.
@@ -130,6 +130,7 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
 
     tail = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
     masked = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, tail)
-    joined = docs.withColumn("_key0", key).join(spans, F.col("_key0").eqNullSafe(F.col("_key")), "left")
-    cols = [F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*cols)
+    rows = plain(docs, "doc_id", "text")
+    joined = rows.withColumn("_key0", key).join(spans, F.col("_key0").eqNullSafe(F.col("_key")), "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked)
+    return joined.select(*[text if c == "text" else F.col(c) for c in rows.columns]).toDF(*docs.columns)
