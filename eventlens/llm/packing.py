@@ -10,9 +10,9 @@ piece is ranked within its class in two levels (inside one of many parts, plus
 the part's first rank), so no class is ever counted through in one task, and
 finds its sequence by a broadcast of that bounded table.
 
-Tokenisation is per white-space word with a bounded memory of words: the
-vocabulary's rules never join tokens across white space, so the ids are those
-of the whole text (tested).
+Tokenisation is per white-space word with a bounded memory of words and of
+their pieces: the vocabulary's rules never join tokens across white space, so
+the ids are those of the whole text (tested).
 
 Edge cases: null or empty texts are the end id alone; rows of a repeated
 ``doc_id`` are packed as documents of their own; an empty table gives an empty
@@ -22,7 +22,9 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,13 +40,45 @@ CAPACITY = 2048
 END_ID = 1
 GRAIN = 8
 
-#: Words whose ids a worker remembers.
-_REMEMBERED = 200_000
+#: Words, and pieces of words, whose ids a worker remembers.
+_REMEMBERED = 400_000
 _LOADED: dict = {}
 
+#: Words of these letters only are cut here by the vocabulary's own rules
+#: (fixed pattern): composed characters whose lower case is one character.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 as itself, the others from U+0100 in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in shown}
+    letters |= {b: chr(0x100 + i) for i, b in enumerate(x for x in range(256) if x not in letters)}
+    return [letters[b] for b in range(256)]
+
+
+class PieceIds(dict):
+    """Lower-case piece of a word -> its ids as little-endian 32-bit integers."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
 
 class WordIds(dict):
-    """White-space word (UTF-8) -> its ids as little-endian 32-bit integers."""
+    """White-space word (UTF-8) -> its ids as little-endian 32-bit integers.
+
+    A word of plain letters is cut into pieces here and each piece coded once;
+    any other word goes through the whole tokenizer."""
 
     def __init__(self, vocabulary: str):
         super().__init__()
@@ -54,17 +88,25 @@ class WordIds(dict):
 
         path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(str(path))
+        self.pieces = PieceIds(self.tokenizer.model)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def encode(self, text: bytes | None) -> bytes:
-        words = (text or b"").split()
-        if len(self) > _REMEMBERED:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= _REMEMBERED:
             self.clear()
-        new = [w for w in set(words) if w not in self]
-        if new:
-            coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for w, c in zip(new, coded, strict=True):
-                self[w] = b"".join(i.to_bytes(4, "little") for i in c.ids)
-        return b"".join(map(self.__getitem__, words))
+        if word.isalpha():
+            ids = self.pieces[word.lower().decode()]
+        else:
+            text = word.decode()
+            if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+                ids = b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+            else:
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, text: bytes | None) -> bytes:
+        return b"".join(map(self.__getitem__, (text or b"").split()))
 
 
 def word_ids(vocabulary: str) -> WordIds:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from fixtures import CLASH, awkward_texts, documents
 from pyspark.sql import functions as F
@@ -163,6 +164,26 @@ def test_packing(spark):
     assert packed_documents(documents(spark, [])).count() == 0
 
 
+def test_word_ids_are_those_of_the_whole_text():
+    """Every plain letter, mixed words, and words outside the plain letters."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from eventlens.llm.packing import WordIds
+
+    whole = Tokenizer.from_file(str(public_tokenizers.path(VOCABULARY)))
+    ours = WordIds(VOCABULARY)
+    rng = random.Random(1)
+    letters = [chr(c) for c in range(0x20, 0x180)] + ["'", "'s", "'LL", "ß", "Σ", "ς", "İ", "ſ", "e\u0301", "日", "٣", "²", "😀", "\u00ad", "\u200d", "\x1c", "\x85", "\u3000"]
+    texts = ["".join(letters)] + ["".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(4000)]
+    texts += [t.as_py() for t in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column("text")]
+    for t in texts:
+        got = np.frombuffer(ours.encode((t or "").encode()), "<u4").tolist()
+        assert got == whole.encode(t or "", add_special_tokens=False).ids, t
+
+
 def test_kneser_ney_sums_to_one():
     units = folded("abracadabra abra cadabra and a banana band".encode() * 3)
     grams, counts = np.unique(packed(padded(units), ORDER), return_counts=True)
