@@ -3,12 +3,13 @@
   profile   --input P --output D   three full rankings as JSON dirs
                                    (top_projects, top_users, languages)
   report    --input P --output D   every ranking (long form), counters,
-                                   repo x type matrix and headline as JSON
+                                   repo x type matrix, headline and the
+                                   quarantined lines as JSON
   keyvalue  --input P --output D   key<TAB>value counts (U1 + A11), key order
   publish   --input P --output U   copy the dataset to a lake path (text or
                                    --format parquet for the normalized table)
-  generate  --n N --output D       synthetic NDJSON events (S13)
-  schema    --input P              inferred schema tree and path profile
+  schema    --input P --output D   inferred schema tree (printed) and path
+                                   profile as JSON
   preview   --input P [--n 20]     first events, normalized (P5)
 
 ``--input`` accepts files, directories, globs and comma-separated lists
@@ -20,8 +21,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
-
 
 def _paths(args) -> list[str]:
     if getattr(args, "hours", None):
@@ -40,18 +39,13 @@ def main(argv: list[str] | None = None) -> None:
         s = sub.add_parser(name)
         s.add_argument("--input", required=True)
         s.add_argument("--hours", help="DAY:H0-H1, read BASE/DAY-H.json.gz")
-        if name not in ("schema", "preview"):
+        s.add_argument("--partitions", type=int, help="spread few input files over so many parse tasks")
+        if name != "preview":
             s.add_argument("--output", required=True)
         if name == "publish":
             s.add_argument("--format", default="text", choices=["text", "parquet"])
         if name == "preview":
             s.add_argument("--n", type=int, default=20)
-    g = sub.add_parser("generate")
-    g.add_argument("--n", type=int, default=8000)
-    g.add_argument("--output", required=True)
-    g.add_argument("--seed", type=int, default=42)
-    g.add_argument("--day", default="2023-03-15")
-    g.add_argument("--sort", action="store_true")
     p.add_argument("--master", default=None)
     args = p.parse_args(argv)
 
@@ -66,17 +60,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(args.master)
 
-    if args.cmd == "generate":
-        from eventlens.sources.synthetic import generate_events
-
-        rows = spark.range(args.n).withColumnRenamed("id", "event_id")
-        out = generate_events(rows, day=args.day, seed=args.seed, sort=args.sort)
-        out.select("value").write.mode("overwrite").text(args.output)
-        return
-
     from eventlens.sources.adapter import spread
 
-    lines = spread(read_lines(spark, _paths(args)))  # few gzip files -> more parse tasks
+    lines = spread(read_lines(spark, _paths(args)), args.partitions)
     parsed = parse_events(lines)
     silver = normalize(parsed.where("valid"))
 
@@ -86,7 +72,8 @@ def main(argv: list[str] | None = None) -> None:
         full_ranking(A.events_per_user(silver)).write.mode("overwrite").json(f"{out}/top_users")
         full_ranking(A.events_per_language(silver)).write.mode("overwrite").json(f"{out}/languages")
     elif args.cmd == "report":
-        from eventlens.session import materialize
+        from eventlens.session import materialize, release
+        from eventlens.sources.json_scan import quarantine
 
         out = args.output.rstrip("/")
         # parse once: every line normalized with its valid flag, read by all outputs
@@ -98,18 +85,20 @@ def main(argv: list[str] | None = None) -> None:
         A.repo_type_matrix(silver).write.mode("overwrite").json(f"{out}/repo_type_matrix")
         leader_headline(spark.read.json(f"{out}/report"), spark.read.json(f"{out}/counters")).write.mode(
             "overwrite").json(f"{out}/headline")
+        release(rows)
+        quarantine(lines).write.mode("overwrite").json(f"{out}/quarantine")
     elif args.cmd == "keyvalue":
-        write_keyvalue(A.metrics_long(silver).orderBy("kind", "name", "event_type"), args.output)
+        write_keyvalue(A.metrics_long(silver), args.output, sort=True)
     elif args.cmd == "publish":
         if args.format == "parquet":
             write_silver(silver, args.output)
         else:
-            publish(lines, args.output, "text")
+            print(publish(lines, args.output, "text"))
     elif args.cmd == "schema":
         from eventlens.operators.schema_profile import schema_profile
 
         print(spark.read.json(_paths(args)).schema.treeString())
-        schema_profile(parsed.where("valid").select(F.col("line").alias("value"))).orderBy("path").show(1000, False)
+        schema_profile(lines).orderBy("path").write.mode("overwrite").json(args.output)
     elif args.cmd == "preview":
         from eventlens.operators.quality import preview
 

@@ -44,12 +44,16 @@ def payload_path(path: str, payload: str | Column = "payload", as_type: str = "s
     return F.try_variant_get(_c(payload), path, as_type)
 
 
-def language(paths: list[str] | None = None, payload: str | Column = "payload") -> Column:
-    """F1 (4 paths) / F2 (pass LANGUAGE_PATHS_3): first non-empty language."""
-    if isinstance(payload, str):
-        parts = [f"nullif(try_variant_get({_q(payload)}, {_lit(p)}, 'string'), '')" for p in (paths or LANGUAGE_PATHS)]
-        return F.expr(f"coalesce({', '.join(parts)})")
-    return F.coalesce(*[blank_to_null(payload_path(p, payload)) for p in (paths or LANGUAGE_PATHS)])
+def language(paths: list[str] | None = None, payload: str = "payload") -> Column:
+    """F1 (4 paths) / F2 (pass LANGUAGE_PATHS_3): first non-empty language.
+    Only a JSON string is a language; any other value is passed over."""
+
+    def one(path: str) -> str:
+        value = f"try_variant_get({_q(payload)}, {_lit(path)}, 'variant')"
+        text = f"try_variant_get({_q(payload)}, {_lit(path)}, 'string')"
+        return f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN nullif({text}, '') END"
+
+    return F.expr(f"coalesce({', '.join(map(one, paths or LANGUAGE_PATHS))})")
 
 
 def size_is_int(payload: str | Column = "payload") -> Column:
@@ -108,11 +112,11 @@ def event_hour(created_at: str | Column = "created_at") -> Column:
     return F.when(F.length(c) >= 13, F.substring(c, 12, 2))
 
 
-def payload_keys(payload: str | Column = "payload", n: int = 8) -> Column:
-    """F8: sorted top-level payload keys, first n; empty for a missing or
+def payload_keys(payload: str | Column = "payload") -> Column:
+    """F8: the sorted top-level payload keys; empty for a missing or
     non-object payload."""
     keys = F.map_keys(F.try_variant_get(_c(payload), "$", "map<string, variant>"))
-    return F.coalesce(F.slice(F.array_sort(keys), 1, n), F.array().cast("array<string>"))
+    return F.coalesce(F.array_sort(keys), F.array().cast("array<string>"))
 
 
 def is_push(type_col: str | Column = "type") -> Column:

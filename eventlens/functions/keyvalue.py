@@ -19,7 +19,30 @@ def encode_line(key: str | Column, value: str | Column) -> Column:
     """S10 line: ``key<TAB>value``."""
     k = F.col(key) if isinstance(key, str) else key
     v = F.col(value) if isinstance(value, str) else value
-    return F.concat_ws("\t", k, v.cast("string"))
+    return F.concat_ws("\t", escape(k), v.cast("string"))
+
+
+# What a text line cannot hold as it is, and its spelling (fixed values).
+ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def escape(c: Column) -> Column:
+    """Backslash, tab and line ends spelled out."""
+    for raw, spelled in ESCAPES:
+        c = F.replace(c, F.lit(raw), F.lit(spelled))
+    return c
+
+
+def unescape(c: Column) -> Column:
+    """The inverse of ``escape``: backslash pairs are read from the left."""
+    parts = F.split(c, r"\\\\", -1)
+
+    def plain(part: Column) -> Column:
+        for raw, spelled in ESCAPES[1:]:
+            part = F.replace(part, F.lit(spelled), F.lit(raw))
+        return part
+
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(parts, plain), "\\")).otherwise(c)
 
 
 def parse_value(text: str | Column) -> Column:
@@ -34,7 +57,7 @@ def split_line(lines: DataFrame, col: str = "value") -> DataFrame:
     pos = F.instr(v, "\t")
     key = F.when(pos > 0, F.substr(v, F.lit(1), pos - 1)).otherwise(v)
     val = F.when(pos > 0, F.substr(v, pos + 1)).otherwise(F.lit(""))
-    return lines.select(key.alias("key"), val.alias("value_text"))
+    return lines.select(unescape(key).alias("key"), val.alias("value_text"))
 
 
 def decode_key(key: str | Column) -> tuple[Column, Column, Column]:

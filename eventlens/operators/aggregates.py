@@ -64,19 +64,20 @@ def repo_type_counts(silver: DataFrame) -> DataFrame:
 
 
 def repo_type_rollup(silver: DataFrame) -> DataFrame:
-    """(repo, type) counts plus per-repo totals in one aggregation
-    (GROUPING SETS; ``level`` is 0 for (repo, type) rows, 1 for repo totals)."""
-    return silver.groupingSets(
-        [["repo", "type"], ["repo"]], "repo", "type"
-    ).agg(F.count("*").alias("count"), F.grouping_id().alias("level")).select(
-        "repo", F.col("type").alias("event_type"), "level", "count"
+    """(repo, type) counts plus per-repo totals (``level`` is 0 for
+    (repo, type) rows, 1 for repo totals).  Events are aggregated once, to
+    pairs; the totals are summed from the pairs, over the same exchange."""
+    pairs = repo_type_counts(silver)
+    totals = pairs.groupBy("repo").agg(F.sum("count").cast("bigint").alias("count"))
+    return pairs.select("repo", "event_type", F.lit(0).cast("bigint").alias("level"), "count").unionByName(
+        totals.select("repo", F.lit(None).cast("string").alias("event_type"), F.lit(1).cast("bigint").alias("level"), "count")
     )
 
 
 def repo_type_matrix(silver: DataFrame, k: int = 15) -> DataFrame:
     """A10: the k busiest repositories (by total events) with their
     per-type counts: repo_rank, repo, total, types_json (a JSON object
-    type -> count, keys sorted).
+    type -> count, keys sorted).  ``k`` is a report size, 1000 at most.
 
     The (repo, type) aggregate is computed once (its exchange is reused for
     the totals); the top-k list has at most k rows, so broadcasting it is
@@ -84,6 +85,8 @@ def repo_type_matrix(silver: DataFrame, k: int = 15) -> DataFrame:
     of event types."""
     from pyspark.sql import Window
 
+    if not 0 < k <= 1000:
+        raise ValueError("the matrix lists 1 to 1000 repositories")
     pairs = repo_type_counts(silver)
     totals = pairs.groupBy(F.col("repo").alias("name")).agg(F.sum("count").cast("bigint").alias("count"))
     top = totals.orderBy(F.col("count").desc(), F.col("name").asc()).limit(k)
@@ -107,7 +110,7 @@ def metrics_long(silver: DataFrame) -> DataFrame:
     )
 
 
-def report_aggregate(silver: DataFrame) -> DataFrame:
+def report_aggregate(silver: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
     """The report's one aggregation: (kind, name) -> n, p (pushes), c
     (commits) for kinds repo, user, type, lang, hour.
 
@@ -115,7 +118,13 @@ def report_aggregate(silver: DataFrame) -> DataFrame:
     count), user, type, language, hour -- reduced by ONE aggregation (map-side
     partial, one shuffle).  Push and commit totals ride on the repo row, so
     they cost no extra emission.  Also valid on a stream (stateful).
+    ``more`` adds kinds, each counting a column's non-null values.
     (Written as one SQL expression: the same plan, built with one JVM call.)"""
+    extra = "".join(
+        f""", CASE WHEN `{col}` IS NOT NULL THEN
+          named_struct('kind', '{kind}', 'name', `{col}`, 'n', 1L, 'p', CAST(NULL AS BIGINT), 'c', CAST(NULL AS BIGINT)) END"""
+        for kind, col in (more or {}).items()
+    )
     emit = F.expr(f"""filter(array(
         named_struct('kind', 'repo', 'name', repo, 'n', 1L,
                      'p', CASE WHEN type = '{PUSH}' THEN 1L ELSE 0L END,
@@ -126,6 +135,7 @@ def report_aggregate(silver: DataFrame) -> DataFrame:
           named_struct('kind', 'lang', 'name', language, 'n', 1L, 'p', CAST(NULL AS BIGINT), 'c', CAST(NULL AS BIGINT)) END,
         CASE WHEN hour IS NOT NULL THEN
           named_struct('kind', 'hour', 'name', hour, 'n', 1L, 'p', CAST(NULL AS BIGINT), 'c', CAST(NULL AS BIGINT)) END
+        {extra}
       ), x -> x IS NOT NULL)""")
     return silver.select(F.inline(emit)).groupBy("kind", "name").agg(
         F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("c").alias("c")
@@ -147,10 +157,10 @@ def expand_report_aggregate(agg: DataFrame) -> DataFrame:
     return agg.select("name", F.inline(rows)).select("kind", "name", "count")
 
 
-def report_metrics(silver: DataFrame) -> DataFrame:
+def report_metrics(silver: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
     """The report's one-pass aggregate: (kind, name, count) for the seven
-    ranking kinds repo, push, commits, user, lang, type, hour."""
-    return expand_report_aggregate(report_aggregate(silver))
+    ranking kinds repo, push, commits, user, lang, type, hour (and ``more``)."""
+    return expand_report_aggregate(report_aggregate(silver, more))
 
 
 def run_counters(parsed: DataFrame) -> DataFrame:

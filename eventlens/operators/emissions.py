@@ -26,7 +26,7 @@ def _row(kind: str, name: Column, value: Column | int = 1, etype: Column | None
     )
 
 
-def emission_array(silver_cols: bool = True) -> Column:
+def emission_array() -> Column:
     """Array of emission structs for one silver row (NULLs filtered out)."""
     push = F.col("type") == F.lit(PUSH)
     rows = [

@@ -34,18 +34,10 @@ def normalize(events: DataFrame, language_paths: list[str] | None = None, keep:
     )
 
 
-def write_silver(silver: DataFrame, path: str, mode: str = "overwrite", files_per_day: int = 8) -> None:
+def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Publish the silver table as Parquet partitioned by event day (partition
-    pruning for day ranges).  Rows are shuffled on (day, hash(id) mod
-    ``files_per_day``), so each day is written by ``files_per_day`` tasks: a
-    day holding a third of all events is still split, and no task writes
-    files for many days."""
+    pruning for day ranges).  ``REBALANCE(day)`` brings a day's rows together
+    in as many tasks as its size needs: AQE splits a large day at the advisory
+    partition size and joins small ones, whatever a day holds."""
     day = F.when(F.length("created_at") >= 10, F.substring("created_at", 1, 10)).otherwise(F.lit("unknown"))
-    bucket = F.pmod(F.xxhash64("id"), F.lit(files_per_day))
-    (
-        silver.withColumn("day", day)
-        .repartition("day", bucket)
-        .write.mode(mode)
-        .partitionBy("day")
-        .parquet(path)
-    )
+    silver.withColumn("day", day).hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)

@@ -31,17 +31,6 @@ def required_fields(parsed: DataFrame, fields: list[str] | None = None) -> DataF
     return _unpivot(agg, fields, "field", "missing_rows")
 
 
-def missing_required(parsed: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """S6, row form: valid records with the list of required keys they lack."""
-    fields = fields or REQUIRED_FIELDS
-    need = F.array(*[F.lit(f) for f in fields])
-    return (
-        parsed.where("valid")
-        .select("id", F.array_except(need, F.json_object_keys("line")).alias("missing"))
-        .where(F.size("missing") > 0)
-    )
-
-
 def path_coverage(events: DataFrame, paths: list[str], payload: str = "payload") -> DataFrame:
     """For candidate payload paths, how many events carry a value there
     (JSON null counts as present).  One pass: (path, present_rows)."""
@@ -61,7 +50,7 @@ def preview(events: DataFrame, n: int = PREVIEW_N) -> DataFrame:
         X.repo_name("repo").alias("repo"),
         F.col("created_at"),
         X.language().alias("language"),
-        F.concat_ws(",", X.payload_keys("payload", PREVIEW_KEYS)).alias("payload_keys"),
+        F.concat_ws(",", F.slice(X.payload_keys("payload"), 1, PREVIEW_KEYS)).alias("payload_keys"),
         F.col("id").try_cast("bigint").alias("_n"),
     )
     from pyspark.sql import Window

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.schema import METRIC_NAMES, TOP_K
-from eventlens.session import checkpoint_root
+from eventlens.session import materialize
 
 def rank_order() -> list[Column]:
     """``count desc, name asc``."""
@@ -37,43 +37,36 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> D
     """Attach a 1-based global rank to a full sort without a single-task window.
 
     1. ``orderBy`` range-partitions and sorts (the only shuffle);
-    2. the sorted frame is checkpointed to the shared checkpoint folder, so
-       partition boundaries and in-partition order are fixed even if tasks
+    2. the sorted rows are written as Parquet in the shared folder with their
+       partition number (``_pid``) and place, so both are fixed even if tasks
        are retried or executors are lost;
-    3. per-partition row counts (one row per partition) give offsets;
+    3. per-partition counts read the ``_pid`` column only and give offsets;
     4. rank = offset of the partition + position in it.  The position comes
        from ``monotonically_increasing_id`` (partition id in the upper bits,
        row index in the lower 33), so no second sort or window is needed.
     The offsets table has one row per partition: bounded by the shuffle
     width, never by the data, so broadcasting it is safe."""
-    checkpoint_root(df.sparkSession)
-    sorted_df = df.orderBy(*order).checkpoint(eager=True)
-    tagged = sorted_df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-    )
+    placed = df.orderBy(*order).withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    placed = materialize(placed, "ranked")
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = partition_counts(placed).select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (
-        tagged.join(F.broadcast(offsets), "_pid")
+        placed.join(F.broadcast(offsets), "_pid")
         .withColumn(rank_col, (F.col("_off") + pos + 1).cast("bigint"))
         .drop("_pid", "_mid", "_off")
     )
 
 
+def partition_counts(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("_pid").agg(F.count("*").alias("_n"))
+
+
 def full_ranking(ranking: DataFrame) -> DataFrame:
     """Every row, ``count desc, name asc``, with a global rank."""
     return global_rank(ranking, rank_order()).select("rank", "name", "count")
 
 
-def sorted_by(df: DataFrame, cols: list[str]) -> DataFrame:
-    """T4 / T5: global ascending sort on ``cols`` with a global rank."""
-    return global_rank(df, [F.col(c).asc() for c in cols])
-
-
 def top_k_per_metric(metrics: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
     """Top-k of every metric kind in one plan: (kind, name, count) ->
     (metric, rank, name, count).
@@ -84,7 +77,7 @@ def top_k_per_metric(metrics: DataFrame, limits: dict[str, int] | None = None) -
     of them are kept, ordered by hour (their number is bounded by the two
     characters they are cut from)."""
     limits = dict(limits or TOP_K)
-    ranked_kinds = [k for k in limits if k != "hour"]
+    ranked_kinds = list(limits)
     cap = max(limits[k] for k in ranked_kinds)
     kinds_sql = ", ".join(f"'{k}'" for k in ranked_kinds)
     limit_sql = "CASE kind " + " ".join(f"WHEN '{k}' THEN {limits[k]}" for k in ranked_kinds) + " END"

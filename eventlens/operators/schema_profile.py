@@ -1,12 +1,11 @@
 """Schema discovery and profile.
 
-A13 merges per-record schemas with ``schema_of_variant_agg`` -- a true
-aggregate (partial merge per task, one final merge), so discovery is one
-pass with no driver-side sample.  A14 walks the records level by level with
-``variant_explode`` and counts, for every path, the events that carry it and
-the type names seen there.  Arrays are described by their first element
-(element path ``name[]``), so a path occurs at most once per event and the
-count needs no distinct.
+Both read lines parsed once to a VARIANT (``json_scan.valid_variants``).  A13
+merges per-record schemas with ``schema_of_variant_agg`` -- a true aggregate
+(partial merge per task, one final merge), so discovery is one pass with no
+driver-side sample.  A14 walks the records level by level, every element of
+every array included, and counts for every path the records that carry it and
+the type names seen there.
 """
 
 from __future__ import annotations
@@ -14,14 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.session import materialize
+from eventlens.sources.json_scan import valid_variants
+
+#: Levels per pass.  Not a limit: records that go deeper take another pass.
+LEVELS = 6
+
+_FRONT = "array<struct<path:string,v:variant>>"
+_DONE = "array<struct<path:string,type:string,elem:boolean>>"
+
 
 def infer_schema(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """One row (records, schema) with the merged schema of all parsable
-    object lines (Spark's variant schema notation; conflicting scalar types
-    widen, otherwise become VARIANT)."""
-    v = F.try_parse_json(F.col(line_col))
-    obj = lines.select(v.alias("v")).where(F.col("v").isNotNull() & F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
-    return obj.agg(F.count("*").alias("records"), F.schema_of_variant_agg("v").alias("schema"))
+    """One row (records, schema) with the merged schema of all valid
+    lines (Spark's variant schema notation; conflicting scalar types widen,
+    otherwise become VARIANT)."""
+    return valid_variants(lines, line_col).agg(F.count("*").alias("records"), F.schema_of_variant_agg("v").alias("schema"))
 
 
 def type_name(v: Column) -> Column:
@@ -39,89 +45,103 @@ def type_name(v: Column) -> Column:
     )
 
 
-_DONE = "array<struct<path:string,type:string,elem:boolean>>"
-_FRONT = "array<struct<path:string,v:variant>>"
+def quoted(key: Column) -> Column:
+    """A key as a path step: in backticks where it could be read otherwise."""
+    plain = ~key.rlike(r"[.\[\]`]") & (key != "")
+    return F.when(plain, key).otherwise(F.concat(F.lit("`"), F.replace(key, F.lit("`"), F.lit("``")), F.lit("`")))
 
 
-def _children(path: Column | None, v: Column) -> Column:
-    """Child entries of one value: the fields of an object (``a.b``), or the
-    first element of a non-empty array (``a[]``); empty for scalars."""
+def _children(path: Column, v: Column) -> Column:
+    """The fields of an object (``a.b``), or all elements of an array
+    (``a[]``); empty for scalars."""
+    step = F.when(path == "", F.lit("")).otherwise(F.concat(path, F.lit(".")))
     fields = F.map_entries(F.try_variant_get(v, "$", "map<string, variant>"))
-    name = (lambda k: k) if path is None else (lambda k: F.concat(path, F.lit("."), k))
-    obj = F.transform(fields, lambda e: F.struct(name(e["key"]).alias("path"), e["value"].alias("v")))
-    if path is None:
-        return obj
-    first = F.try_variant_get(v, "$[0]", "variant")
-    arr = F.when(first.isNotNull(), F.array(F.struct(F.concat(path, F.lit("[]")).alias("path"), first.alias("v"))))
-    return F.coalesce(obj, arr, F.array().cast(_FRONT))
+    elements = F.try_variant_get(v, "$", "array<variant>")
+    return F.coalesce(
+        F.transform(fields, lambda e: F.struct(F.concat(step, quoted(e["key"])).alias("path"), e["value"].alias("v"))),
+        F.transform(elements, lambda e: F.struct(F.concat(path, F.lit("[]")).alias("path"), e.alias("v"))),
+        F.array().cast(_FRONT),
+    )
 
 
-def _typed(frontier: Column) -> Column:
-    # elem: for arrays, whether a first element exists (NULL for non-arrays)
+def _typed(front: Column) -> Column:
+    elements = lambda e: F.try_variant_get(e["v"], "$", "array<variant>")
     return F.transform(
-        frontier,
-        lambda e: F.struct(
-            e["path"].alias("path"),
-            type_name(e["v"]).alias("type"),
-            F.when(F.startswith(F.schema_of_variant(e["v"]), F.lit("ARRAY")),
-                   F.try_variant_get(e["v"], "$[0]", "variant").isNotNull()).alias("elem"),
-        ),
+        front, lambda e: F.struct(e["path"].alias("path"), type_name(e["v"]).alias("type"), (F.array_size(elements(e)) > 0).alias("elem"))
     )
 
 
-def field_entries(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
-    """(path, type) of every field of every parsable object line, down to
-    ``max_depth`` levels, in one scan and one final Generate.
-
-    Each record carries two arrays: ``done`` (typed entries) and
-    ``frontier`` (entries whose children are not expanded yet).  A step is
-    one Project of higher-order functions: the frontier is typed and moved to
-    ``done``, and replaced by its children (fields of objects, first element
-    of arrays).  Work per step is proportional to the frontier only."""
-    v = F.try_parse_json(F.col(line_col))
-    df = lines.select(v.alias("v")).where(
-        F.col("v").isNotNull() & F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
-    ).select(F.array().cast(_DONE).alias("done"), _children(None, F.col("v")).alias("frontier"))
-    for _ in range(max_depth - 1):
+def _descend(records: DataFrame) -> DataFrame:
+    """``front`` (places not looked into yet) taken LEVELS levels down; what
+    was passed is in ``done``."""
+    df = records.select(F.array().cast(_DONE).alias("done"), "front")
+    for _ in range(LEVELS):
         df = df.select(
-            F.concat("done", _typed(F.col("frontier"))).alias("done"),
-            F.flatten(F.transform("frontier", lambda e: _children(e["path"], e["v"]))).alias("frontier"),
-        )
-    return df.select(F.inline(F.concat("done", _typed(F.col("frontier")))))
-
-
-def _profile(lines: DataFrame, line_col: str, max_depth: int) -> DataFrame:
-    return (
-        field_entries(lines, line_col, max_depth)
-        .groupBy("path")
-        .agg(
-            F.concat_ws(",", F.array_sort(F.collect_set("type"))).alias("types_seen"),
-            F.count("*").alias("present_rows"),
-            F.bool_or("elem").alias("has_elements"),
+            F.concat("done", _typed(F.col("front"))).alias("done"),
+            F.flatten(F.transform("front", lambda e: _children(e["path"], e["v"]))).alias("front"),
         )
+    return df
+
+
+def _entries(done: Column) -> Column:
+    """(path, type, elem, n): n is 1 once for every path of the record.  Only
+    paths below an array can occur twice, so only those are made distinct."""
+    below = lambda e: F.contains(e["path"], F.lit("[]"))
+    row = lambda e, n: F.struct(e["path"].alias("path"), e["type"].alias("type"), e["elem"].alias("elem"), F.lit(n).alias("n"))
+    single = F.transform(F.filter(done, lambda e: ~below(e)), lambda e: row(e, 1))
+    many = F.array_distinct(F.filter(done, below))
+    none = F.lit(None)
+    once = F.transform(
+        F.array_distinct(F.transform(many, lambda e: e["path"])),
+        lambda p: F.struct(p.alias("path"), none.cast("string").alias("type"), none.cast("boolean").alias("elem"), F.lit(1).alias("n")),
     )
+    return F.concat(single, F.transform(many, lambda e: row(e, 0)), once)
+
+
+def _profile(lines: DataFrame, line_col: str) -> DataFrame:
+    """Per path: types_seen, present_rows, has_elements.  One pass goes LEVELS
+    deep and also says whether any record goes deeper (a row without a path);
+    only those records are then written and taken further down, for as long as
+    any are left."""
+    records = valid_variants(lines, line_col).select(_children(F.lit(""), F.col("v")).alias("front"))
+    found = None
+    while True:
+        down = _descend(records)
+        deeper = F.when(
+            F.size("front") > 0,
+            F.array(F.struct(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("type"),
+                             F.lit(None).cast("boolean").alias("elem"), F.lit(1).alias("n"))),
+        )
+        rows = down.select(F.inline(F.concat(_entries(F.col("done")), F.coalesce(deeper, F.filter(_entries(F.col("done")), lambda e: F.lit(False))))))
+        level = rows.groupBy("path").agg(
+            F.array_sort(F.collect_set("type")).alias("types"), F.sum("n").cast("bigint").alias("present_rows"), F.bool_or("elem").alias("has_elements")
+        )
+        level = materialize(level, "profile")
+        here = level.where(F.col("path").isNotNull())
+        found = here if found is None else found.unionByName(here)
+        if level.where(F.col("path").isNull()).isEmpty():
+            return found.withColumn("types_seen", F.concat_ws(",", "types"))
+        records = materialize(down.where(F.size("front") > 0).select("front"), "profile-deeper")
 
 
-def schema_profile(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
+def schema_profile(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """(path, types_seen, present_rows).  ``types_seen`` is the sorted,
-    comma-joined set of type names at that path; a path occurs at most once
-    per record, so ``present_rows`` is a plain (partial-aggregated) count."""
-    return _profile(lines, line_col, max_depth).select("path", "types_seen", "present_rows")
+    comma-joined set of type names at that path; ``present_rows`` counts
+    records, also where a path occurs several times in one."""
+    return _profile(lines, line_col).select("path", "types_seen", "present_rows")
 
 
-def schema_field_count(lines: DataFrame, line_col: str = "value", max_depth: int = 12) -> DataFrame:
+def schema_field_count(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """A14 summary: named fields, leaves, and the compatible field score,
     where a struct scores its number of fields plus their scores, an array 1
     plus its element, a leaf 1 (so a leaf under a struct scores twice).  Over
     paths that is: +1 per named field, +1 per leaf node (a named leaf or an
     array element), +1 per array node, and +1 for an array whose element is
-    never seen (its element type is null).  One scan: the profile
-    aggregation also records whether each array ever had an element."""
-    prof = _profile(lines, line_col, max_depth)
+    never seen (its element type is null)."""
+    prof = _profile(lines, line_col)
     is_elem = F.endswith("path", F.lit("[]"))
-    kinds = F.split("types_seen", ",")
-    is_array = F.array_contains(kinds, "array")
-    is_leaf = ~is_array & ~F.array_contains(kinds, "struct")
+    is_array = F.array_contains("types", "array")
+    is_leaf = ~is_array & ~F.array_contains("types", "struct")
     empty_array = is_array & ~F.coalesce(F.col("has_elements"), F.lit(False))
     return prof.agg(
         F.count_if(~is_elem).cast("bigint").alias("fields"),

@@ -26,14 +26,16 @@ from eventlens.operators.ranking import full_ranking, global_rank, leader_headli
 from eventlens.operators.schema_profile import infer_schema, schema_profile as profile_op
 from eventlens.plans import report as R
 from eventlens.schema import LANGUAGE_PATHS, LANGUAGE_PATHS_3, MIN_EVENTS, TOP_K
-from eventlens.session import ensure_semantics, materialize, scratch_path
-from eventlens.sinks import keyvalue_lines, ndjson, publish, read_keyvalue, reduce_keyvalue, write_json_dir, write_keyvalue
+from eventlens.session import ensure_semantics, scratch_path
+from eventlens.sinks import keyvalue_lines, ndjson, publish, read_keyvalue, reduce_keyvalue, write_hourly, write_json_dir, write_keyvalue
 from eventlens.sources import adapter
-from eventlens.sources.json_scan import parse_events, read_inferred, valid_events
+from eventlens.sources.json_scan import parse_events, read_declared, read_inferred, valid_events
 from eventlens.sources.lines import HOUR_PARTITION, first_n, read_hourly, read_lines
 from eventlens.sources.lines import dataset_summary as summary_op
 from eventlens.sources.lines import volume_gate as gate
-from eventlens.sources.synthetic import generate_events, synthetic_columns
+
+#: Files of the ordered dump.
+N_ORDERED_FILES = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,22 +61,18 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
 def hourly_stream_report(spark, sf):
     """The report maintained by a file stream over hourly gzip dumps, fed in
     three micro-batches (so state carries across batches); returns the
-    report the sink holds at the end."""
-    import math
-
-    from eventlens.streaming.hourly import start_report_stream
+    report over the counts that the sink holds at the end."""
+    from eventlens.streaming.hourly import read_stream_report, start_report_stream
 
     src = scratch_path(spark, "stream-src")
-    publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), src, "text", partition_by=["hour"],
-            compression="gzip")
-    n_files = len(spark.read.text(src).inputFiles())  # file listing only
+    lines = adapter.event_lines_with_hour(spark, sf).select("value", "hour")
+    files = publish(lines, src, "text", partition_by=["hour"], compression="gzip").files
     sink = scratch_path(spark, "stream-sink")
-    q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"),
-                            max_files_per_trigger=max(1, math.ceil(n_files / 3)))
+    q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=max(1, -(-files // 3)))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink)
+    return read_stream_report(spark, sink)
 
 
 # ---------------------------------------------------------------- sources
@@ -88,6 +86,14 @@ def scan_inferred(spark, sf):
     return df.select(name.alias("type_name")).groupBy("type_name").agg(F.count("*").alias("rows"))
 
 
+def scan_declared(spark, sf):
+    """S1 + S2: the declared scan of a dump with blank and padded lines."""
+    path = scratch_path(spark, "declared")
+    adapter.event_lines_with_blanks(spark, sf).write.text(path)
+    name = F.when(~F.col("valid"), F.lit("_corrupt")).otherwise(F.coalesce(F.col("type"), F.lit("(absent)")))
+    return read_declared(spark, path).groupBy(name.alias("type_name")).agg(F.count("*").alias("rows"))
+
+
 def scan_lines(spark, sf):
     """Text scan with blank and padded lines; count valid/broken."""
     path = scratch_path(spark, "lines")
@@ -114,8 +120,8 @@ def first_n_lines(spark, sf):
     from eventlens.sources.lines import first_lines
 
     path = scratch_path(spark, "ordered")
-    ev = adapter.read_events(spark, sf).select("event_id", "ts", "user_id", "event_type", "props")
-    adapter.fixture_columns(ev).orderBy("event_id").select("value").write.text(path)
+    ev = adapter.fixture_columns(adapter.fixture_events(spark, sf))
+    ev.repartitionByRange(N_ORDERED_FILES, "event_id").sortWithinPartitions("event_id").select("value").write.text(path)
     head = parse_events(first_lines(spark, path, 20), keep=["line_no"])
     return head.select(F.col("line_no").alias("rank"), "valid", F.when(F.col("valid"), F.col("id")).alias("id"))
 
@@ -124,7 +130,7 @@ def hourly_gzip_ingest(spark, sf):
     """Hourly gzip layout, hour taken from the file path."""
     path = scratch_path(spark, "hourly")
     publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
-    parsed = parse_events(adapter.spread(read_hourly(spark, path, HOUR_PARTITION, 1)), keep=["source_hour"])
+    parsed = parse_events(read_hourly(spark, path, HOUR_PARTITION, 1), keep=["source_hour"])
     return parsed.groupBy("source_hour").agg(
         F.count("*").alias("lines"), F.count_if("valid").cast("bigint").alias("valid_events")
     )
@@ -142,13 +148,18 @@ def publish_roundtrip(spark, sf):
     return normalize(valid_events(spark.read.text(path))).groupBy("type").agg(F.count("*").alias("events"))
 
 
+def publish_result(spark, sf):
+    """What the publisher reports: rows written, and that files and bytes
+    are those found at the destination."""
+    done = publish(_lines(spark, sf), scratch_path(spark, "published"), "text")
+    back = spark.read.text(done.destination).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"))
+    found = back.groupBy("f").agg(F.max("n").alias("n")).agg(F.sum("n").alias("bytes"))
+    return found.select(F.lit(done.rows).cast("bigint").alias("rows"), (F.col("bytes") == done.bytes).alias("bytes_match"))
+
+
 def volume_gate(spark, sf):
-    """The ingest unless it holds fewer than 50 events (then the
-    generated source derived from the same rows)."""
-    primary = _valid(spark, sf)
-    fallback = valid_events(generate_events(adapter.read_events(spark, sf).select("event_id")))
-    source, chosen = gate(primary, fallback, MIN_EVENTS)
-    return chosen.agg(F.count("*").alias("events")).select(F.lit(source).alias("source"), "events")
+    """Events, the minimum of 50, and whether it is reached."""
+    return gate(_valid(spark, sf), MIN_EVENTS)
 
 
 def json_sink_roundtrip(spark, sf):
@@ -170,37 +181,27 @@ def report_long(spark, sf):
     return R.report_long(_silver(spark, sf))
 
 
+def report_document(spark, sf):
+    """The report with the repository x type matrix and the run's
+    counters as further metrics."""
+    return R.report_document(_parsed(spark, sf))
+
+
 def ndjson_roundtrip(spark, sf):
-    """Normalized events as compact NDJSON, read back."""
+    """Normalized events as compact NDJSON (nulls written), read back:
+    every column, and how many of its keys every line carries."""
     path = scratch_path(spark, "ndjson")
     silver = _silver(spark, sf)
     ndjson(silver).write.text(path)
-    back = spark.read.text(path).select(F.from_json("value", silver.schema).alias("e")).select("e.*")
-    return back.groupBy("type").agg(F.count("*").alias("events"), F.sum("commits").cast("bigint").alias("commits"))
-
-
-def _synthetic_silver(spark, sf):
-    rows = adapter.spread(adapter.read_events(spark, sf).select("event_id"), ["event_id"])
-    return normalize(valid_events(generate_events(rows)))
-
-
-def synthetic_events(spark, sf):
-    """One generated event per ``events`` row, parsed and normalized."""
-    return _synthetic_silver(spark, sf).select("id", "type", "repo", "user", "language", "commits", "hour", "created_at")
-
-
-def weighted_pick(spark, sf):
-    """Distribution of the weighted event-type pick."""
-    rows = adapter.read_events(spark, sf).select("event_id")
-    return synthetic_columns(rows).groupBy(F.col("_type").alias("type")).agg(F.count("*").alias("events"))
+    keys = F.size(F.json_object_keys("value")).cast("bigint").alias("n_keys")
+    return spark.read.text(path).select(F.from_json("value", silver.schema).alias("e"), keys).select("e.*", "n_keys")
 
 
 def dataset_summary(spark, sf):
-    """Events, hours of an hourly dataset (bytes/files are layout-
-    dependent and left out of the comparison)."""
+    """Events, files, days and hours of dumps named ``{day}-{h}.json.gz``."""
     path = scratch_path(spark, "summary")
-    publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
-    return summary_op(read_hourly(spark, path, HOUR_PARTITION, 1)).select("events", "hours", "n_hours")
+    write_hourly(adapter.event_lines_with_hour(spark, sf), path)
+    return summary_op(read_hourly(spark, path)).select("events", "files", "days", "hours", "n_hours")
 
 
 # ------------------------------------------------- projections / functions
@@ -252,7 +253,7 @@ def languages_3path(spark, sf):
 
 
 def payload_keys(spark, sf):
-    """F8."""
+    """F8: all keys of every event."""
     return _valid(spark, sf).select("id", F.concat_ws(",", X.payload_keys("payload")).alias("payload_keys"))
 
 
@@ -329,7 +330,7 @@ def repo_type_counts(spark, sf):
 
 def repo_type_rollup(spark, sf):
     """A9."""
-    return A.repo_type_rollup(_silver(spark, sf)).select("repo", "event_type", F.col("level").cast("bigint").alias("level"), "count")
+    return A.repo_type_rollup(_silver(spark, sf))
 
 
 def repo_type_matrix_top15(spark, sf):
@@ -348,20 +349,20 @@ def run_counters(spark, sf):
 
 
 def schema_inferred(spark, sf):
-    """A13 (rows-only check)."""
-    return infer_schema(_parsed(spark, sf).where("valid").select(F.col("line").alias("value")))
+    """A13."""
+    return infer_schema(_lines(spark, sf))
 
 
 def schema_profile(spark, sf):
     """A14."""
-    return profile_op(_parsed(spark, sf).where("valid").select(F.col("line").alias("value")))
+    return profile_op(_lines(spark, sf))
 
 
 def schema_field_count(spark, sf):
     """A14 summary: fields, leaves and the compatible field score."""
     from eventlens.operators.schema_profile import schema_field_count as count_op
 
-    return count_op(_parsed(spark, sf).where("valid").select(F.col("line").alias("value")))
+    return count_op(_lines(spark, sf))
 
 
 # -------------------------------------------------------------- ranking
@@ -393,29 +394,30 @@ def leader_headline(spark, sf):
     return headline_op(R.report_from_metrics(metrics), R.records_from_metrics(metrics))
 
 
-def _silver_with_lang3(valid: DataFrame) -> DataFrame:
-    """Silver plus the 3-path language, parsed once and materialized for
-    queries that rank the same events several ways."""
-    with_lang3 = valid.withColumn("language3", X.language(LANGUAGE_PATHS_3))
-    return materialize(normalize(with_lang3, keep=["language3"]), "silver-lang3")
+def _metrics_with_lang3(spark, sf) -> DataFrame:
+    """The one-pass aggregate of the report with the 3-path languages as one
+    more kind: every ranking below reads this one exchange."""
+    with_lang3 = _valid(spark, sf).withColumn("language3", X.language(LANGUAGE_PATHS_3))
+    return A.report_metrics(normalize(with_lang3, keep=["language3"]), more={"lang3": "language3"})
+
+
+def _ranking_of(metrics: DataFrame, kind: str, k: int) -> DataFrame:
+    return top_k(metrics.where(F.col("kind") == kind), k)
 
 
 def ranking_agreement(spark, sf):
-    """Q1: one-pass report vs stand-alone rankings (repos, users), and the
+    """Q1: the report's rankings vs stand-alone top-k (repos, users), and the
     4-path vs 3-path language rankings, on their first 5 names."""
-    # parse once: both language variants in one silver table, shared by
-    # every ranking below through a Parquet copy in the shared folder
-    silver = _silver_with_lang3(_valid(spark, sf))
-    rep = R.report_long(silver)
+    metrics = _metrics_with_lang3(spark, sf)
+    rep = R.report_from_metrics(metrics)
 
     def metric(name):
         return rep.where(F.col("metric") == name).select("rank", "name")
 
-    lang3 = R.languages(silver.select(F.col("language3").alias("language")))
     pairs = [
-        ("top_repos", metric("top_repos"), R.top_repos(silver)),
-        ("top_users", metric("top_users"), R.top_users(silver)),
-        ("languages_4_vs_3", metric("languages"), lang3),
+        ("top_repos", metric("top_repos"), _ranking_of(metrics, "repo", TOP_K["repo"])),
+        ("top_users", metric("top_users"), _ranking_of(metrics, "user", TOP_K["user"])),
+        ("languages_4_vs_3", metric("languages"), _ranking_of(metrics, "lang3", TOP_K["lang"])),
     ]
     out = None
     for name, left, right in pairs:
@@ -427,23 +429,21 @@ def ranking_agreement(spark, sf):
 def ranking_fallback(spark, sf):
     """Q2: the stand-alone job's three rankings first, the full report for
     every metric they do not cover."""
-    silver = _silver_with_lang3(_valid(spark, sf))
-    lang3 = R.languages(silver.select(F.col("language3").alias("language")))
+    metrics = _metrics_with_lang3(spark, sf)
     primary = (
-        R.top_push_repos(silver).select(F.lit("top_push_repos").alias("metric"), "*")
-        .unionByName(R.top_users(silver).select(F.lit("top_users").alias("metric"), "*"))
-        .unionByName(lang3.select(F.lit("languages").alias("metric"), "*"))
+        _ranking_of(metrics, "push", TOP_K["push"]).select(F.lit("top_push_repos").alias("metric"), "*")
+        .unionByName(_ranking_of(metrics, "user", TOP_K["user"]).select(F.lit("top_users").alias("metric"), "*"))
+        .unionByName(_ranking_of(metrics, "lang3", TOP_K["lang"]).select(F.lit("languages").alias("metric"), "*"))
     )
-    return ranking_fallback_op(primary, R.report_long(silver))
-
+    return ranking_fallback_op(primary, R.report_from_metrics(metrics))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
-        scan_inferred, scan_lines, malformed_lines, first_n_events, first_n_lines, hourly_gzip_ingest, required_fields,
-        publish_roundtrip, volume_gate, json_sink_roundtrip, text_sink_roundtrip, report_long, ndjson_roundtrip,
-        synthetic_events, weighted_pick, dataset_summary,
+        scan_inferred, scan_declared, scan_lines, malformed_lines, first_n_events, first_n_lines, hourly_gzip_ingest, required_fields,
+        publish_roundtrip, publish_result, volume_gate, json_sink_roundtrip, text_sink_roundtrip, report_long,
+        report_document, ndjson_roundtrip, dataset_summary,
         push_events, language_events, nested_paths, path_coverage, preview,
         normalized_events, languages_3path, payload_keys, keyvalue_decode, keyvalue_parse,
         commit_volume_size_only, ranking_with_blank_names, emissions,

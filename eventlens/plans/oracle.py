@@ -6,14 +6,6 @@ started from (FIXTURES.md section 5).  Integer outputs are BIGINT.
 
 from __future__ import annotations
 
-from eventlens.schema import TOP_K
-from eventlens.sources.adapter import FIXTURE_LANGS
-from eventlens.sources.synthetic import (
-    DEFAULT_DAY, DEFAULT_SEED, ID_BASE, REPO_EXPONENT, REPOS, USER_EXPONENT, USERS, type_thresholds, zipf_thresholds,
-)
-
-_LANGS = ", ".join(f"'{x}'" for x in FIXTURE_LANGS)
-
 # ev: one row per events row with the planted fields; s: the expected
 # normalized (silver) row of every valid line.
 BASE = f"""
@@ -25,14 +17,17 @@ WITH fx AS (
   FROM events
 ), ev AS (
   SELECT *,
-    [{_LANGS}][k % 7 + 1] AS lang,
+    concat('L', lpad(CAST(k % 24 AS VARCHAR), 2, '0')) AS lang,
     CASE event_type WHEN 'purchase' THEN 'PushEvent' WHEN 'click' THEN 'PullRequestEvent'
          WHEN 'signup' THEN 'ForkEvent' WHEN 'error' THEN 'IssuesEvent'
-         WHEN 'view' THEN CASE WHEN event_id % 10 = 0 THEN NULL ELSE 'WatchEvent' END END AS raw_type,
-    CASE WHEN user_id % 7 = 0 THEN NULL WHEN user_id % 11 = 0 THEN '' ELSE concat('user', user_id) END AS raw_login,
+         WHEN 'view' THEN CASE WHEN event_id % 10 = 0 THEN NULL
+              WHEN event_id % 4 = 2 THEN concat('Kind', event_id % 23, 'Event') ELSE 'WatchEvent' END END AS raw_type,
+    CASE WHEN user_id % 7 = 0 THEN NULL WHEN user_id % 11 = 0 THEN ''
+         WHEN user_id % 13 = 0 THEN concat('u', chr(9), user_id, chr(10), chr(92), 'end') ELSE concat('user', user_id) END AS raw_login,
     CASE WHEN user_id % 11 = 0 THEN 'unknown' WHEN user_id % 7 = 0 THEN concat('User', user_id)
-         ELSE concat('user', user_id) END AS usr,
-    CASE WHEN k % 25 = 0 THEN NULL ELSE concat('org', k % 10, '/repo', k) END AS raw_repo,
+         WHEN user_id % 13 = 0 THEN concat('u', chr(9), user_id, chr(10), chr(92), 'end') ELSE concat('user', user_id) END AS usr,
+    CASE WHEN event_id % 3 = 0 THEN 'org0/hot' WHEN k % 25 = 0 THEN NULL ELSE concat('org', k % 10, '/repo', k) END AS raw_repo,
+    CASE WHEN event_id % 97 = 0 THEN (event_id // 97) % 6 END AS broken,
     CASE WHEN event_id % 50 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
     CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%H') END AS hour,
     CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN event_id % 4 ELSE event_id % 5 END AS n_commits
@@ -98,51 +93,17 @@ REPORT = f"""
     SELECT *, row_number() OVER (PARTITION BY metric
                                  ORDER BY CASE WHEN metric = 'hours' THEN name END, count DESC, name) AS rank
     FROM m) x
-  WHERE rank <= CASE metric WHEN 'top_repos' THEN {TOP_K['repo']} WHEN 'top_push_repos' THEN {TOP_K['push']}
-                            WHEN 'top_commit_repos' THEN {TOP_K['commits']} WHEN 'top_users' THEN {TOP_K['user']}
-                            WHEN 'languages' THEN {TOP_K['lang']} WHEN 'event_types' THEN {TOP_K['type']}
+  WHERE rank <= CASE metric WHEN 'top_repos' THEN 15 WHEN 'top_push_repos' THEN 15
+                            WHEN 'top_commit_repos' THEN 15 WHEN 'top_users' THEN 15
+                            WHEN 'languages' THEN 20 WHEN 'event_types' THEN 20
                             ELSE 1000000000 END
 )"""
 
 
-def _synthetic_sql() -> str:
-    """Expected normalized row of every generated event (same md5 draws)."""
-    def u(salt: str) -> str:
-        return f"CAST(('0x' || substr(md5(concat_ws(':', '{DEFAULT_SEED}', event_id, '{salt}')), 1, 8)) AS BIGINT)"
-
-    def pick(expr: str, th: list[int]) -> str:
-        parts = " ".join(f"WHEN {expr} < {t} THEN {i}" for i, t in enumerate(th[:-1]))
-        return f"CASE {parts} ELSE {len(th) - 1} END"
-
-    types = " ".join(f"WHEN {u('type')} % 100 < {cum} THEN '{name}'" for name, cum in type_thresholds()[:-1])
-    repos = ", ".join(f"'{r}'" for r, _ in REPOS)
-    rlangs = ", ".join(f"'{lg}'" for _, lg in REPOS)
-    users = ", ".join(f"'{x}'" for x in USERS)
-    last_type = type_thresholds()[-1][0]
-    return f"""
-, syn0 AS (
-  SELECT event_id,
-    CASE {types} ELSE '{last_type}' END AS type,
-    {pick(u('repo'), zipf_thresholds(len(REPOS), REPO_EXPONENT))} AS ri,
-    {pick(u('user'), zipf_thresholds(len(USERS), USER_EXPONENT))} AS ui,
-    {u('sec')} % 86400 AS sec,
-    {u('n')} % 6 + 1 AS n
-  FROM events
-), syn AS (
-  SELECT CAST({ID_BASE} + event_id AS VARCHAR) AS id, type,
-    [{repos}][ri + 1] AS repo,
-    [{users}][ui + 1] AS "user",
-    CASE WHEN type = 'PushEvent' THEN NULL ELSE [{rlangs}][ri + 1] END AS language,
-    CASE WHEN type = 'PushEvent' THEN n END AS commits,
-    lpad(CAST(sec // 3600 AS VARCHAR), 2, '0') AS hour,
-    concat('{DEFAULT_DAY}T', lpad(CAST(sec // 3600 AS VARCHAR), 2, '0'), ':', lpad(CAST((sec // 60) % 60 AS VARCHAR), 2, '0'),
-           ':', lpad(CAST(sec % 60 AS VARCHAR), 2, '0'), 'Z') AS created_at
-  FROM syn0
-)"""
-
-
 PAYLOAD_KEYS = """CASE s.event_type WHEN 'purchase' THEN CASE WHEN s.event_id % 3 = 1 THEN 'commits' ELSE 'commits,size' END
-  WHEN 'click' THEN 'pull_request' WHEN 'signup' THEN 'forkee' WHEN 'error' THEN 'repository' ELSE '' END"""
+  WHEN 'click' THEN 'pull_request' WHEN 'signup' THEN 'forkee' WHEN 'error' THEN 'repository'
+  ELSE CASE WHEN s.event_id % 4 = 0 THEN 'a,a.b,deep,k1,k2,k3,k4,k5,mix,mix2,n' ELSE '' END END"""
+FIRST_KEYS = PAYLOAD_KEYS.replace(",k5,mix,mix2,n", "").replace("k4", "k4,k5")
 
 PROFILE_ENTRIES = """
 , pe AS (
@@ -164,6 +125,14 @@ PROFILE_ENTRIES = """
             ('payload.pull_request.base.repo', 'struct'), ('payload.pull_request.base.repo.language', 'string'),
             ('payload.pull_request.head', 'struct'), ('payload.pull_request.head.repo', 'struct'),
             ('payload.pull_request.head.repo.language', 'string')) v(p, t) WHERE event_type = 'click'
+  UNION ALL SELECT p, t FROM s, (VALUES ('payload.`a.b`', 'long'), ('payload.a', 'struct'), ('payload.a.b', 'string'),
+            ('payload.n', 'null'), ('payload.mix', 'array'), ('payload.mix[]', 'struct'), ('payload.mix[].x', 'long'),
+            ('payload.mix[].y', 'string'), ('payload.mix[].z', 'long'), ('payload.mix2', 'array'), ('payload.k1', 'long'),
+            ('payload.k2', 'long'), ('payload.k3', 'long'), ('payload.k4', 'long'), ('payload.k5', 'long'), ('payload.deep', 'struct')) v(p, t)
+            WHERE event_type = 'view' AND event_id % 4 = 0
+  UNION ALL SELECT concat('payload.deep', array_to_string(list_transform(range(1, d + 1), lambda i: concat('.d', i)), '')),
+            CASE d WHEN 14 THEN 'boolean' ELSE 'struct' END
+            FROM s, range(1, 15) r(d) WHERE event_type = 'view' AND event_id % 4 = 0
   UNION ALL SELECT 'payload.forkee', 'struct' FROM s WHERE event_type = 'signup'
   UNION ALL SELECT 'payload.forkee.language', 'string' FROM s WHERE event_type = 'signup' AND k % 6 <> 0
   UNION ALL SELECT 'payload.repository', 'struct' FROM s WHERE event_type = 'error'
@@ -185,11 +154,18 @@ def _rep(metric: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "scan_inferred": BASE + """
+SELECT CASE WHEN broken = 0 THEN '_corrupt' WHEN NOT valid THEN '(absent)' ELSE coalesce(raw_type, '(absent)') END AS type_name,
+       CAST(count(*) AS BIGINT) AS rows
+FROM ev GROUP BY 1""",
+    "scan_declared": BASE + """
 SELECT CASE WHEN NOT valid THEN '_corrupt' ELSE coalesce(raw_type, '(absent)') END AS type_name,
        CAST(count(*) AS BIGINT) AS rows
 FROM ev GROUP BY 1""",
     "scan_lines": BASE + "\nSELECT valid, CAST(count(*) AS BIGINT) AS lines FROM ev GROUP BY valid",
-    "malformed_lines": BASE + "\nSELECT 'invalid_json' AS reason, CAST(count(*) AS BIGINT) AS lines FROM ev WHERE NOT valid GROUP BY 1",
+    "malformed_lines": BASE + """
+SELECT ['invalid_json', 'trailing_text', 'trailing_text', 'trailing_text', 'not_object', 'bad_field_type'][broken + 1] AS reason,
+       CAST(count(*) AS BIGINT) AS lines
+FROM ev WHERE NOT valid GROUP BY 1""",
     "first_n_events": BASE + """
 SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY created_at, id) AS BIGINT) AS rank, id, created_at, type FROM s) x
 WHERE rank <= 20""",
@@ -206,20 +182,32 @@ UNION ALL SELECT 'actor', CAST(0 AS BIGINT)
 UNION ALL SELECT 'repo', CAST(0 AS BIGINT)
 UNION ALL SELECT 'payload', CAST(count_if(event_type = 'view' AND event_id % 2 = 1) AS BIGINT) FROM s""",
     "publish_roundtrip": BASE + "\nSELECT type, CAST(count(*) AS BIGINT) AS events FROM s GROUP BY type",
-    "volume_gate": BASE + "\nSELECT 'primary' AS source, CAST(count(*) AS BIGINT) AS events FROM s",
-    "json_sink_roundtrip": BASE + "\n" + _ranking(C_PUSH, TOP_K["push"]),
+    "publish_result": BASE + "\nSELECT CAST(count(*) AS BIGINT) AS rows, true AS bytes_match FROM ev",
+    "volume_gate": BASE + "\nSELECT CAST(count(*) AS BIGINT) AS events, CAST(50 AS BIGINT) AS minimum, count(*) >= 50 AS passed FROM s",
+    "json_sink_roundtrip": BASE + "\n" + _ranking(C_PUSH, 15),
     "text_sink_roundtrip": BASE + "\nSELECT key, kind, name, event_type, value FROM ml",
     "report_long": BASE + REPORT + "\nSELECT * FROM rep",
+    "report_document": BASE + REPORT + """
+, tot AS (
+  SELECT * FROM (SELECT repo, row_number() OVER (ORDER BY count(*) DESC, repo) AS r FROM s GROUP BY repo) x WHERE r <= 15
+), cnt AS (
+  SELECT (SELECT count(*) FROM s) AS records, (SELECT count(*) FROM ev WHERE NOT valid) AS malformed,
+         (SELECT count(*) FROM em) AS emissions, (SELECT count(*) FROM ml) AS keys)
+SELECT metric, rank, name, count FROM rep
+UNION ALL SELECT 'repo_type_matrix', CAST(r AS BIGINT), concat_ws('|', s.repo, s.type), CAST(count(*) AS BIGINT)
+  FROM s JOIN tot USING (repo) GROUP BY r, s.repo, s.type
+UNION ALL SELECT 'counters', CAST(1 AS BIGINT), 'records', CAST(records AS BIGINT) FROM cnt
+UNION ALL SELECT 'counters', CAST(2 AS BIGINT), 'malformed', CAST(malformed AS BIGINT) FROM cnt
+UNION ALL SELECT 'counters', CAST(3 AS BIGINT), 'emissions', CAST(emissions AS BIGINT) FROM cnt
+UNION ALL SELECT 'counters', CAST(4 AS BIGINT), 'keys', CAST(keys AS BIGINT) FROM cnt""",
     "hourly_stream_report": BASE + REPORT + "\nSELECT * FROM rep",
     "ndjson_roundtrip": BASE + """
-SELECT type, CAST(count(*) AS BIGINT) AS events, CAST(sum(commits) AS BIGINT) AS commits FROM s GROUP BY type""",
-    "synthetic_events": BASE + _synthetic_sql() + """
-SELECT id, type, repo, "user", language, CAST(commits AS BIGINT) AS commits, hour, created_at FROM syn""",
-    "weighted_pick": BASE + _synthetic_sql() + "\nSELECT type, CAST(count(*) AS BIGINT) AS events FROM syn GROUP BY type",
+SELECT id, type, repo, "user", language, hour, CAST(commits AS BIGINT) AS commits, created_at, CAST(8 AS BIGINT) AS n_keys FROM s""",
     "dataset_summary": BASE + """
-SELECT CAST(count(*) AS BIGINT) AS events, array_to_string(list_sort(list(DISTINCT h)), ',') AS hours,
+SELECT CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT d || h) AS BIGINT) AS files,
+       array_to_string(list_sort(list(DISTINCT d)), ',') AS days, array_to_string(list_sort(list(DISTINCT h)), ',') AS hours,
        CAST(count(DISTINCT h) AS BIGINT) AS n_hours
-FROM (SELECT strftime(ts, '%H') AS h FROM ev) x""",
+FROM (SELECT strftime(ts, '%H') AS h, strftime(ts, '%Y-%m-%d') AS d FROM ev) x""",
     "push_events": BASE + "\nSELECT id, repo, CAST(commits AS BIGINT) AS commits FROM s WHERE type = 'PushEvent'",
     "language_events": BASE + "\nSELECT id, language FROM s WHERE language IS NOT NULL",
     "nested_paths": BASE + """
@@ -242,11 +230,11 @@ SELECT p AS path, CAST(n AS BIGINT) AS present_rows FROM (
     "preview": BASE + f"""
 SELECT * FROM (
   SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) AS rank, id, raw_type AS type, "user" AS actor, repo,
-         created_at, language, {PAYLOAD_KEYS} AS payload_keys
+         created_at, language, {FIRST_KEYS} AS payload_keys
   FROM s) x WHERE rank <= 20""",
     "normalized_events": BASE + """
 SELECT id, type, repo, "user", language, CAST(commits AS BIGINT) AS commits, hour FROM s""",
-    "languages_3path": BASE + "\n" + _ranking(C_LANG3, TOP_K["lang"]),
+    "languages_3path": BASE + "\n" + _ranking(C_LANG3, 20),
     "payload_keys": BASE + f"\nSELECT id, {PAYLOAD_KEYS} AS payload_keys FROM s",
     "keyvalue_decode": BASE + "\nSELECT key, kind, name, event_type, value FROM ml",
     "keyvalue_parse": BASE + """
@@ -254,18 +242,18 @@ SELECT CASE WHEN kind = 'evt' THEN concat_ws('|', kind, name, event_type) ELSE c
        CAST(sum(CASE WHEN event_id % 17 = 0 OR event_id % 19 = 0 THEN 1 ELSE value END) AS BIGINT) AS value
 FROM em GROUP BY 1""",
     "commit_volume_size_only": BASE + "\n" + _ranking(
-        "SELECT repo AS name, sum(size_only) AS count FROM s WHERE type = 'PushEvent' GROUP BY repo", TOP_K["commits"]),
+        "SELECT repo AS name, sum(size_only) AS count FROM s WHERE type = 'PushEvent' GROUP BY repo", 15),
     "ranking_with_blank_names": BASE + "\n" + _ranking(
-        "SELECT coalesce(raw_login, '') AS name, count(*) AS count FROM s GROUP BY raw_login", TOP_K["user"]),
+        "SELECT coalesce(raw_login, '') AS name, count(*) AS count FROM s GROUP BY raw_login", 15),
     "emissions": BASE + """
 SELECT id, kind, CASE WHEN kind = 'evt' THEN concat_ws('|', kind, name, event_type) ELSE concat_ws('|', kind, name) END AS key,
        CAST(value AS BIGINT) AS value
 FROM em""",
-    "top_repos": BASE + "\n" + _ranking(C_REPO, TOP_K["repo"]),
-    "top_push_repos": BASE + "\n" + _ranking(C_PUSH, TOP_K["push"]),
-    "top_commit_repos": BASE + "\n" + _ranking(C_COMMITS, TOP_K["commits"]),
-    "top_users": BASE + "\n" + _ranking(C_USER, TOP_K["user"]),
-    "languages": BASE + "\n" + _ranking(C_LANG, TOP_K["lang"]),
+    "top_repos": BASE + "\n" + _ranking(C_REPO, 15),
+    "top_push_repos": BASE + "\n" + _ranking(C_PUSH, 15),
+    "top_commit_repos": BASE + "\n" + _ranking(C_COMMITS, 15),
+    "top_users": BASE + "\n" + _ranking(C_USER, 15),
+    "languages": BASE + "\n" + _ranking(C_LANG, 20),
     "event_types": BASE + "\n" + _ranking(C_TYPE, None),
     "events_by_hour": BASE + "\n" + _ranking(C_HOUR, None, by_name=True),
     "repo_type_counts": BASE + "\nSELECT repo, type AS event_type, CAST(count(*) AS BIGINT) AS count FROM s GROUP BY repo, type",
@@ -293,6 +281,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM s) AS records,
     bool_or(NOT (event_type = 'view' AND event_id % 2 = 1)) AS has_payload,
     bool_or(event_type = 'purchase') AS has_push, bool_or(event_type = 'purchase' AND n_commits > 0) AS has_commit,
     bool_or(event_type = 'signup') AS has_fork, bool_or(event_type = 'signup' AND k % 6 <> 0) AS has_fork_lang,
+    bool_or(event_type = 'view' AND event_id % 4 = 0) AS has_rich,
     bool_or(event_type = 'click') AS has_pr, bool_or(event_type = 'error') AS has_issue,
     bool_or(event_type = 'purchase' AND event_id % 3 = 0) AS size_int,
     bool_or(event_type = 'purchase' AND event_id % 3 = 2) AS size_str,
@@ -304,8 +293,13 @@ SELECT CAST(records AS BIGINT) AS records,
                                                      CASE WHEN has_login THEN 'login: STRING' END], lambda x: x IS NOT NULL), ', ') || '>',
     'created_at: STRING', 'id: STRING',
     CASE WHEN has_payload THEN 'payload: OBJECT<' || array_to_string(list_filter([
+      CASE WHEN has_rich THEN 'a: OBJECT<b: STRING>, `a.b`: BIGINT' END,
       CASE WHEN has_push THEN 'commits: ARRAY<' || CASE WHEN has_commit THEN 'OBJECT<sha: STRING>' ELSE 'VOID' END || '>' END,
+      CASE WHEN has_rich THEN 'deep: ' || array_to_string(list_transform(range(1, 15), lambda i: concat('OBJECT<d', i, ': ')), '')
+                              || 'BOOLEAN' || repeat('>', 14) END,
       CASE WHEN has_fork THEN 'forkee: OBJECT<' || CASE WHEN has_fork_lang THEN 'language: STRING' ELSE '' END || '>' END,
+      CASE WHEN has_rich THEN 'k1: BIGINT, k2: BIGINT, k3: BIGINT, k4: BIGINT, k5: BIGINT, '
+                              || 'mix: ARRAY<OBJECT<x: BIGINT, y: STRING, z: BIGINT>>, mix2: ARRAY<VARIANT>, n: VOID' END,
       CASE WHEN has_pr THEN 'pull_request: OBJECT<base: OBJECT<repo: OBJECT<language: STRING>>, '
                             || 'head: OBJECT<repo: OBJECT<language: STRING>>>' END,
       CASE WHEN has_issue THEN 'repository: OBJECT<language: STRING>' END,
@@ -316,9 +310,12 @@ SELECT CAST(records AS BIGINT) AS records,
 FROM flags""",
     "schema_profile": BASE + PROFILE_ENTRIES + """
 SELECT path, array_to_string(list_sort(list(DISTINCT t)), ',') AS types_seen, CAST(count(*) AS BIGINT) AS present_rows
-FROM pe GROUP BY path""",
+FROM pe GROUP BY path
+UNION ALL SELECT 'payload.mix2[]', 'long,string', CAST(count(*) AS BIGINT) FROM s WHERE event_type = 'view' AND event_id % 4 = 0
+HAVING count(*) > 0""",
     "schema_field_count": BASE + PROFILE_ENTRIES + """
-, prof AS (SELECT path, list_sort(list(DISTINCT t)) AS ts FROM pe GROUP BY path)
+, prof AS (SELECT path, list_sort(list(DISTINCT t)) AS ts FROM pe GROUP BY path
+  UNION ALL SELECT 'payload.mix2[]', ['long', 'string'] FROM s WHERE event_type = 'view' AND event_id % 4 = 0 GROUP BY 1)
 SELECT CAST(count_if(NOT ends_with(path, '[]')) AS BIGINT) AS fields,
        CAST(count_if(NOT list_contains(ts, 'struct') AND NOT list_contains(ts, 'array')) AS BIGINT) AS leaves,
        CAST(count_if(NOT ends_with(path, '[]'))
@@ -338,15 +335,15 @@ SELECT metric, max(CASE WHEN rank = 1 THEN name END) AS leader, max(CASE WHEN ra
        CAST(count(*) AS BIGINT) AS entries, (SELECT CAST(count(*) AS BIGINT) FROM s) AS records
 FROM rep GROUP BY metric""",
     "ranking_agreement": BASE + REPORT + "\n" + "\nUNION ALL\n".join([
-        _agreement("top_repos", _rep("top_repos"), _ranking(C_REPO, TOP_K["repo"])),
-        _agreement("top_users", _rep("top_users"), _ranking(C_USER, TOP_K["user"])),
-        _agreement("languages_4_vs_3", _rep("languages"), _ranking(C_LANG3, TOP_K["lang"])),
+        _agreement("top_repos", _rep("top_repos"), _ranking(C_REPO, 15)),
+        _agreement("top_users", _rep("top_users"), _ranking(C_USER, 15)),
+        _agreement("languages_4_vs_3", _rep("languages"), _ranking(C_LANG3, 20)),
     ]),
     "ranking_fallback": BASE + REPORT + f"""
 , prim AS (
-  SELECT 'top_push_repos' AS metric, * FROM ({_ranking(C_PUSH, TOP_K['push'])}) a
-  UNION ALL SELECT 'top_users', * FROM ({_ranking(C_USER, TOP_K['user'])}) b
-  UNION ALL SELECT 'languages', * FROM ({_ranking(C_LANG3, TOP_K['lang'])}) c
+  SELECT 'top_push_repos' AS metric, * FROM ({_ranking(C_PUSH, 15)}) a
+  UNION ALL SELECT 'top_users', * FROM ({_ranking(C_USER, 15)}) b
+  UNION ALL SELECT 'languages', * FROM ({_ranking(C_LANG3, 20)}) c
 )
 SELECT metric, rank, name, count, 'primary' AS source FROM prim
 UNION ALL SELECT metric, rank, name, count, 'secondary' FROM rep WHERE metric NOT IN (SELECT metric FROM prim)""",

@@ -18,6 +18,7 @@ from eventlens.operators import aggregates as A
 from eventlens.operators.normalize import normalize
 from eventlens.operators.ranking import top_k, top_k_per_metric
 from eventlens.schema import TOP_K
+from eventlens.session import materialize
 from eventlens.sources.adapter import event_lines
 from eventlens.sources.json_scan import valid_events
 
@@ -40,6 +41,23 @@ def report_from_metrics(metrics: DataFrame, limits: dict[str, int] | None = None
     return top_k_per_metric(metrics, limits or TOP_K)
 
 
+def report_document(parsed: DataFrame) -> DataFrame:
+    """S11, whole document: the report, the repository x type matrix (one row
+    per repository and type, ranked as the repository; name ``repo|type``) and
+    the counters, all as (metric, rank, name, count).  Lines are parsed once:
+    every part reads one materialised table of normalized rows."""
+    rows = materialize(normalize(parsed, keep=["valid"]), "document-rows")
+    silver = rows.where("valid").drop("valid")
+    cells = A.repo_type_matrix(silver).select("repo_rank", "repo", F.explode(F.from_json("types_json", "map<string, bigint>")).alias("type", "count"))
+    matrix = cells.select(
+        F.lit("repo_type_matrix").alias("metric"), F.col("repo_rank").alias("rank"), F.concat_ws("|", "repo", "type").alias("name"), "count"
+    )
+    names = ["records", "malformed", "emissions", "keys"]
+    pairs = F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("rank"), F.lit(n).alias("name"), F.col(n).alias("count")) for i, n in enumerate(names)])
+    counters = A.counters_from_normalized(rows).select(F.lit("counters").alias("metric"), F.inline(pairs))
+    return report_long(silver).unionByName(matrix).unionByName(counters)
+
+
 def records_from_metrics(metrics: DataFrame) -> DataFrame:
     """Valid records = total of the event-type counts (each record has
     exactly one type).  Shares the report's aggregation exchange."""

@@ -51,9 +51,7 @@ TOP_K = {
     "user": 15,
     "lang": 20,
     "type": 20,
-    "hour": 24,
 }
-MATRIX_K = 15
 PREVIEW_N = 20
 PREVIEW_KEYS = 8
 MIN_EVENTS = 50

@@ -3,22 +3,70 @@ any Hadoop-FS URI; nothing is funnelled through the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.keyvalue import decode_key, encode_key, encode_line, parse_value, split_line
 
 
+class Published(NamedTuple):
+    """What ``publish`` wrote."""
+
+    destination: str
+    rows: int
+    files: int
+    bytes: int
+
+
 def publish(df: DataFrame, uri: str, fmt: str = "text", mode: str = "overwrite", partition_by: list[str] | None = None,
-            compression: str | None = None) -> None:
+            compression: str | None = None) -> Published:
     """Publish a dataset to a lake path (``hdfs://``, ``s3a://``, ``file:``),
-    replacing what was there."""
-    w = df.write.mode(mode)
+    replacing what was there.  Rows are counted while they are written; files
+    and bytes come from the file system's summary of the path."""
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if compression:
         w = w.option("compression", compression)
     getattr(w, fmt)(uri)
+    files, size = path_size(df.sparkSession, uri)
+    return Published(uri, seen.get["rows"], files, size)
+
+
+def path_size(spark: SparkSession, uri: str) -> tuple[int, int]:
+    """Data files and bytes under a path, by the file system's own summary."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(path, True)
+    files = size = 0
+    while found.hasNext():
+        status = found.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            files, size = files + 1, size + status.getLen()
+    return files, size
+
+
+def write_hourly(lines: DataFrame, base: str, day: str = "day", hour: str = "hour") -> None:
+    """Hourly dumps ``{base}/{day}-{h}.json.gz``, one file an hour as the
+    archive's layout has it: lines are written by day and hour, then the files
+    are renamed (names only; the number of hours)."""
+    spark = lines.sparkSession
+    whole = lines.select("value", F.col(day).cast("string").alias("day"), F.col(hour).cast("int").alias("h"))
+    staging = f"{base.rstrip('/')}/_staging"
+    whole.repartition("day", "h").write.mode("overwrite").partitionBy("day", "h").option("compression", "gzip").text(staging)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = new(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(new(staging), True)
+    while found.hasNext():
+        path = found.next().getPath()
+        if path.getName().startswith("part-"):
+            hours = path.getParent()
+            name = f"{hours.getParent().getName().removeprefix('day=')}-{hours.getName().removeprefix('h=')}.json.gz"
+            fs.rename(path, new(f"{base.rstrip('/')}/{name}"))
+    fs.delete(new(staging), True)
 
 
 def write_json_dir(df: DataFrame, path: str) -> None:
@@ -26,14 +74,16 @@ def write_json_dir(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def keyvalue_lines(metrics: DataFrame) -> DataFrame:
-    """S10 + F9: (kind, name, event_type, value) -> ``key<TAB>value`` text."""
+def keyvalue_lines(metrics: DataFrame, sort: bool = False) -> DataFrame:
+    """S10 + F9: (kind, name, event_type, value) -> ``key<TAB>value`` text,
+    with ``sort`` in order of the encoded key."""
     key = F.when(F.col("kind") == "evt", encode_key("kind", "name", "event_type")).otherwise(encode_key("kind", "name"))
-    return metrics.select(encode_line(key, "value").alias("value"))
+    rows = metrics.select(key.alias("key"), "value")
+    return (rows.orderBy("key") if sort else rows).select(encode_line("key", "value").alias("value"))
 
 
-def write_keyvalue(metrics: DataFrame, path: str) -> None:
-    keyvalue_lines(metrics).write.mode("overwrite").text(path)
+def write_keyvalue(metrics: DataFrame, path: str, sort: bool = False) -> None:
+    keyvalue_lines(metrics, sort).write.mode("overwrite").text(path)
 
 
 def read_keyvalue(spark: SparkSession, path: str) -> DataFrame:
@@ -56,8 +106,8 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def ndjson(df: DataFrame) -> DataFrame:
-    """Compact JSON text of every row (NULL fields left out)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    """Compact JSON text of every row; NULL fields are written as null."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_ndjson(df: DataFrame, path: str, compression: str | None = None) -> None:

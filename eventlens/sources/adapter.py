@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values (fixture rules) ---
-FIXTURE_LANGS = ["Scala", "Java", "Python", "Go", "Rust", "C++", "Zig"]
 TYPE_OF = {
     "purchase": "PushEvent",
     "click": "PullRequestEvent",
@@ -22,25 +21,40 @@ TYPE_OF = {
     "error": "IssuesEvent",
     "view": "WatchEvent",
 }
-BROKEN_LINE = '{"id":"broken"'
+BROKEN_LINES = [
+    '{"id":"broken"',
+    '{"id":"1"} {"id":"2"}',
+    '{"id":"1"}, junk}',
+    '{"id":"1"}}',
+    '[{"id":"1"}]',
+    '{"id":"1","actor":"bob"}',
+]
+# Depth over 12, more than 8 keys, a key with a dot, nulls, arrays whose later
+# elements have other fields.
+DEEP = "true"
+for _level in range(14, 0, -1):
+    DEEP = f'{{"d{_level}":{DEEP}}}'
+RICH_PAYLOAD = (
+    '{"a.b":1,"a":{"b":"s"},"n":null,"mix":[{"x":1},{"y":"s","z":2}],"mix2":[1,"s"],'
+    f'"k1":1,"k2":2,"k3":3,"k4":4,"k5":5,"deep":{DEEP}}}'
+)
 # --- end fixed values ---
 
 
-def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Parsing JSON is CPU-heavy and row-local.  When a scan yields fewer
-    partitions than the cluster has cores (a few large row groups, or a few
-    gzip files), spread the rows first; on a large input the scan already has
-    thousands of splits and this is a no-op.
+def spread(df: DataFrame, partitions: int | None, keys: list[str] | None = None) -> DataFrame:
+    """Parsing JSON is CPU-heavy and row-local.  Where a scan is known to have
+    too few splits (a few large row groups or gzip files), the caller spreads
+    its rows over ``partitions`` first; None leaves the scan as it is, which
+    is right for inputs of many splits.
 
     With ``keys`` (unique per row, e.g. an event id) rows are hash-placed;
     without, round-robin, which stays balanced even when many rows are
     identical (a hash of the content would put all copies in one task).
     Both are deterministic under task retries (Spark sorts before a
     round-robin repartition), so a recomputed partition gets the same rows."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if partitions is None:
         return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+    return df.repartition(partitions, *keys) if keys else df.repartition(partitions)
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,17 +75,19 @@ def fixture_columns(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
     et = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    lang = F.element_at(F.array(*[F.lit(x) for x in FIXTURE_LANGS]), (k % 7 + 1).cast("int"))
+    lang = F.concat(F.lit("L"), F.lpad((k % 24).cast("string"), 2, "0"))
 
-    etype = F.when((et == "view") & (eid % 10 == 0), F.lit(None).cast("string"))
+    etype = F.when((et == "view") & (eid % 10 == 0), F.lit(None).cast("string")).when(
+        (et == "view") & (eid % 4 == 2), F.concat(F.lit("Kind"), (eid % 23).cast("string"), F.lit("Event"))
+    )
     for raw, name in TYPE_OF.items():
         etype = etype.when(et == raw, F.lit(name))
 
-    login = F.when(uid % 7 == 0, F.lit(None).cast("string")).when(uid % 11 == 0, F.lit("")).otherwise(
-        F.concat(F.lit("user"), uid.cast("string"))
-    )
+    login = F.when(uid % 7 == 0, F.lit(None).cast("string")).when(uid % 11 == 0, F.lit("")).when(
+        uid % 13 == 0, F.concat(F.lit("u\t"), uid.cast("string"), F.lit("\n\\end"))
+    ).otherwise(F.concat(F.lit("user"), uid.cast("string")))
     display = F.when(uid % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("User"), uid.cast("string")))
-    repo_name = F.when(k % 25 == 0, F.lit(None).cast("string")).otherwise(
+    repo_name = F.when(eid % 3 == 0, F.lit("org0/hot")).when(k % 25 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("org"), (k % 10).cast("string"), F.lit("/repo"), k.cast("string"))
     )
 
@@ -98,6 +114,7 @@ def fixture_columns(events: DataFrame) -> DataFrame:
         .when(et == "click", pr_payload)
         .when(et == "signup", fork_payload)
         .when(et == "error", issue_payload)
+        .when((et == "view") & (eid % 4 == 0), F.lit(RICH_PAYLOAD))
         .when((et == "view") & (eid % 2 == 0), F.lit("{}"))
     )
     created = F.when(eid % 50 == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(
@@ -112,7 +129,8 @@ def fixture_columns(events: DataFrame) -> DataFrame:
             created.alias("created_at"),
         )
     )
-    return events.withColumn("value", F.when(eid % 97 == 0, F.lit(BROKEN_LINE)).otherwise(splice_payload(envelope, payload)))
+    broken = F.element_at(F.array(*[F.lit(x) for x in BROKEN_LINES]), (F.floor(eid / 97) % len(BROKEN_LINES) + 1).cast("int"))
+    return events.withColumn("value", F.when(eid % 97 == 0, broken).otherwise(splice_payload(envelope, payload)))
 
 
 def splice_payload(envelope: Column, payload: Column) -> Column:
@@ -122,22 +140,29 @@ def splice_payload(envelope: Column, payload: Column) -> Column:
     return F.when(payload.isNull(), envelope).otherwise(F.concat(body, F.lit(',"payload":'), payload, F.lit("}")))
 
 
+def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's columns that make a line; the driver's file has one row
+    group, so its rows are spread over the session's cores."""
+    ev = read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props")
+    return spread(ev, spark.sparkContext.defaultParallelism, ["event_id"])
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NDJSON line per ``events`` row, column ``value`` (like ``read.text``)."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
+    ev = fixture_events(spark, sf_dir)
     return fixture_columns(ev).select("value")
 
 
 def event_lines_with_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines plus the UTC hour (``HH``) of the source event, for hourly layouts."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
+    ev = fixture_events(spark, sf_dir)
     return fixture_columns(ev).select("value", F.date_format("ts", "HH").alias("hour"), F.to_date("ts").alias("day"))
 
 
 def event_lines_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines where every 13th event is followed by a whitespace-only line and
     every 17th line carries surrounding spaces (exercises strip + skip)."""
-    ev = spread(read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "props"), ["event_id"])
+    ev = fixture_events(spark, sf_dir)
     fx = fixture_columns(ev)
     line = F.when(F.col("event_id") % 17 == 0, F.concat(F.lit("  "), "value", F.lit(" \t"))).otherwise(F.col("value"))
     arr = F.when(F.col("event_id") % 13 == 0, F.array(line, F.lit("   "))).otherwise(F.array(line))

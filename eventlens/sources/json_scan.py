@@ -2,10 +2,12 @@
 
 ``parse_events`` parses each line exactly once with ``from_json`` against the
 declared envelope.  A line is a valid event only when it is one JSON object:
-it must start with ``{``, end with ``}`` (Spark would otherwise accept trailing
-text after the object), parse without a corrupt-record marker, and have
-object-typed ``actor`` / ``repo`` when present.  Everything else is
-quarantined with a reason and never reaches a metric.
+it must start with ``{``, parse without a corrupt-record marker, and have
+object-typed ``actor`` / ``repo`` when present (a falsy value, such as an
+empty string, counts as missing).  Nothing may follow the object: Spark's
+parser stops at its end, so the line must also be exactly one element when
+wrapped in brackets.  Everything else is quarantined with a reason and never
+reaches a metric; ``quarantine`` gives those lines for a sink.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.schema import CORRUPT_COL, EVENT_DDL
+from eventlens.sources.lines import read_lines
 
 EVENT_FIELDS = ["id", "type", "actor", "repo", "payload", "created_at"]
 
@@ -29,18 +32,36 @@ def parse_events(lines: DataFrame, line_col: str = "value", keep: list[str] | No
     # the validity filter below a Generate, so neither the line expression nor
     # from_json is copied into the filter (each line is parsed exactly once).
     df = lines.select(F.inline(F.array(F.struct(*[F.col(c) for c in keep], line.alias("line"), parsed.alias("_e")))))
+    one = "json_array_length(concat('[', line, ']')) IS DISTINCT FROM 1"
     reason = F.expr(f"""CASE
         WHEN length(line) = 0 THEN 'empty'
         WHEN NOT startswith(line, '{{') THEN 'not_object'
         WHEN _e.{CORRUPT_COL} IS NOT NULL THEN
-          CASE WHEN try_parse_json(line) IS NULL THEN 'invalid_json' ELSE 'bad_field_type' END
-        WHEN NOT endswith(line, '}}') THEN 'trailing_text'
+          CASE WHEN try_parse_json(line) IS NULL THEN 'invalid_json'
+               WHEN {one} THEN 'trailing_text'
+               WHEN NOT ({_object_or_falsy('actor')} AND {_object_or_falsy('repo')}) THEN 'bad_field_type' END
+        WHEN {one} THEN 'trailing_text'
       END""")
     return df.select(*keep, "line", *[F.col(f"_e.{c}").alias(c) for c in EVENT_FIELDS], reason.alias("reason")).withColumn(
         "valid", F.col("reason").isNull()
     )
 
 
+def _object_or_falsy(field: str, variant: str = "try_parse_json(line)") -> str:
+    """SQL: the field is an object, or absent, null, false, 0, "" or []."""
+    text = f"coalesce(to_json(try_variant_get({variant}, '$.{field}', 'variant')), 'null')"
+    return f"""(startswith({text}, '{{') OR {text} IN ('null', 'false', '0', '0.0', '""', '[]'))"""
+
+
+def valid_variants(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """The valid lines as one VARIANT column ``v``, parsed once, by the same
+    rules as ``parse_events`` (for schema discovery, which needs no envelope)."""
+    v = F.try_parse_json(F.col(line_col))
+    one = F.json_array_length(F.concat(F.lit("["), F.col(line_col), F.lit("]"))) == 1
+    kept = lines.where(F.startswith(F.col(line_col), F.lit("{")) & one).select(F.inline(F.array(F.struct(v.alias("v")))))
+    return kept.where(F.expr(f"v IS NOT NULL AND {_object_or_falsy('actor', 'v')} AND {_object_or_falsy('repo', 'v')}"))
+
+
 def valid_events(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return parse_events(lines, line_col).where("valid").drop("valid", "reason")
 
@@ -49,20 +70,14 @@ def quarantine(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return parse_events(lines, line_col).where(~F.col("valid")).select("line", "reason")
 
 
-def read_inferred(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0) -> DataFrame:
+def read_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``spark.read.json`` with an inferred nested schema.  Inference is
-    a distributed pass of its own over the input (``sampling_ratio`` < 1
-    reads a fraction of the lines for it; the data pass still reads all).
-    Malformed lines come back as rows with only ``_corrupt_record`` set.
+    a distributed pass of its own over all lines.  Malformed lines come back as rows with only ``_corrupt_record`` set.
     For production runs prefer ``read_declared``: no inference pass."""
-    return (
-        spark.read.option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .option("samplingRatio", str(sampling_ratio))
-        .json(path)
-    )
+    return spark.read.option("columnNameOfCorruptRecord", CORRUPT_COL).json(path)
 
 
 def read_declared(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text scan + ``parse_events``: the production path (no inference job,
+    """S2 line scan + ``parse_events``: the production path (no inference job,
     corrupt detection not affected by column pruning)."""
-    return parse_events(spark.read.text(path))
+    return parse_events(read_lines(spark, path))

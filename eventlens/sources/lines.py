@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,28 +33,37 @@ def first_n(events: DataFrame, n: int, order: list[str] | None = None) -> DataFr
     return events.orderBy(*(order or ["created_at", "id"])).limit(n)
 
 
+def _file_order(path: str) -> tuple:
+    """Hourly dumps by day and numeric hour, other files by path."""
+    named = re.search(HOURLY_NAME, path)
+    return (named[1], int(named[2]), path) if named else ("", -1, path)
+
+
 def first_lines(spark: SparkSession, path: str | list[str], n: int) -> DataFrame:
     """S4, file-order form: the first ``n`` non-blank lines (with their
-    1-based ``line_no``) of the input as a
-    reader going file by file would see them (hourly dump names
-    ``{day}-{h}.json.gz`` are taken in day, then numeric hour order; other
-    files by path).  Within a file, lines keep their order through (split
-    start, position in the split); a file split is read by one task in
-    order, so the key is stable across retries.  ``orderBy().limit(n)``
-    plans as TakeOrderedAndProject: each task keeps its first n."""
-    df = spark.read.text(path).select(
-        strip("value").alias("value"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
+    1-based ``line_no``) of the input as a reader going file by file would see
+    them.  Files are listed (names only) and ordered; the first is read, and
+    more, twice as many each time, only while fewer than ``n`` lines were
+    found.  Within a file, lines keep their order through (split start,
+    position in the split).  ``orderBy().limit(n)`` plans as
+    TakeOrderedAndProject: each task keeps its first n."""
+    from pyspark.sql import Window
+
+    files = sorted((unquote(f) for f in spark.read.text(path).inputFiles()), key=_file_order)
     day = F.regexp_extract("source_file", HOURLY_NAME, 1)
     hour = F.regexp_extract("source_file", HOURLY_NAME, 2)
-    df = df.select("*", day.alias("_day"), F.when(hour != "", hour.cast("int")).otherwise(F.lit(-1)).alias("_hour"))
     key = ["_day", "_hour", "source_file", "_block", "_pos"]
-    from pyspark.sql import Window
-
-    head = df.where(F.length("value") > 0).orderBy(*key).limit(n)
+    taken, head = 0, None
+    while head is None or (taken < len(files) and head.count() < n):
+        taken = min(max(1, 2 * taken), len(files))
+        df = spark.read.text(files[:taken] or path).select(
+            strip("value").alias("value"),
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_pos"),
+        )
+        df = df.select("*", day.alias("_day"), F.when(hour != "", hour.cast("int")).otherwise(F.lit(-1)).alias("_hour"))
+        head = df.where(F.length("value") > 0).orderBy(*key).limit(n)
     return head.select(F.row_number().over(Window.orderBy(*key)).cast("bigint").alias("line_no"), "value", "source_file")
 
 
@@ -96,9 +108,10 @@ def dataset_summary(hourly: DataFrame) -> DataFrame:
     )
 
 
-def volume_gate(primary: DataFrame, fallback: DataFrame, minimum: int) -> tuple[str, DataFrame]:
-    """Use ``primary`` unless it holds fewer than ``minimum`` rows.
-
-    The check reads at most ``minimum`` rows (``limit`` before ``count``)."""
-    n = primary.limit(minimum).count()
-    return ("primary", primary) if n >= minimum else ("fallback", fallback)
+def volume_gate(events: DataFrame, minimum: int) -> DataFrame:
+    """Whether an ingest holds at least ``minimum`` events: one row
+    (events, minimum, passed).  It reports; what to read instead is the
+    caller's decision, and no other data takes the place of these."""
+    return events.agg(F.count("*").alias("events")).select(
+        "events", F.lit(minimum).cast("bigint").alias("minimum"), (F.col("events") >= minimum).alias("passed")
+    )

@@ -6,17 +6,19 @@ reads them (``maxFilesPerTrigger`` bounds a micro-batch), the same parse and
 normalize as the batch path run per micro-batch, and the report's single
 aggregation is kept as streaming state keyed by (kind, name) -- its size is
 the number of distinct repositories, users, languages, types and hours, not
-the number of events.  After every micro-batch ``foreachBatch`` expands the
-complete aggregate and writes the current top-k report (overwrite), so the
-sink always holds the report of everything seen so far.  Progress and state
-live in the checkpoint folder, so a restarted query resumes where it
-stopped.  No watermark is needed: the rankings are over all time, not
+the number of events.  In ``update`` mode each micro-batch hands
+``foreachBatch`` only the keys that it changed; they are written to a folder
+of their own (``batch=N``, so a repeated batch replaces itself and a reader
+never finds the sink empty).  ``read_stream_report`` takes each key's latest
+counts and ranks them in a batch read.  Progress and state live in the
+checkpoint folder, so a restarted query resumes where it stopped.  No watermark is needed: the rankings are over all time, not
 windows, and every late file simply updates the counts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlens.operators.aggregates import expand_report_aggregate, report_aggregate
@@ -47,9 +49,17 @@ def start_report_stream(
     ``processing_time``."""
     agg = report_aggregate(stream_silver(spark, source_dir, max_files_per_trigger))
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        report_from_metrics(expand_report_aggregate(batch)).write.mode("overwrite").parquet(sink_path)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch}")
 
-    w = agg.writeStream.outputMode("complete").foreachBatch(publish).option("checkpointLocation", checkpoint)
+    w = agg.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
+
+
+def read_stream_report(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The report of everything the stream has seen: the latest counts per
+    key (combined before the shuffle), ranked."""
+    changed = spark.read.parquet(sink_path)
+    latest = changed.groupBy("kind", "name").agg(F.max(F.struct("batch", "n", "p", "c")).alias("last"))
+    return report_from_metrics(expand_report_aggregate(latest.select("kind", "name", "last.n", "last.p", "last.c")))

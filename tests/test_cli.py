@@ -1,44 +1,68 @@
-"""Command line: generate -> report / profile / keyvalue on the same data."""
+"""Command line: report / profile / keyvalue / schema on the same lines."""
+
+import pytest
+from conftest import SF_SMALL
 
 from eventlens.__main__ import main
 from eventlens.session import scratch_path
+from eventlens.sources.adapter import event_lines
+from eventlens.sources.json_scan import parse_events
+
 
+@pytest.fixture(scope="module")
+def dump(spark):
+    path = scratch_path(spark, "t-cli-in")
+    event_lines(spark, SF_SMALL).write.text(path)
+    return path
 
-def test_cli_end_to_end(spark):
-    gen = scratch_path(spark, "t-cli-gen")
-    out = scratch_path(spark, "t-cli-out")
-    prof = scratch_path(spark, "t-cli-prof")
-    kv = scratch_path(spark, "t-cli-kv")
-    main(["generate", "--n", "1500", "--output", gen])
-    main(["report", "--input", gen, "--output", out])
-    main(["profile", "--input", gen, "--output", prof])
-    main(["keyvalue", "--input", gen, "--output", kv])
 
+def test_cli_end_to_end(spark, dump):
+    out, prof, kv, lake = (scratch_path(spark, f"t-cli-{n}") for n in ("out", "prof", "kv", "lake"))
+    main(["report", "--input", dump, "--output", out])
+    main(["profile", "--input", dump, "--output", prof, "--partitions", "3"])
+    main(["keyvalue", "--input", dump, "--output", kv])
+    main(["publish", "--input", dump, "--output", lake])
+
+    parsed = parse_events(spark.read.text(dump))
+    records, malformed = parsed.where("valid").count(), parsed.where("not valid").count()
     counters = spark.read.json(f"{out}/counters").collect()[0]
-    assert counters["records"] == 1500 and counters["malformed"] == 0
+    assert counters["records"] == records and counters["malformed"] == malformed > 0
+    kept = spark.read.json(f"{out}/quarantine")
+    assert kept.count() == malformed and kept.select("reason").distinct().count() >= 4
     report = spark.read.json(f"{out}/report")
     assert {r["metric"] for r in report.select("metric").distinct().collect()} == {
         "top_repos", "top_push_repos", "top_commit_repos", "top_users", "languages", "event_types", "hours"}
     head = {r["metric"]: r for r in spark.read.json(f"{out}/headline").collect()}
-    assert head["event_types"]["records"] == 1500
+    assert head["event_types"]["records"] == records
 
     # the profile's full push ranking agrees with the report's top 15
     full = {r["name"]: r["count"] for r in spark.read.json(f"{prof}/top_projects").collect()}
     top = {r["name"]: r["count"] for r in report.where("metric = 'top_push_repos'").collect()}
-    assert all(full[n] == c for n, c in top.items())
+    assert len(top) == 15 < len(full) and all(full[n] == c for n, c in top.items())
 
-    # key/value file: one line per key, type counts sum to the records
+    # key/value file: one line per key, in key order, type counts sum to the records
     lines = [r["value"] for r in spark.read.text(kv).collect()]
-    assert len(lines) == len({ln.split("\t")[0] for ln in lines})
-    assert sum(int(ln.split("\t")[1]) for ln in lines if ln.startswith("type|")) == 1500
+    keys = [x.split("\t")[0] for x in lines]
+    assert len(lines) == len(set(keys)) and all(x.count("\t") == 1 for x in lines)
+    assert sum(int(ln.split("\t")[1]) for ln in lines if ln.startswith("type|")) == records
+    assert spark.read.text(lake).count() == records + malformed
 
 
-def test_cli_schema_and_preview(spark, capsys):
-    gen = scratch_path(spark, "t-cli-gen2")
-    main(["generate", "--n", "300", "--output", gen])
-    main(["schema", "--input", gen])
-    out = capsys.readouterr().out
-    assert "payload" in out and "payload.commits[].sha" in out
-    main(["preview", "--input", gen, "--n", "5"])
+def test_keyvalue_is_in_key_order(spark):
+    from eventlens.sinks import keyvalue_lines
+
+    rows = [("evt", "a-b", "PushEvent", 1), ("evt", "a", "PushEvent", 2), ("user", "x", None, 3)]
+    df = spark.createDataFrame(rows, "kind string, name string, event_type string, value bigint")
+    got = [r["value"].split("\t")[0] for r in keyvalue_lines(df, sort=True).collect()]
+    assert got == sorted(got) == ["evt|a-b|PushEvent", "evt|a|PushEvent", "user|x"]
+
+
+def test_cli_schema_and_preview(spark, dump, capsys):
+    out = scratch_path(spark, "t-cli-schema")
+    main(["schema", "--input", dump, "--output", out])
+    assert "payload" in capsys.readouterr().out
+    paths = {r["path"] for r in spark.read.json(out).collect()}
+    assert {"payload.commits[].sha", "payload.`a.b`", "payload.a.b", "payload.mix[].z"} <= paths
+    main(["preview", "--input", dump, "--n", "5"])
     out = capsys.readouterr().out
     assert "payload_keys" in out and out.count("|") > 10

@@ -40,6 +40,13 @@ GOOD = {
     "repo_empty": ('{"id":"31","repo":{"name":""},"type":""}', {"repo": "unknown/unknown", "type": "Unknown"}),
     "dup_type": ('{"id":"32","type":"A","type":"B"}', {"type": "B"}),
     # hours
+    # falsy values of another type count as missing, other fields are read
+    "actor_empty_string": ('{"id":"33","actor":"","type":"PushEvent","payload":{"size":2}}', {"user": "unknown", "commits": 2}),
+    "actor_empty_list": ('{"id":"34","actor":[],"repo":{"name":"o/r"}}', {"user": "unknown", "repo": "o/r"}),
+    "repo_zero": ('{"id":"35","repo":0,"type":"A"}', {"repo": "unknown/unknown", "type": "A"}),
+    "language_false": ('{"id":"36","payload":{"pull_request":{"base":{"repo":{"language":false}}},"repository":{"language":"Go"}}}',
+                       {"language": "Go"}),
+    "language_zero": ('{"id":"37","payload":{"forkee":{"language":0},"repository":{"language":"Go"}}}', {"language": "Go"}),
     "hour": ('{"id":"40","created_at":"2023-03-15T05:06:07Z"}', {"hour": "05"}),
     "short_ts": ('{"id":"41","created_at":"2023-03-15"}', {"hour": None}),
     "no_ts": ('{"id":"42"}', {"hour": None}),
@@ -57,6 +64,11 @@ BAD = {
     "trailing": ('{"id":"1"} junk', "trailing_text"),
     "actor_string": ('{"id":"1","actor":"bob"}', "bad_field_type"),
     "repo_number": ('{"id":"1","repo":5}', "bad_field_type"),
+    "two_objects": ('{"id":"1"} {"id":"2"}', "trailing_text"),
+    "two_objects_comma": ('{"id":"1"},{"id":"2"}', "trailing_text"),
+    "junk_then_brace": ('{"id":"1"}, junk}', "trailing_text"),
+    "extra_brace": ('{"id":"1"}}', "trailing_text"),
+    "actor_and_junk": ('{"id":"1","actor":"bob"} x', "trailing_text"),
 }
 
 
@@ -126,6 +138,44 @@ def test_schema_score_matches_recursive_rule(spark):
     assert got["score"] == score(merged)
 
 
+def test_profile_sees_every_depth_element_and_key(spark):
+    import json
+
+    from eventlens.operators.schema_profile import infer_schema, schema_field_count, schema_profile
+
+    deep = True
+    for i in range(15, 0, -1):
+        deep = {f"d{i}": deep}
+    lines = lines_df(spark, [json.dumps(deep), '{"a":[{"x":1},{"y":"s","z":2}]}', '{"a.b":1,"b":{"c":"s"},"":{"`":null}}', "[1]", '{"a":1} x'])
+    got = {r["path"]: (r["types_seen"], r["present_rows"]) for r in schema_profile(lines).collect()}
+    chain = ".".join(f"d{i}" for i in range(1, 16))
+    assert got[chain] == ("boolean", 1) and sum(p.startswith("d1") for p in got) == 15
+    assert got["a[].x"] == ("long", 1) and got["a[].y"] == ("string", 1) and got["a[]"] == ("struct", 1)
+    assert got["`a.b`"] == ("long", 1) and got["b.c"] == ("string", 1) and got["``.````"] == ("null", 1)
+    one = schema_field_count(lines_df(spark, [json.dumps(deep)])).collect()[0]
+    assert (one["fields"], one["leaves"], one["score"]) == (15, 1, 16)
+    # discovery and profile name the same fields
+    schema = infer_schema(lines).collect()[0]["schema"]
+    for path in got:
+        leaf = path.removesuffix("[]").split(".")[-1]
+        assert f"{leaf.removesuffix('[]')}: " in schema or "`" in path, path
+
+
+def test_same_lines_are_valid_for_envelope_and_schema(spark):
+    from eventlens.sources.json_scan import valid_variants
+
+    lines = lines_df(spark, [v[0].strip() for v in GOOD.values()] + [v[0] for v in BAD.values()])
+    assert valid_variants(lines).count() == parse_events(lines).where("valid").count() == len(GOOD)
+
+
+def test_declared_read_strips_and_skips_blank_lines(spark, tmp_path):
+    from eventlens.sources.json_scan import read_declared
+
+    (tmp_path / "x.json").write_text('  {"id":"1"} \t\n\n   \n{"id":"2"}\n')
+    got = read_declared(spark, str(tmp_path)).collect()
+    assert [(r["id"], r["valid"]) for r in got] == [("1", True), ("2", True)]
+
+
 def test_commit_fallback_without_ansi(spark):
     """A push without size or commits counts 0 commits in any ANSI mode
     (legacy size(NULL) is -1 when ANSI is off)."""

@@ -34,12 +34,29 @@ def test_keyvalue_roundtrip_sums_duplicates(spark):
     assert back == {"user|a": ("user", "a", None, 5), "evt|o/r|PushEvent": ("evt", "o/r", "PushEvent", 1)}
 
 
-def test_ndjson_drops_nulls_and_roundtrips(spark):
+def test_control_characters_survive(spark):
+    names = ["a\nb", "x\ty", "c\rd", "\\", "\\n", "\\\\t\n", "plain", "", "é|\t|"]
+    metrics = spark.createDataFrame([("user", n, None, i) for i, n in enumerate(names)], "kind string, name string, event_type string, value bigint")
+    path = scratch_path(spark, "t-kv-control")
+    write_keyvalue(metrics, path)
+    assert spark.read.text(path).count() == len(names)
+    assert {(r["name"], r["value"]) for r in read_keyvalue(spark, path).collect()} == {(n, i) for i, n in enumerate(names)}
+
+
+def test_publish_reports_what_it_wrote(spark):
+    from eventlens.sinks import publish
+
+    path = scratch_path(spark, "t-published")
+    done = publish(spark.range(100).selectExpr("cast(id as string) value").repartition(3), path)
+    assert (done.destination, done.rows, done.files, done.bytes) == (path, 100, 3, 290)
+
+
+def test_ndjson_writes_nulls_and_roundtrips(spark):
     df = spark.createDataFrame([("1", None, 3), ("2", "x", None)], "id string, name string, n bigint")
     path = scratch_path(spark, "t-nd")
     write_ndjson(df, path)
     lines = sorted(r["value"] for r in spark.read.text(path).collect())
-    assert lines == ['{"id":"1","n":3}', '{"id":"2","name":"x"}']
+    assert lines == ['{"id":"1","name":null,"n":3}', '{"id":"2","name":"x","n":null}']
 
 
 def test_publish_partitioned_hourly_reads_hours(spark):

@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracle import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from eventlens.plans.catalog import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +30,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) >= 0
+    if sql is None:  # only what SQL cannot express; those are tested against brute force
+        assert name not in QUERIES and rows
         return
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]

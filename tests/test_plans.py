@@ -44,7 +44,7 @@ def test_parse_not_duplicated_into_filter(spark):
     conditions = re.findall(r"\(\d+\) Filter.*?\nCondition : ([^\n]*)", txt, flags=re.S)
     assert conditions
     for cond in conditions:  # the validity filter reads the parsed row, never re-parses or re-builds lines
-        assert "from_json" not in cond and "StructsToJson" not in cond, cond[:300]
+        assert "from_json" not in cond and "event_id" not in cond, cond[:300]
 
 
 def test_silver_pushdown_and_pruning(spark):
@@ -63,3 +63,56 @@ def test_topk_is_take_ordered(spark):
 
     _, txt = _plan(top_k(events_per_repo(R.silver_from_tables(spark, SF_SMALL)), 15), run=False)
     assert "TakeOrderedAndProject" in txt
+
+
+def test_rollup_aggregates_events_once(spark):
+    from eventlens.operators.aggregates import repo_type_rollup
+
+    final, _ = _plan(repo_type_rollup(R.silver_from_tables(spark, SF_SMALL)))
+    tree = final.split("\n\n")[0]
+    assert "Expand" not in tree and "ReusedExchange" in tree
+
+
+def test_agreement_and_fallback_parse_once(spark):
+    from eventlens.plans import catalog
+
+    for query in (catalog.ranking_agreement, catalog.ranking_fallback):
+        final, _ = _plan(query(spark, SF_SMALL))
+        tree = final.split("\n\n")[0]
+        assert len(re.findall(r"Scan parquet", tree)) == 1, tree
+
+
+def test_first_lines_open_only_the_files_they_need(spark):
+    import os
+
+    from eventlens.sources.lines import first_lines
+
+    base = scratch_path(spark, "t-first-files").replace("file:", "")
+    os.makedirs(base)
+    for h in range(6):
+        with open(f"{base}/2023-03-15-{h}.json", "w") as f:
+            f.write("".join(f"{h}.{i}\n\n" for i in range(3)))
+    few = first_lines(spark, base, 2)
+    assert [r["value"] for r in few.orderBy("line_no").collect()] == ["0.0", "0.1"] and len(few.inputFiles()) == 1
+    more = first_lines(spark, base, 5)  # the first file holds three lines only
+    assert [r["value"] for r in more.orderBy("line_no").collect()] == ["0.0", "0.1", "0.2", "1.0", "1.1"] and len(more.inputFiles()) == 2
+    assert first_lines(spark, base, 100).count() == 18
+
+
+def test_scratch_folder(spark, tmp_path):
+    """The context's checkpoint folder wins, then the conf; a cluster without either raises."""
+    from types import SimpleNamespace as Fake
+
+    import pytest
+
+    from eventlens.session import checkpoint_root
+
+    def session(master, current=None, conf=None):
+        sc = Fake(master=master, getCheckpointDir=lambda: current, setCheckpointDir=lambda p: None)
+        return Fake(sparkContext=sc, conf=Fake(get=lambda k, d=None: conf or d))
+
+    assert checkpoint_root(session("spark://x", "hdfs://a/b", "hdfs://c")) == "hdfs://a/b"
+    assert checkpoint_root(session("spark://x", None, "hdfs://c/")) == "hdfs://c"
+    with pytest.raises(ValueError):
+        checkpoint_root(session("spark://x"))
+    assert checkpoint_root(session("local[2]"))

@@ -22,16 +22,23 @@ def test_ties_broken_by_name(spark):
     assert full == [(1, "c"), (2, "a"), (3, "b"), (4, "d")]
 
 
-def test_spread_only_when_under_parallel(spark):
+def test_spread_is_what_the_caller_asks_for(spark):
     from eventlens.sources.adapter import spread
 
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide) is wide  # enough splits: untouched, no shuffle
-    narrow = spark.range(0, 1000, numPartitions=1)
-    by_key = spread(narrow, ["id"])
-    assert by_key.rdd.getNumPartitions() == cores
+    df = spark.range(0, 1000, numPartitions=1)
+    assert spread(df, None) is df  # no shuffle unless asked for
+    by_key = spread(df, 7, ["id"])
+    assert by_key.rdd.getNumPartitions() == 7
     assert sorted(r["id"] for r in by_key.collect()) == list(range(1000))
-    rr = spread(narrow.selectExpr("cast(id % 3 as string) as value"))  # many identical rows
+    rr = spread(df.selectExpr("cast(id % 3 as string) as value"), 5)  # many identical rows
     sizes = rr.rdd.glom().map(len).collect()
     assert max(sizes) - min(sizes) <= 1  # round-robin keeps copies spread
+
+
+def test_partition_counts_read_one_column(spark):
+    from eventlens.operators.ranking import partition_counts
+    from eventlens.session import materialize
+
+    placed = materialize(spark.range(100).withColumns({"_pid": F.spark_partition_id(), "name": F.lit("x")}), "t-placed")
+    plan = partition_counts(placed)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_pid:int>" in plan
