@@ -13,14 +13,19 @@ Links are confirmed on the full shingle sets, natively.  Which links are
 needed depends on the answer: components, not pairs.
 
 * Equal sets are one class; only class representatives take part.
-* First, every representative is compared with the smallest member of its
-  buckets, and the nearest such member is verified.  Buckets of near copies
+* First, every representative is compared with the centers of its buckets (in
+  a large bucket the member nearest to the bucket's commonest symbols, else
+  the smallest), and the nearest center is verified.  Buckets of near copies
   collapse into components with a number of comparisons linear in their size.
-* Then all pairs of a bucket that still lie in different components are
-  compared by signature, in blocks, and those within the threshold are
-  verified.  A large bucket is cut into blocks of ``BLOCK`` members; members
-  outside the bucket's commonest component visit every block, the others only
-  their own.  No pair is dropped and none is emitted before it passes.
+* Then members of a bucket that still lie in different components are compared
+  by signature, in blocks.  A large bucket is cut into blocks of ``BLOCK``
+  members; members outside the bucket's commonest component visit every block,
+  the others only their own.  What comes out is not pairs but, for a member
+  within the distance of any member of another component, that component.
+* Such a member's full set is compared with the sets of all members of that
+  component, again in blocks, and one verified link per block is kept.  So no
+  link between components is missed, no pair is dropped, and neither step's
+  output grows with the square of a group.
 
 Edge cases: texts without words are linked with nothing; a null ``doc_id`` is
 never a component's name unless all are null; of the rows of a group exactly
@@ -48,6 +53,8 @@ CHUNKS = SYMBOLS // CHUNK
 #: One error per chunk is enumerated; more than this distance is not promised.
 MAX_DISTANCE = 2 * CHUNKS - 1
 BLOCK = 512
+#: Buckets from this size have their center chosen by the commonest symbols.
+LARGE = 16
 #: Representatives up to this many (about 40 bytes each) go to the text scan by broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -101,39 +108,118 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance[near].astype(np.int64))], ["a", "b", "distance"])
 
 
-def _pairs_of(group: list[pa.Table]) -> pa.RecordBatch:
-    """Pairs of a bucket's block that lie in different components, within the distance."""
-    rows = pa.concat_tables(group).combine_chunks()
-    node, comp, home = (rows.column(c).to_numpy() for c in ("node", "comp", "home"))
-    sig = _matrix(rows.column("sig"))
-    found_a, found_b = [], []
-    for i in range(len(node)):
-        other = (node > node[i]) & (comp != comp[i]) & (home | home[i])
-        at = np.flatnonzero(other)
-        at = at[(sig[at] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
-        found_a.append(np.full(len(at), node[i]))
-        found_b.append(node[at])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], ["a", "b"])
-
-
-def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, block); a block has a bounded number of home rows."""
+def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys (rows come sorted by them)."""
     held: list[pa.Table] = []
     last = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        key, block = table.column("key").to_numpy(), table.column("block").to_numpy()
-        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1), len(key)]
+        values = [table.column(k).to_numpy() for k in keys]
+        changes = np.zeros(max(0, len(batch) - 1), bool)
+        for v in values:
+            changes |= v[1:] != v[:-1]
+        cuts = [0, *(np.flatnonzero(changes) + 1), len(batch)]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             if lo == hi:
                 continue
-            if held and (key[lo], block[lo]) != last:
-                yield _pairs_of(held)
+            now = tuple(v[lo] for v in values)
+            if held and now != last:
+                yield pa.concat_tables(held).combine_chunks()
                 held = []
-            last = (key[lo], block[lo])
+            last = now
             held.append(table.slice(lo, hi - lo))
     if held:
-        yield _pairs_of(held)
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _centers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block of a bucket the member nearest to the block's commonest symbols."""
+    for rows in _groups(batches, "key", "block"):
+        sig = _matrix(rows.column("sig"))
+        common = np.array([_commonest(sig[:, j]) for j in range(SYMBOLS)], np.uint16)
+        distance = (sig != common).sum(axis=1)
+        best = int(distance.argmin())
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("key").combine_chunks().slice(best, 1), rows.column("node").combine_chunks().slice(best, 1), pa.array([int(distance[best])])],
+            ["key", "node", "distance"],
+        )
+
+
+def _commonest(symbols: np.ndarray) -> int:
+    values, counts = np.unique(symbols, return_counts=True)
+    return int(values[counts.argmax()])
+
+
+def _reach(rows: pa.Table) -> set[tuple[int, int]]:
+    """(node, component): members of a bucket's block within the distance of a
+    member of another component, the rarer component's member as the node.  A
+    pair counts in the first of the buckets that it shares only."""
+    place = int(rows.column("key")[0].as_py()) >> 48
+    node, comp, home = (rows.column(c).to_numpy() for c in ("node", "comp", "home"))
+    sig = _matrix(rows.column("sig"))
+    values, counts = np.unique(comp, return_counts=True)
+    often = counts[np.searchsorted(values, comp)]
+    found = set()
+    for i in range(len(node)):
+        rarer = (often > often[i]) | ((often == often[i]) & (comp > comp[i]))
+        at = np.flatnonzero(rarer & (home | home[i]))
+        if not len(at):
+            continue
+        differ = sig[at] != sig[i]
+        near = differ.sum(axis=1) <= MAX_DISTANCE
+        at, differ = at[near], differ[near].reshape(-1, CHUNKS, CHUNK)
+        errors = differ.sum(axis=2)
+        first = (errors <= 1).argmax(axis=1)
+        spot = np.arange(len(at))
+        left_out = np.where(errors[spot, first] == 0, 0, differ[spot, first].argmax(axis=1))
+        at = at[first * CHUNK + left_out == place]
+        found.update((int(node[i]), int(c)) for c in np.unique(comp[at]))
+    return found
+
+
+def _bucket_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _groups(batches, "key", "block"):
+        found = sorted(_reach(rows))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([c for _, c in found])], ["node", "comp"])
+
+
+def _verified(percent: int):
+    """Members of a component's block (visitor false, first) and the sets that
+    visit it; per visitor the most similar member, if it reaches the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, members, nodes = None, [], []
+        held = starts = sizes = np.empty(0, np.int64)
+        for batch in batches:
+            a, b = [], []
+            comps, blocks, visitors, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("comp", "block", "visitor", "node"))
+            sets = batch.column("shingles")
+            for i in range(len(batch)):
+                if (comps[i], blocks[i]) != last:
+                    last, members, nodes, held = (comps[i], blocks[i]), [], [], None
+                one = sets[i].values.to_numpy().view(np.uint64)
+                if not visitors[i]:
+                    members.append(one)
+                    nodes.append(ids[i])
+                    continue
+                if not members:
+                    continue
+                if held is None:
+                    held = np.concatenate(members)
+                    sizes = np.array([len(m) for m in members])
+                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                at = np.minimum(np.searchsorted(one, held), len(one) - 1)
+                common = np.add.reduceat((one[at] == held).astype(np.int64), starts)
+                union = sizes + len(one) - common
+                ok = np.flatnonzero(100 * common >= percent * union)
+                if len(ok):
+                    best = ok[(common[ok] / union[ok]).argmax()]
+                    a.append(int(ids[i]))
+                    b.append(int(nodes[best]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
 def summaries(docs: DataFrame) -> DataFrame:
@@ -156,17 +242,24 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sets, "node long, shingles array<bigint>").dropDuplicates(["node"])
 
 
+def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles), materialised, of the nodes in ``wanted`` (node)."""
+    wanted = materialize(nodes.join(wanted.distinct(), "node").select("node", "id", "text_hash"), "near-wanted")
+    sets = materialize(_texts(docs, wanted), "near-sets")
+    release(wanted)
+    return sets
+
+
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(nodes.join(ends, "node").select("node", "id", "text_hash"), "near-wanted")
-    sets = materialize(_texts(docs, wanted), "near-sets")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    sets = _sets_of(docs, nodes, ends)
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").hint("merge").join(one, "a").hint("merge").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     links = materialize(both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "near-links")
-    release(sets, wanted)
+    release(sets)
     return links
 
 
@@ -175,13 +268,26 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
     keys = nodes.select("node", "sig").mapInArrow(_keys, "key long, node long")
     shared = keys.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     shared = materialize(shared, "near-keys")
-    members = materialize(join_skewed(keys, shared, ["key"], "n"), "near-members")
-    release(shared)
-    return members
+    members = materialize(join_skewed(keys, shared, ["key"], "n"), "near-all-members")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    large = members.filter(F.col("n") >= LARGE).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    large = _dealt(large.join(nodes.select("node", "sig"), "node").select("key", "block", "node", "sig"), "key", "block")
+    central = large.mapInArrow(_centers, "key long, node long, distance long")
+    central = materialize(central.groupBy("key").agg(F.min(F.struct("distance", "node")).alias("best")).select("key", "best.node"), "near-centers")
+    better = shared.join(central, "key", "left").select("key", F.coalesce(central["node"], "center").alias("center"), "n")
+    better = materialize(better, "near-keys")
+    out = materialize(join_skewed(members.select("key", "node"), better, ["key"], "n"), "near-members")
+    release(shared, members, central, better)
+    return out
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with equal keys together, sorted."""
+    return rows.repartition(width(rows.sparkSession), *keys[:2]).sortWithinPartitions(*keys)
 
 
 def first_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Verified links of each node to the nearest of its buckets' smallest members."""
+    """Verified links of each node to the nearest of its buckets' centers."""
     pairs = members.filter(F.col("node") != F.col("center")).select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     sig = nodes.select("node", "sig")
     both = pairs.join(sig.select(F.col("node").alias("a"), "sig"), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig2")), "b")
@@ -190,12 +296,10 @@ def first_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent:
     return confirmed(docs, nodes, materialize(nearest, "near-first"), percent)
 
 
-def other_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs within the signature distance whose ends lie in different components so far."""
-    spark = nodes.sparkSession
-    placed = materialize(
-        members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")), "near-placed"
-    )
+def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Verified links between nodes that lie in different components so far."""
+    comp = F.coalesce("component", "node").alias("comp")
+    placed = materialize(members.select("key", "node").join(labels, "node", "left").select("key", "node", comp), "near-placed")
     parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("most")
@@ -208,10 +312,23 @@ def other_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> Data
     rows = rows.select("key", "node", "comp", home.alias("home_block"), F.explode(visits).alias("block"))
     rows = rows.join(nodes.select("node", "sig"), "node")
     rows = rows.select("key", "block", "node", "comp", (F.col("block") == F.col("home_block")).alias("home"), "sig")
-    dealt = rows.repartition(width(spark), "key", "block").sortWithinPartitions("key", "block")
-    pairs = materialize(dealt.mapInArrow(_bucket_pairs, "a long, b long").distinct(), "near-pairs")
+    reach = materialize(_dealt(rows, "key", "block").mapInArrow(_bucket_reach, "node long, comp long").distinct(), "near-reach")
     release(placed, mixed)
-    return pairs
+    if reach.isEmpty():
+        return reach.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+
+    asked = reach.select("comp").distinct()
+    whole = nodes.select("node").join(labels, "node", "left").select("node", comp)
+    whole = materialize(whole.join(asked, "comp", "left_semi"), "near-asked")
+    sizes = materialize(whole.groupBy("comp").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+    sets = _sets_of(docs, nodes, whole.select("node").union(reach.select("node")))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    inside = join_skewed(whole, sizes, ["comp"], "n").select("comp", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", F.lit(False).alias("visitor"))
+    outside = reach.join(sizes, "comp").select("comp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", F.lit(True).alias("visitor"))
+    both = inside.unionByName(outside).join(sets, "node").select("comp", "block", "visitor", "node", "shingles")
+    links = materialize(_dealt(both, "comp", "block", "visitor").mapInArrow(_verified(percent), "a long, b long"), "near-links")
+    release(reach, whole, sizes, sets)
+    return links
 
 
 def near_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -227,10 +344,9 @@ def near_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     members = bucket_members(nodes)
     links = first_links(docs, nodes, members, percent)
     labels = materialize(components(links), "near-labels")
-    pairs = other_pairs(nodes, members, labels)
+    more = other_links(docs, nodes, members, labels, percent)
     release(members, links)
-    if not pairs.isEmpty():
-        more = confirmed(docs, nodes, pairs, percent)
+    if not more.isEmpty():
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = materialize(components(stars.unionByName(more)), "near-labels")
     return _named(rows, nodes, labels)

@@ -13,7 +13,7 @@ from eventlens.llm.common import join_skewed
 from eventlens.llm.exact_dedup import drop_duplicates, exact_groups
 from eventlens.llm.graph import components
 from eventlens.llm.line_dedup import drop_common_lines
-from eventlens.llm.near_dedup import CHUNKS, MAX_DISTANCE, _pairs_of, drop_near, near_groups
+from eventlens.llm.near_dedup import CHUNKS, MAX_DISTANCE, _reach, drop_near, near_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -131,18 +131,37 @@ def test_near_chain(spark):
     assert drop_near(df).count() == len(set(got.values()))
 
 
+def test_near_star(spark):
+    """Copies that are similar to their base only: more than a block of them, the base not the smallest id."""
+    import random
+
+    rng = random.Random(6)
+    base = words(rng, 150, 10_000).split()
+    rows = []
+    for i in range(700):
+        toks = list(base)
+        for j in range(1 + i % 3):
+            toks[rng.randrange(150)] = f"e{i}.{j}"
+        rows.append((i, " ".join(toks)))
+    rows.append((700, " ".join(base)))
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(documents(spark, rows, clash=False)).collect()}
+    assert got == {d: c for d, _, c in brute_components(rows)[0]} and len(set(got.values())) < 600
+
+
 def test_pigeonhole_bound():
     """At most MAX_DISTANCE errors over the chunks leave one with at most one error."""
     assert MAX_DISTANCE // CHUNKS == 1
 
 
-def test_block_pairs_meet_once_at_home():
+def test_block_reach():
+    """Within a block: only pairs with a member at home, of different components, in their first shared bucket."""
     import pyarrow as pa
 
-    sig = [np.zeros(64, np.uint16).tobytes()] * 4
-    block = pa.table({"node": [1, 2, 3, 4], "comp": [1, 1, 3, 4], "home": [True, True, False, False], "sig": sig})
-    got = _pairs_of([block]).to_pylist()
-    assert {(r["a"], r["b"]) for r in got} == {(1, 3), (1, 4), (2, 3), (2, 4)}
+    sig = np.zeros((5, 64), np.uint16)
+    sig[4, ::2] = 7  # 32 symbols away from the others
+    rows = {"node": [1, 2, 3, 4, 5], "comp": [1, 1, 3, 4, 5], "home": [True, True, False, False, True], "sig": [s.tobytes() for s in sig]}
+    assert _reach(pa.table({"key": [0] * 5, **rows})) == {(3, 1), (4, 1)}
+    assert _reach(pa.table({"key": [1 << 48] * 5, **rows})) == set()
 
 
 def test_components(spark):
