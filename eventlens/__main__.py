@@ -21,6 +21,10 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
+from eventlens.session import clear_scratch
+
 
 def _paths(args) -> list[str]:
     if getattr(args, "hours", None):
@@ -106,4 +110,8 @@ def main(argv: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    finally:
+        if session := SparkSession.getActiveSession():
+            clear_scratch(session)

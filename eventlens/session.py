@@ -32,6 +32,9 @@ PERF_CONFS = {
 }
 
 
+_handed_out: set[str] = set()
+
+
 def get_session(master: str | None = None, app: str = "eventlens", **extra: str) -> SparkSession:
     """Build (or reuse) a session with the library's semantic confs."""
     b = SparkSession.builder.appName(app)
@@ -74,7 +77,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/eventlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/eventlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _handed_out.add(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch path this process was given.  For the end of an
+    application: results that were not written out may still read them."""
+    while _handed_out:
+        remove_path(spark, _handed_out.pop())
 
 
 def materialize(df, name: str):
@@ -95,6 +107,7 @@ def release(*tables) -> None:
     """Remove the scratch copies that ``materialize`` made of these tables."""
     for df in tables:
         remove_path(df.sparkSession, df.scratch)
+        _handed_out.discard(df.scratch)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -12,11 +12,12 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from eventlens.session import get_session
+    from eventlens.session import clear_scratch, get_session
 
     s = get_session("local[*]", **{"spark.sql.shuffle.partitions": "8"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_scratch(s)
 
 
 def lines_df(spark, lines):
