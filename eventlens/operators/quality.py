@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import extract as X
 from eventlens.schema import PREVIEW_KEYS, PREVIEW_N, REQUIRED_FIELDS
+from eventlens.sources.json_scan import valid_variants
 
 
 def _unpivot(agg: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
@@ -20,14 +21,14 @@ def _unpivot(agg: DataFrame, names: list[str], key: str, value: str) -> DataFram
     )
 
 
-def required_fields(parsed: DataFrame, fields: list[str] | None = None) -> DataFrame:
+def required_fields(lines: DataFrame, fields: list[str] | None = None, line_col: str = "value") -> DataFrame:
     """For every required top-level key, the number of valid records that
     lack it (presence only; a JSON null counts as present).  Checks every
-    row, in one pass: (field, missing_rows), zero rows included."""
+    line, parsed once to a VARIANT, in one pass: (field, missing_rows), zero
+    rows included."""
     fields = fields or REQUIRED_FIELDS
-    keys = F.json_object_keys("line")
-    valid = parsed.where("valid").select(keys.alias("k"))
-    agg = valid.agg(*[F.count_if(~F.array_contains("k", f)).alias(f) for f in fields])
+    lacks = {f: F.try_variant_get("v", f"$.{f}", "variant").isNull() for f in fields}
+    agg = valid_variants(lines, line_col).agg(*[F.count_if(missing).alias(f) for f, missing in lacks.items()])
     return _unpivot(agg, fields, "field", "missing_rows")
 
 

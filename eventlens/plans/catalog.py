@@ -138,7 +138,7 @@ def hourly_gzip_ingest(spark, sf):
 
 def required_fields(spark, sf):
     """Missing required keys per field, over every valid record."""
-    return required_op(_parsed(spark, sf))
+    return required_op(_lines(spark, sf))
 
 
 def publish_roundtrip(spark, sf):
