@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventlens.llm.common import join_skewed
 from eventlens.llm.exact_dedup import drop_duplicates, exact_groups
 from eventlens.llm.graph import components
-from eventlens.llm.line_dedup import drop_common_lines
+from eventlens.llm.line_dedup import LineRuns, common_lines, drop_common_lines
 from eventlens.llm.near_dedup import CHUNKS, MAX_DISTANCE, _reach, drop_near, near_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -176,3 +176,25 @@ def test_join_skewed_splits_a_hot_key(spark):
     out = join_skewed(left, right, ["k"], "w")
     assert out.count() == 3000 and out.filter("k = 0 and w = 2000").count() == 2000
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_runs_merge_without_shuffle(spark):
+    """Runs are bucketed and sorted: anti-join and merge need no exchange."""
+    runs = LineRuns(spark, threshold=3)
+    one, two = (runs.store(spark.range(100).select((F.col("id") * k).alias("h1"), F.col("id").cast("int").alias("h2"), F.lit(k).cast("long").alias("n"))) for k in (1, 4))
+    anti = one.join(two.filter("n >= 3").select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+    for df in (anti, runs._merge([one, two])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    runs.add(one)
+    runs.add(two)
+    got = {(r["h1"], r["h2"]): r["n"] for r in runs.common().collect()}
+    assert got == {(4 * i, i): 4 + (i == 0) for i in range(100)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_many_levels_of_line_runs(spark):
+    """More batches than a level holds: counts add up over all levels."""
+    rows = [(i, f"all\nmod {i % 7}\nown {i}") for i in range(70)]
+    got = {(r["h1"]): r["n"] for r in common_lines(documents(spark, rows, clash=False), threshold=10, batches=9, fanout=3).collect()}
+    assert len(got) == 8
