@@ -49,15 +49,17 @@ def join_skewed(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str,
     a small factor off the number of rows that have the key).
 
     Keys with more than a thousandth of all weight number ``HOT_KEYS`` at
-    most; those go by broadcast, so no task receives the rows of a hot key.
-    The rest is an ordinary shuffled join.  ``keyed`` should be materialised:
-    it is read three times."""
+    most; the hashes of those come to the driver and part both sides, their
+    rows are joined by broadcast, and no task receives the rows of a hot key.
+    The rest is an ordinary shuffled join.  (A key that shares a hot key's
+    hash goes with it on both sides.)  ``keyed`` should be materialised: it is
+    read three times."""
+    place = F.xxhash64(*keys)
     total = keyed.agg(F.sum(weight)).first()[0] or 0
     limit = max(100, total // HOT_KEYS + 1)
-    hot = keyed.filter(F.col(weight) >= limit)
-    if hot.isEmpty():
+    hot = [r[0] for r in keyed.filter(F.col(weight) >= limit).select(place).collect()]
+    if not hot:
         return rows.join(keyed, keys, how)
-    warm = rows.join(F.broadcast(hot), keys, "inner")
-    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    cold = cold.join(keyed.filter(F.col(weight) < limit), keys, how)
+    warm = rows.filter(place.isin(hot)).join(F.broadcast(keyed.filter(place.isin(hot))), keys, "inner")
+    cold = rows.filter(~place.isin(hot)).join(keyed.filter(~place.isin(hot)), keys, how)
     return warm.unionByName(cold)
