@@ -21,11 +21,12 @@ needed depends on the answer: components, not pairs.
   by signature, in blocks.  A large bucket is cut into blocks of ``BLOCK``
   members; members outside the bucket's commonest component visit every block,
   the others only their own.  What comes out is not pairs but, for a member
-  within the distance of any member of another component, that component.
+  within the distance of a member of another component, that one's group: its
+  component, or that of the center it came nearest to.
 * Such a member's full set is compared with the sets of all members of that
-  component, again in blocks, and one verified link per block is kept.  So no
-  link between components is missed, no pair is dropped, and neither step's
-  output grows with the square of a group.
+  group, again in blocks, and one verified link per block is kept.  So no link
+  between components is missed, no pair is dropped, and neither step's output
+  grows with the square of a group.
 
 Edge cases: texts without words are linked with nothing; a null ``doc_id`` is
 never a component's name unless all are null; of the rows of a group exactly
@@ -151,11 +152,12 @@ def _commonest(symbols: np.ndarray) -> int:
 
 
 def _reach(rows: pa.Table) -> set[tuple[int, int]]:
-    """(node, component): members of a bucket's block within the distance of a
-    member of another component, the rarer component's member as the node.  A
-    pair counts in the first of the buckets that it shares only."""
+    """(node, group): members of a bucket's block within the distance of a
+    member of another component, with that one's group; the node is the member
+    of the rarer component.  A pair counts in the first of the buckets that it
+    shares only."""
     place = int(rows.column("key")[0].as_py()) >> 48
-    node, comp, home = (rows.column(c).to_numpy() for c in ("node", "comp", "home"))
+    node, comp, group, home = (rows.column(c).to_numpy() for c in ("node", "comp", "grp", "home"))
     sig = _matrix(rows.column("sig"))
     values, counts = np.unique(comp, return_counts=True)
     often = counts[np.searchsorted(values, comp)]
@@ -173,7 +175,7 @@ def _reach(rows: pa.Table) -> set[tuple[int, int]]:
         spot = np.arange(len(at))
         left_out = np.where(errors[spot, first] == 0, 0, differ[spot, first].argmax(axis=1))
         at = at[first * CHUNK + left_out == place]
-        found.update((int(node[i]), int(c)) for c in np.unique(comp[at]))
+        found.update((int(node[i]), int(g)) for g in np.unique(group[at]))
     return found
 
 
@@ -181,38 +183,43 @@ def _bucket_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for rows in _groups(batches, "key", "block"):
         found = sorted(_reach(rows))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([c for _, c in found])], ["node", "comp"])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([g for _, g in found])], ["node", "grp"])
 
 
 def _verified(percent: int):
-    """Members of a component's block (visitor false, first) and the sets that
-    visit it; per visitor the most similar member, if it reaches the similarity."""
+    """Members of a group's block (visitor false, first) and the sets that
+    visit it; per visitor the most similar member of another component, if it
+    reaches the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, members, nodes = None, [], []
-        held = starts = sizes = np.empty(0, np.int64)
+        last, members, nodes, theirs = None, [], [], []
+        held = starts = sizes = others = np.empty(0, np.int64)
         for batch in batches:
             a, b = [], []
-            comps, blocks, visitors, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("comp", "block", "visitor", "node"))
+            groups, blocks, visitors, ids, comps = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("grp", "block", "visitor", "node", "comp")
+            )
             sets = batch.column("shingles")
             for i in range(len(batch)):
-                if (comps[i], blocks[i]) != last:
-                    last, members, nodes, held = (comps[i], blocks[i]), [], [], None
+                if (groups[i], blocks[i]) != last:
+                    last, members, nodes, theirs, held = (groups[i], blocks[i]), [], [], [], None
                 one = sets[i].values.to_numpy().view(np.uint64)
                 if not visitors[i]:
                     members.append(one)
                     nodes.append(ids[i])
+                    theirs.append(comps[i])
                     continue
                 if not members:
                     continue
                 if held is None:
                     held = np.concatenate(members)
                     sizes = np.array([len(m) for m in members])
+                    others = np.array(theirs)
                     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 at = np.minimum(np.searchsorted(one, held), len(one) - 1)
                 common = np.add.reduceat((one[at] == held).astype(np.int64), starts)
                 union = sizes + len(one) - common
-                ok = np.flatnonzero(100 * common >= percent * union)
+                ok = np.flatnonzero((100 * common >= percent * union) & (others != comps[i]))
                 if len(ok):
                     best = ok[(common[ok] / union[ok]).argmax()]
                     a.append(int(ids[i]))
@@ -286,20 +293,29 @@ def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(width(rows.sparkSession), *keys[:2]).sortWithinPartitions(*keys)
 
 
-def first_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Verified links of each node to the nearest of its buckets' centers."""
+def nearest_centers(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): each node and the nearest of its buckets' centers within the distance."""
     pairs = members.filter(F.col("node") != F.col("center")).select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     sig = nodes.select("node", "sig")
     both = pairs.join(sig.select(F.col("node").alias("a"), "sig"), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig2")), "b")
     near = both.select("a", "b", "sig", "sig2").mapInArrow(_near, "a long, b long, distance long")
-    nearest = near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    return confirmed(docs, nodes, materialize(nearest, "near-first"), percent)
+    return materialize(near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", F.col("best.b").alias("b")), "near-first")
 
 
-def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def grouped(nodes: DataFrame, nearest: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, comp, grp): the component so far, and the group to be searched
+    for others: the component, or for a node alone that of its nearest center."""
+    center = nearest.select(F.col("a").alias("node"), F.col("b").alias("center"))
+    own = labels.select("node", F.col("component").alias("own"))
+    theirs = labels.select(F.col("node").alias("center"), F.col("component").alias("theirs"))
+    rows = nodes.select("node").join(own, "node", "left").join(center, "node", "left").join(theirs, "center", "left")
+    rows = rows.select("node", F.coalesce("own", "node").alias("comp"), F.coalesce("own", "theirs", "center", "node").alias("grp"))
+    return materialize(rows, "near-grouped")
+
+
+def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Verified links between nodes that lie in different components so far."""
-    comp = F.coalesce("component", "node").alias("comp")
-    placed = materialize(members.select("key", "node").join(labels, "node", "left").select("key", "node", comp), "near-placed")
+    placed = materialize(members.select("key", "node").join(groups, "node"), "near-placed")
     parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("most")
@@ -309,24 +325,26 @@ def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, labels: D
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     home = F.pmod(F.xxhash64("node"), blocks).cast("int")
     visits = F.when(F.col("comp") == F.col("most"), F.array(home)).otherwise(F.sequence(F.lit(0), blocks - 1))
-    rows = rows.select("key", "node", "comp", home.alias("home_block"), F.explode(visits).alias("block"))
+    rows = rows.select("key", "node", "comp", "grp", home.alias("home_block"), F.explode(visits).alias("block"))
     rows = rows.join(nodes.select("node", "sig"), "node")
-    rows = rows.select("key", "block", "node", "comp", (F.col("block") == F.col("home_block")).alias("home"), "sig")
-    reach = materialize(_dealt(rows, "key", "block").mapInArrow(_bucket_reach, "node long, comp long").distinct(), "near-reach")
+    rows = rows.select("key", "block", "node", "comp", "grp", (F.col("block") == F.col("home_block")).alias("home"), "sig")
+    reach = materialize(_dealt(rows, "key", "block").mapInArrow(_bucket_reach, "node long, grp long").distinct(), "near-reach")
     release(placed, mixed)
     if reach.isEmpty():
-        return reach.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+        return reach.select(F.col("node").alias("a"), F.col("grp").alias("b"))
 
-    asked = reach.select("comp").distinct()
-    whole = nodes.select("node").join(labels, "node", "left").select("node", comp)
-    whole = materialize(whole.join(asked, "comp", "left_semi"), "near-asked")
-    sizes = materialize(whole.groupBy("comp").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+    whole = materialize(groups.join(reach.select("grp").distinct(), "grp", "left_semi"), "near-asked")
+    sizes = materialize(whole.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
     sets = _sets_of(docs, nodes, whole.select("node").union(reach.select("node")))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    inside = join_skewed(whole, sizes, ["comp"], "n").select("comp", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", F.lit(False).alias("visitor"))
-    outside = reach.join(sizes, "comp").select("comp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", F.lit(True).alias("visitor"))
-    both = inside.unionByName(outside).join(sets, "node").select("comp", "block", "visitor", "node", "shingles")
-    links = materialize(_dealt(both, "comp", "block", "visitor").mapInArrow(_verified(percent), "a long, b long"), "near-links")
+    inside = join_skewed(whole, sizes, ["grp"], "n").select(
+        "grp", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "comp", F.lit(False).alias("visitor")
+    )
+    outside = reach.join(sizes, "grp").join(groups.select("node", "comp"), "node").select(
+        "grp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "comp", F.lit(True).alias("visitor")
+    )
+    both = inside.unionByName(outside).join(sets, "node").select("grp", "block", "visitor", "node", "comp", "shingles")
+    links = materialize(_dealt(both, "grp", "block", "visitor").mapInArrow(_verified(percent), "a long, b long"), "near-links")
     release(reach, whole, sizes, sets)
     return links
 
@@ -342,10 +360,12 @@ def near_groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     nodes = materialize(nodes.select("set_id", F.col("one.row_id").alias("node"), "one.id", "one.text_hash", "sig", "copies", "first"), "near-nodes")
     members = bucket_members(nodes)
-    links = first_links(docs, nodes, members, percent)
+    nearest = nearest_centers(nodes, members)
+    links = confirmed(docs, nodes, nearest, percent)
     labels = materialize(components(links), "near-labels")
-    more = other_links(docs, nodes, members, labels, percent)
-    release(members, links)
+    groups = grouped(nodes, nearest, labels)
+    more = other_links(docs, nodes, members, groups, percent)
+    release(members, nearest, links, groups)
     if not more.isEmpty():
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = materialize(components(stars.unionByName(more)), "near-labels")

@@ -154,12 +154,13 @@ def test_pigeonhole_bound():
 
 
 def test_block_reach():
-    """Within a block: only pairs with a member at home, of different components, in their first shared bucket."""
+    """Within a block: only pairs with a member at home, of different components, in their first shared bucket;
+    the other's group comes out."""
     import pyarrow as pa
 
     sig = np.zeros((5, 64), np.uint16)
     sig[4, ::2] = 7  # 32 symbols away from the others
-    rows = {"node": [1, 2, 3, 4, 5], "comp": [1, 1, 3, 4, 5], "home": [True, True, False, False, True], "sig": [s.tobytes() for s in sig]}
+    rows = {"node": [1, 2, 3, 4, 5], "comp": [1, 1, 3, 4, 5], "grp": [1, 1, 4, 4, 5], "home": [True, True, False, False, True], "sig": [s.tobytes() for s in sig]}
     assert _reach(pa.table({"key": [0] * 5, **rows})) == {(3, 1), (4, 1)}
     assert _reach(pa.table({"key": [1 << 48] * 5, **rows})) == set()
 
