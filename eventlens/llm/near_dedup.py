@@ -24,9 +24,12 @@ needed depends on the answer: components, not pairs.
   within the distance of a member of another component, that one's group: its
   component, or that of the center it came nearest to.
 * Such a member's full set is compared with the sets of all members of that
-  group, again in blocks, and one verified link per block is kept.  So no link
-  between components is missed, no pair is dropped, and neither step's output
-  grows with the square of a group.
+  group, again in blocks.  A group may hold members of several components;
+  of the pairs that reach the similarity a block gives one for every two
+  components that its pairs so far have not joined, directly or through
+  others.  So no link between components is missed, and neither step's output
+  grows with the square of a group (a block joins no more components than it
+  has members and visitors).
 
 Edge cases: texts without words are linked with nothing; a null ``doc_id`` is
 never a component's name unless all are null; of the rows of a group exactly
@@ -188,11 +191,18 @@ def _bucket_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _verified(percent: int):
     """Members of a group's block (visitor false, first) and the sets that
-    visit it; per visitor the most similar member of another component, if it
-    reaches the similarity."""
+    visit it; per visitor the most similar member of every other component
+    that reaches the similarity, unless the block's links join the two already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, members, nodes, theirs = None, [], [], []
+        joined: dict[int, int] = {}
+
+        def find(comp: int) -> int:
+            while (up := joined.get(comp, comp)) != comp:
+                joined[comp] = comp = joined.get(up, up)
+            return comp
+
         held = starts = sizes = others = np.empty(0, np.int64)
         for batch in batches:
             a, b = [], []
@@ -203,6 +213,7 @@ def _verified(percent: int):
             for i in range(len(batch)):
                 if (groups[i], blocks[i]) != last:
                     last, members, nodes, theirs, held = (groups[i], blocks[i]), [], [], [], None
+                    joined.clear()
                 one = sets[i].values.to_numpy().view(np.uint64)
                 if not visitors[i]:
                     members.append(one)
@@ -220,10 +231,14 @@ def _verified(percent: int):
                 common = np.add.reduceat((one[at] == held).astype(np.int64), starts)
                 union = sizes + len(one) - common
                 ok = np.flatnonzero((100 * common >= percent * union) & (others != comps[i]))
-                if len(ok):
-                    best = ok[(common[ok] / union[ok]).argmax()]
-                    a.append(int(ids[i]))
-                    b.append(int(nodes[best]))
+                ok = ok[np.argsort(-common[ok] / union[ok], kind="stable")]
+                _, firsts = np.unique(others[ok], return_index=True)
+                for best in ok[np.sort(firsts)]:
+                    one_end, other_end = find(int(comps[i])), find(int(others[best]))
+                    if one_end != other_end:
+                        joined[one_end] = other_end
+                        a.append(int(ids[i]))
+                        b.append(int(nodes[best]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run

@@ -13,7 +13,7 @@ from eventlens.llm.common import join_skewed
 from eventlens.llm.exact_dedup import drop_duplicates, exact_groups
 from eventlens.llm.graph import components
 from eventlens.llm.line_dedup import LineRuns, common_lines, drop_common_lines
-from eventlens.llm.near_dedup import CHUNKS, MAX_DISTANCE, _reach, drop_near, near_groups
+from eventlens.llm.near_dedup import CHUNKS, MAX_DISTANCE, _reach, _verified, drop_near, near_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -148,6 +148,43 @@ def test_near_star(spark):
     assert got == {d: c for d, _, c in brute_components(rows)[0]} and len(set(got.values())) < 600
 
 
+def edit_trees(seed, families=6, versions=120, length=160):
+    """Families of edited copies, each made from a random earlier one, ids in random order."""
+    import random
+
+    rng = random.Random(seed)
+    texts = []
+    for f in range(families):
+        made = [words(rng, length, 10_000).split()]
+        for v in range(1, versions):
+            toks = list(rng.choice(made[-12:]))
+            for j in range(rng.randrange(2, 6)):
+                toks[rng.randrange(length)] = f"e{f}.{v}.{j}"
+            made.append(toks)
+        texts += [" ".join(t) for t in made]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_near_trees(spark, seed):
+    """Versions made from versions: members of several components are near one center."""
+    rows = edit_trees(seed)
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(documents(spark, rows, clash=False)).collect()}
+    assert got == {d: c for d, _, c in brute_components(rows)[0]}
+
+
+def test_verified_links_every_component():
+    """A visitor near two components of one block is linked with both; joined ones are not linked again."""
+    import pyarrow as pa
+
+    sets = [list(range(100)), list(range(10, 110)), list(range(200, 300)), list(range(5, 105)), list(range(5, 106))]
+    rows = {"grp": [1] * 5, "block": [0] * 5, "visitor": [False] * 3 + [True] * 2, "node": [1, 2, 3, 4, 5], "comp": [1, 2, 3, 4, 5]}
+    batch = pa.RecordBatch.from_pydict({**rows, "shingles": pa.array(sets, pa.list_(pa.int64()))})
+    links = [(r["a"], r["b"]) for out in _verified(75)(iter([batch])) for r in out.to_pylist()]
+    assert {b for a, b in links if a == 4} == {1, 2} and len([x for x in links if x[0] == 5]) == 1
+
+
 def test_pigeonhole_bound():
     """At most MAX_DISTANCE errors over the chunks leave one with at most one error."""
     assert MAX_DISTANCE // CHUNKS == 1
