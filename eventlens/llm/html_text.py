@@ -1,13 +1,17 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node has a tag path, its open elements from the root.  Per path of
+Every text node has a tag path, the tags of its open elements from the root
+(ids and classes are no part of it: they tell like elements apart).  Per path of
 a page: text length per node, punctuation per node and the share of text in
 links.  The ratios are smoothed over the page's sequence of nodes (a node's
-neighbours speak for it), fused into one score per path, and paths above a
-share of the best score are content.  The element that holds most content
-paths' text is the article: all its blocks are taken, in page order, except
-those that lie in an element whose tag, role or class says menu, header,
-footer, sidebar, notice, advert, form or reader comments.
+neighbours speak for it), fused into one score per path, doubled inside an
+article or main element, and paths above a share of the best score are
+content.  Every element that holds content paths is taken, with all its blocks
+in page order: the article and main elements that have any, or else the deepest
+element with nine tenths of the content paths' text; and whatever content paths
+lie outside these, with the element around them.  Left out are blocks in an
+element whose tag, role or class says menu, header, footer, sidebar, notice,
+advert, form or reader comments.
 
 The work is row-local: one scan, no shuffle.  A page is parsed in one pass of
 a regular expression; memory is a page's nodes.
@@ -35,6 +39,8 @@ from eventlens.llm.common import small_batches
 
 #: A path is content from this share of the best fused score.
 THRESHOLD = 0.2
+#: Paths inside an article or main element score so many times more.
+ARTICLE = 2.0
 #: Gaussian weights of a node and of its neighbours at distance 1 and 2.
 SMOOTH = np.exp(-0.5 * (np.arange(-2, 3) / 1.0) ** 2)
 
@@ -75,25 +81,22 @@ class Node(NamedTuple):
 
 class Element(NamedTuple):
     tag: str
-    step: str
     left_out: bool
 
 
-def _left_out(tag: str, attributes: str, inside: list[Element]) -> tuple[str, bool]:
-    """The element's step of the path, and whether its tag, role or class rules it out."""
+def _left_out(tag: str, attributes: str, inside: list[Element]) -> bool:
+    """Whether the element's tag, role or class rules it out."""
     out = tag in LEFT_OUT or (tag == "header" and not any(e.tag in ("article", "main") for e in inside))
-    step = tag
     if attributes.strip(" /"):
         for m in ATTRIBUTE.finditer(attributes):
             key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                step += "." + value
                 out |= tag not in ("html", "body", "article", "main") and bool(NAMES.search(value))
             elif key == "role":
                 out |= value.lower() in ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
                 out = True
-    return step, out
+    return out
 
 
 def parse(page: str) -> list[Node]:
@@ -104,7 +107,7 @@ def parse(page: str) -> list[Node]:
 
     def take(text: str) -> None:
         if text:
-            nodes.append(Node(tuple(e.step for e in stack), block, text, any(e.tag == "a" for e in stack), any(e.left_out for e in stack)))
+            nodes.append(Node(tuple(e.tag for e in stack), block, text, any(e.tag == "a" for e in stack), any(e.left_out for e in stack)))
 
     for m in TOKEN.finditer(page):
         take(page[at : m.start()])
@@ -134,7 +137,7 @@ def parse(page: str) -> list[Node]:
                     break
                 if stack[i].tag in BLOCKS:
                     break
-        stack.append(Element(tag, *_left_out(tag, m[4], stack)))
+        stack.append(Element(tag, _left_out(tag, m[4], stack)))
     take(page[at:])
     return nodes
 
@@ -157,7 +160,12 @@ def path_scores(nodes: list[Node]) -> dict[tuple[str, ...], float]:
     sums: dict[tuple[str, ...], float] = defaultdict(float)
     for p, t, u in zip(order, smooth_text, smooth_points, strict=True):
         sums[p] += math.log1p(t) * (1 + math.log1p(u))
-    return {p: s / count[p] * (1 - linked[p] / length[p]) for p, s in sums.items()}
+    return {p: s / count[p] * (1 - linked[p] / length[p]) * (ARTICLE if _article(p) else 1) for p, s in sums.items()}
+
+
+def _article(path: tuple[str, ...]) -> int:
+    """How many steps lead to the path's outermost article or main element; 0 without one."""
+    return next((i for i, tag in enumerate(path, 1) if tag in ("article", "main")), 0)
 
 
 def main_text(page: str) -> str:
@@ -170,33 +178,37 @@ def main_text(page: str) -> str:
         return ""
     scores = path_scores(nodes)
     least = THRESHOLD * max(scores.values())
-    under: dict[tuple[str, ...], int] = defaultdict(int)
-    total = 0
+    content: dict[tuple[str, ...], int] = defaultdict(int)
     for n in shown:
         if scores[n.path] >= least:
-            size = len(n.text.strip())
-            total += size
-            for i in range(len(n.path) + 1):
-                under[n.path[:i]] += size
-    root = _container(under, total, shown)
+            content[n.path] += len(n.text.strip())
+    roots = _roots(content)
     blocks: dict[int, list[str]] = defaultdict(list)
     for n in nodes:
-        if n.path[: len(root)] == root:
+        if n.path in content or any(n.path[:i] in roots for i in range(len(n.path) + 1)):
             blocks[n.block].append(n.text)
     texts = (SPACE.sub(" ", html.unescape("".join(parts))).strip() for parts in blocks.values())
     return " ".join(t for t in texts if t)
 
 
-def _container(under: dict[tuple[str, ...], int], total: int, shown: list[Node]) -> tuple[str, ...]:
-    """The article: an article or main element if any holds text, else the
-    deepest element that holds nine tenths of the content paths' text."""
-    named = sorted((p for p in under if p and p[-1].split(".")[0] in ("article", "main")), key=lambda p: (-under[p], len(p)))
-    if named:
-        return named[0]
-    if not any(n.path for n in shown):
-        return ()
-    blocks = [p for p, size in under.items() if size >= 0.9 * total and (not p or p[-1].split(".")[0] in BLOCKS - {"p"})]
-    return max(blocks, key=len)
+def _roots(content: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
+    """The elements that hold the content paths (with their text's length):
+    article and main elements, else the deepest element that holds nine tenths
+    of the text; then those around the content paths that lie outside."""
+    roots = {p[:i] for p in content if (i := _article(p))}
+    if not roots:
+        under: dict[tuple[str, ...], int] = defaultdict(int)
+        for p, size in content.items():
+            for i in range(len(p) + 1):
+                under[p[:i]] += size
+        total = sum(content.values())
+        roots = {max((p for p, size in under.items() if size >= 0.9 * total and (not p or p[-1] in BLOCKS - {"p"})), key=len)}
+    above = {r[:i] for r in roots for i in range(len(r) + 1)}
+    for p in content:
+        if not any(p[:i] in roots for i in range(len(p) + 1)):
+            around = next((p[:i] for i in range(len(p), 0, -1) if p[i - 1] in BLOCKS - {"p"}), ())
+            roots = roots | ({p if around in above else around} - above)
+    return roots
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -110,6 +110,18 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+LONG = "Long sentences, with commas, fill this paragraph; they say things, and say them again, at length, number %d."
+
+
+def test_every_element_with_content():
+    """Several articles of other ids and classes, and content paths beside the main element of the text, are all kept."""
+    texts = [LONG % i for i in range(24)]
+    articles = "".join(f"<article id=post-{i} class='post c{i}'><p>{t}</p></article>" for i, t in enumerate(texts))
+    assert main_text(FRAME % articles) == " ".join(texts)
+    most = "".join(f"<p>{t}</p>" for t in texts[:-1])
+    assert main_text(FRAME % f"<div id=a class=text>{most}</div><section id=b><blockquote>{texts[-1]}</blockquote></section>") == " ".join(texts)
+
+
 def test_extract(spark):
     rows = [(1, "u", FRAME % ARTICLE), (1, "u", FRAME % ARTICLE), (2, None, None), (None, "u", "x" * 200_000)]
     got = extract(table(spark, rows))
