@@ -10,8 +10,14 @@ content.  Every element that holds content paths is taken, with all its blocks
 in page order: the article and main elements that have any, or else the deepest
 element with nine tenths of the content paths' text; and whatever content paths
 lie outside these, with the element around them.  Left out are blocks in an
-element whose tag, role or class says menu, header, footer, sidebar, notice,
-advert, form or reader comments.
+element whose tag or role says menu, header, footer, notice or form.
+
+A class or id that says sidebar, advert, share, reader comments or the like
+only lowers the scores of the paths in its element: much if the name says
+nothing else, less if it is part of a longer one.  Such a name does not count on
+an element that holds most of the content paths' text, nor on a page where the
+elements so named hold most of it between them.  Of an element
+whose name counts blocks are taken only if one of its paths is content still.
 
 The work is row-local: one scan, no shuffle.  A page is parsed in one pass of
 a regular expression; memory is a page's nodes.
@@ -63,40 +69,52 @@ BLOCKS = frozenset(
 CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LEFT_OUT = frozenset("head title nav footer aside form button menu dialog label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|popup|modal|overlay|side-?bar|nav(?:bar|igation)?"
+WORDS = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|popup|modal|overlay|side-?bar|nav(?:bar|igation)?"
     r"|menu|breadcrumbs?|footer|masthead|site-?header|page-?header|comments?|comment-?list|disqus|replies|reply|respond|share|sharing|social"
-    r"|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|widget|toolbar)(?:$|[\s_-])",
-    re.I,
+    r"|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|widget|toolbar)"
 )
+#: A word in a class or id, and a class or id of such words alone; what a path's score is multiplied by.
+NAMES = re.compile(rf"(?:^|[\s_-])({WORDS})(?=$|[\s_-])", re.I)
+ONLY = re.compile(rf"{WORDS}(?:[_-]+{WORDS})*", re.I)
+PARTLY, WHOLLY = 0.3, 0.1
+
+
+class Element(NamedTuple):
+    number: int
+    tag: str
+    left_out: bool
+    names: frozenset[str]
+    lowers: float
 
 
 class Node(NamedTuple):
     path: tuple[str, ...]
+    inside: tuple[Element, ...]
     block: int
     text: str
     in_link: bool
     left_out: bool
 
 
-class Element(NamedTuple):
-    tag: str
-    left_out: bool
-
-
-def _left_out(tag: str, attributes: str, inside: list[Element]) -> bool:
-    """Whether the element's tag, role or class rules it out."""
+def _read(tag: str, attributes: str, inside: list[Element]) -> tuple[bool, frozenset[str], float]:
+    """Whether the element's tag or role rules it out; the words of its class and id
+    that speak against it, and the factor they put on scores."""
     out = tag in LEFT_OUT or (tag == "header" and not any(e.tag in ("article", "main") for e in inside))
+    names, lowers = set(), 1.0
     if attributes.strip(" /"):
         for m in ATTRIBUTE.finditer(attributes):
             key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                out |= tag not in ("html", "body", "article", "main") and bool(NAMES.search(value))
+                for name in value.split() if tag not in ("html", "body", "article", "main") else ():
+                    if said := NAMES.findall(name):
+                        names.update(x.lower() for x in said)
+                        lowers = min(lowers, WHOLLY if ONLY.fullmatch(name) else PARTLY)
             elif key == "role":
                 out |= value.lower() in ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
                 out = True
-    return out
+    return out, frozenset(names), lowers
 
 
 def parse(page: str) -> list[Node]:
@@ -107,7 +125,7 @@ def parse(page: str) -> list[Node]:
 
     def take(text: str) -> None:
         if text:
-            nodes.append(Node(tuple(e.tag for e in stack), block, text, any(e.tag == "a" for e in stack), any(e.left_out for e in stack)))
+            nodes.append(Node(tuple(e.tag for e in stack), tuple(stack), block, text, any(e.tag == "a" for e in stack), any(e.left_out for e in stack)))
 
     for m in TOKEN.finditer(page):
         take(page[at : m.start()])
@@ -137,7 +155,7 @@ def parse(page: str) -> list[Node]:
                     break
                 if stack[i].tag in BLOCKS:
                     break
-        stack.append(Element(tag, _left_out(tag, m[4], stack)))
+        stack.append(Element(m.start(), tag, *_read(tag, m[4], stack)))
     take(page[at:])
     return nodes
 
@@ -160,7 +178,40 @@ def path_scores(nodes: list[Node]) -> dict[tuple[str, ...], float]:
     sums: dict[tuple[str, ...], float] = defaultdict(float)
     for p, t, u in zip(order, smooth_text, smooth_points, strict=True):
         sums[p] += math.log1p(t) * (1 + math.log1p(u))
-    return {p: s / count[p] * (1 - linked[p] / length[p]) * (ARTICLE if _article(p) else 1) for p, s in sums.items()}
+    return {p: s / count[p] * (1 - linked[p] / length[p]) * (ARTICLE if _article(p) else 1) * _lowered(p) for p, s in sums.items()}
+
+
+def _lowered(path: tuple[str, ...]) -> float:
+    """What the names on the path multiply its score by (the lowest counts)."""
+    return WHOLLY if any(x.endswith("!") for x in path) else PARTLY if any(x.endswith("?") for x in path) else 1.0
+
+
+def _mark(path: tuple[str, ...]) -> int:
+    """How many steps lead to the path's innermost marked element; 0 without one."""
+    return next((i for i in range(len(path), 0, -1) if path[i - 1][-1] in "!?"), 0)
+
+
+def _named(nodes: list[Node]) -> list[Node]:
+    """The nodes with the steps marked whose names count: "!" for a whole name, "?" for a part."""
+    if not any(e.names for n in nodes for e in n.inside):
+        return nodes
+    scores = path_scores(nodes)
+    least = THRESHOLD * max(scores.values())
+    total, size, said = 0, defaultdict(int), defaultdict(int)
+    for n in nodes:
+        if scores.get(n.path, -1) >= least and (long := len(n.text.strip())):
+            total += long
+            for e in n.inside:
+                size[e.number] += long
+            for name in {x for e in n.inside for x in e.names}:
+                said[name] += long
+    marks: dict[int, str] = {}
+    for n in nodes:
+        for e in n.inside:
+            if e.number not in marks:
+                counts = 2 * size[e.number] <= total and any(2 * said[x] <= total for x in e.names)
+                marks[e.number] = e.tag + ("" if not counts else "!" if e.lowers == WHOLLY else "?")
+    return [n._replace(path=tuple(marks[e.number] for e in n.inside)) for n in nodes]
 
 
 def _article(path: tuple[str, ...]) -> int:
@@ -176,6 +227,8 @@ def main_text(page: str) -> str:
     shown = [n for n in nodes if n.text.strip()]
     if not shown:
         return ""
+    nodes = _named(nodes)
+    shown = [n for n in nodes if n.text.strip()]
     scores = path_scores(nodes)
     least = THRESHOLD * max(scores.values())
     content: dict[tuple[str, ...], int] = defaultdict(int)
@@ -183,9 +236,11 @@ def main_text(page: str) -> str:
         if scores[n.path] >= least:
             content[n.path] += len(n.text.strip())
     roots = _roots(content)
+    spoken = {(), *(p[:_mark(p)] for p in content)}
     blocks: dict[int, list[str]] = defaultdict(list)
     for n in nodes:
-        if n.path in content or any(n.path[:i] in roots for i in range(len(n.path) + 1)):
+        held = any(n.path[:i] in roots for i in range(len(n.path) + 1)) and n.path[: _mark(n.path)] in spoken
+        if n.path in content or held:
             blocks[n.block].append(n.text)
     texts = (SPACE.sub(" ", html.unescape("".join(parts))).strip() for parts in blocks.values())
     return " ".join(t for t in texts if t)
@@ -202,11 +257,11 @@ def _roots(content: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
             for i in range(len(p) + 1):
                 under[p[:i]] += size
         total = sum(content.values())
-        roots = {max((p for p, size in under.items() if size >= 0.9 * total and (not p or p[-1] in BLOCKS - {"p"})), key=len)}
+        roots = {max((p for p, size in under.items() if size >= 0.9 * total and (not p or p[-1].rstrip("!?") in BLOCKS - {"p"})), key=len)}
     above = {r[:i] for r in roots for i in range(len(r) + 1)}
     for p in content:
         if not any(p[:i] in roots for i in range(len(p) + 1)):
-            around = next((p[:i] for i in range(len(p), 0, -1) if p[i - 1] in BLOCKS - {"p"}), ())
+            around = next((p[:i] for i in range(len(p), 0, -1) if p[i - 1].rstrip("!?") in BLOCKS - {"p"}), ())
             roots = roots | ({p if around in above else around} - above)
     return roots
 

@@ -122,6 +122,23 @@ def test_every_element_with_content():
     assert main_text(FRAME % f"<div id=a class=text>{most}</div><section id=b><blockquote>{texts[-1]}</blockquote></section>") == " ".join(texts)
 
 
+@pytest.mark.parametrize("name", ["layout no-sidebar", "has-sidebar", "sidebar", "share-price-report", "page widget"])
+def test_names_around_the_article(name):
+    texts = [LONG % i for i in range(6)]
+    paragraphs = "".join(f"<p>{t}</p>" for t in texts)
+    assert main_text(FRAME % f"<div class='{name}'><article>{paragraphs}</article></div>") == " ".join(texts)
+    assert main_text(FRAME % f"<div class='{name}'>{paragraphs}</div>") == " ".join(texts)
+
+
+def test_names_on_every_block_and_on_a_section():
+    texts = [LONG % i for i in range(6)]
+    blocks = "".join(f"<div class='elementor-widget'><p>{t}</p></div>" for t in texts)
+    assert main_text(FRAME % blocks) == " ".join(texts)
+    section = f"<p>{texts[0]}</p><p>{texts[1]}</p><section class=share-price-report><h2>Price</h2><p>{texts[2]}</p></section>"
+    advert = f"<div class=ad><p>{texts[3]}</p></div>"
+    assert main_text(FRAME % f"<article>{section}{advert}</article>{advert}") == " ".join([*texts[:2], "Price", texts[2]])
+
+
 def test_extract(spark):
     rows = [(1, "u", FRAME % ARTICLE), (1, "u", FRAME % ARTICLE), (2, None, None), (None, "u", "x" * 200_000)]
     got = extract(table(spark, rows))
