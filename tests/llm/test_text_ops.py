@@ -11,7 +11,7 @@ import pytest
 from fixtures import CLASH, awkward_texts, documents
 from pyspark.sql import functions as F
 
-from eventlens.llm.char_lm import ORDER, SPACE, KneserNey, folded, packed, padded
+from eventlens.llm.char_lm import ORDER, SPACE, KneserNey, LanguageModels, folded, packed, padded
 from eventlens.llm.chat import rotate
 from eventlens.llm.cutting_stock import plan, solve
 from eventlens.llm.decontaminate import drop_hit, hits
@@ -214,6 +214,29 @@ def test_language_id(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in scored]) > 0.98 and not any(r["rejected"] for r in scored)
 
 
+def test_language_models_keep_every_gram(spark):
+    """A language of 500,000 different 4-grams, all seen once, stays whole beside two small ones."""
+    from eventlens.llm.language_id import train
+
+    rng = np.random.default_rng(4)
+    han = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 250_000))) for _ in range(2)]
+    rows = [(0, "the quick brown fox jumps over the lazy dog", "en"), (1, "der schnelle braune Fuchs springt", "de"), (2, han[0], "zh"), (3, han[1], "zh")]
+    models = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.languages == ["de", "en", "zh"]
+    assert len(models.models[2].grams[4]) > 499_990
+    assert int(models.entropies(folded(han[0][:500].encode())).argmin()) == 2
+
+
+def test_language_models_without_matrix():
+    """Both forms of the models give the same numbers."""
+    texts = {"en": b"the quick brown fox jumps over the lazy dog", "de": "der schnelle braune Fuchs springt über".encode()}
+    counted = {x: np.unique(packed(padded(folded(t)), 4), return_counts=True) for x, t in texts.items()}
+    one, two = LanguageModels(counted), LanguageModels(counted, cells=0)
+    assert one.logp is not None and two.logp is None
+    for t in (*texts.values(), b"the unknown zebra", "über Füchse".encode()):
+        assert (one.entropies(folded(t)) == two.entropies(folded(t))).all()
+
+
 def test_language_id_awkward(spark):
     docs = documents(spark, awkward_texts())
     assert keep_identified(docs).count() == 0  # no labels: nothing can be identified
