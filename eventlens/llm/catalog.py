@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlens.llm.chat import rotate
 from eventlens.llm.common import table
+from eventlens.llm.conversation_repair import damage, repair_conversations
 from eventlens.llm.decontaminate import hits
 from eventlens.llm.exact_dedup import exact_groups
 from eventlens.llm.html_text import extract
@@ -17,7 +18,9 @@ from eventlens.llm.line_dedup import drop_common_lines
 from eventlens.llm.near_dedup import near_groups
 from eventlens.llm.packing import packed_documents
 from eventlens.llm.secrets import KINDS, find_secrets, rendered
+from eventlens.llm.token_blocks import token_round_trip
 from eventlens.llm.warc import archive_round_trip
+from eventlens.llm.whitening import whiten
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +90,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_conversations(damage(conversations), conversations.select("conv_id"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(table(spark, sf_dir, "embeddings"), components=8)
+    rows = white.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", F.inline("parts"))
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -98,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_blocks": op13_token_blocks,
 }

@@ -132,6 +132,71 @@ SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0)::BIGINT AS n_owned
 FROM documents LEFT JOIN sp USING (doc_id)"""
 
+#: CRC-32 of a text of ASCII letters, its table made by eight shifts.
+_CRC_TABLE = """crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c FROM range(256) r(i)))"""
+_CRC = """xor(list_reduce(list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+  lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+def _more(at: str, cost: str, letter: str) -> str:
+    return f"{{'c': {at}.c + {cost}, 'a': {at}.a || {letter}}}"
+
+
+def _stay(at: str, role: str) -> str:
+    price = f"CASE WHEN x.f IN ('b', 'd') THEN 1000000000 ELSE CASE x.f WHEN 't' THEN 3 ELSE 0 END + CASE x.r WHEN '{role}' THEN 0 ELSE 3 END END"
+    return _more(at, price, f"CASE x.r WHEN '{role}' THEN 'K' ELSE 'R' END")
+
+
+#: The best (cost, audit) z in each of four states, after possible insertions and after a row x.
+_USER = f"""least(z[3], {_more('z[1]', '3', "'I'")}, {_more('z[2]', '3', "'I'")}, {_more('z[4]', '3', "'I'")})"""
+_INSERT = f"""[z[1], z[2], {_USER}, least(z[4], {_more(_USER, '3', "'I'")})]"""
+_SYSTEM = "CASE WHEN x.r <> 's' OR x.f IN ('b', 'd') THEN 1000000000 WHEN x.f = 't' THEN 3 ELSE 0 END"
+_ROW = f"""[{_more('z[1]', '4', "'D'")}, least({_more('z[2]', '4', "'D'")}, {_more('z[1]', _SYSTEM, "'K'")}),
+    least({_more('z[3]', '4', "'D'")}, {_stay('z[1]', 'u')}, {_stay('z[2]', 'u')}, {_stay('z[4]', 'u')}),
+    least({_more('z[4]', '4', "'D'")}, {_stay('z[3]', 'a')})]"""
+
+OP11 = f"""
+WITH {_CRC_TABLE},
+d AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM (SELECT *, {_CRC} % 20 AS h FROM (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations), crc)
+  WHERE h <> 0),
+e AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS p FROM d),
+f AS (
+  SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS r,
+    CASE WHEN said = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'd'
+      WHEN right(said, 1) IN ('.', '!', '?') THEN '.' ELSE 't' END AS f FROM e),
+g AS (SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY p) AS q FROM f),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+    count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+    count(*) FILTER (q IS NOT NULL AND q || r NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'r': r, 'f': f, 'role': role, 'text': text}} ORDER BY p) AS rows FROM g GROUP BY conv_id),
+w AS (
+  SELECT *, list_reduce(
+    list_append(flatten(list_transform(rows, lambda x: [{{'r': '+', 'f': '+'}}, {{'r': x.r, 'f': x.f}}])), {{'r': '+', 'f': '+'}}),
+    lambda z, x: CASE x.r WHEN '+' THEN {_INSERT} ELSE {_ROW} END,
+    [{{'c': 0, 'a': ''}}, {{'c': 1000000000, 'a': ''}}, {{'c': 1000000000, 'a': ''}}, {{'c': 1000000000, 'a': ''}}]) AS z FROM c),
+b AS (SELECT *, least(z[1], z[4]) AS best FROM w),
+o AS (
+  SELECT *, list_reduce(list_filter(string_split(best.a, ''), lambda x: x <> ''), lambda y, x: {{
+      'i': y.i + CASE x WHEN 'I' THEN 0 ELSE 1 END,
+      'next': CASE WHEN x = 'D' THEN y.next WHEN x = 'K' AND rows[y.i].r = 's' THEN 'user' WHEN y.next = 'user' THEN 'assistant' ELSE 'user' END,
+      'said': CASE x WHEN 'D' THEN y.said WHEN 'K' THEN list_append(y.said, rows[y.i].role || ':' || rows[y.i].text)
+        WHEN 'R' THEN list_append(y.said, y.next || ':' || rows[y.i].text) ELSE list_append(y.said, y.next || ':') END}},
+    {{'i': 1, 'next': 'user', 'said': []::VARCHAR[]}}) AS y FROM b)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(y.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN (SELECT conv_id AS cid, * EXCLUDE (conv_id) FROM o) o ON i.conv_id IS NOT DISTINCT FROM o.cid"""
+
 ORACLE_SQL = {
     "op2_warc": OP2,
     "op3_line_dedup": OP3,
@@ -140,4 +205,5 @@ ORACLE_SQL = {
     "op8_decontaminate": OP8,
     "op9_exact_dedup": OP9,
     "op10_secret_scan": OP10,
+    "op11_conversation_repair": OP11,
 }

@@ -21,6 +21,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -49,6 +50,21 @@ _LOADED: dict = {}
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
 
+#: The rules of the vocabularies that words may be cut for (fixed values).
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
 
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary:
@@ -87,6 +103,10 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        if any(said.get(k) != v for k, v in RULES.items()):
+            raise ValueError(f"{vocabulary}: words cannot be coded one by one under its rules")
         self.tokenizer = Tokenizer.from_file(str(path))
         self.pieces = PieceIds(self.tokenizer.model)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]

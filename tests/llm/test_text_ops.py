@@ -277,3 +277,10 @@ def test_chat(spark):
 def test_hash_helpers_agree(spark, kind):
     row = spark.sql("select sha2('é', 256) s, crc32(cast('12' as binary)) c").first()
     assert row["s"] == hashlib.sha256("é".encode()).hexdigest() and row["c"] == zlib.crc32(b"12")
+
+
+def test_a_vocabulary_of_other_rules_is_refused():
+    from eventlens.llm.packing import WordIds
+
+    with pytest.raises(ValueError, match="byte_bpe_50k"):
+        WordIds("byte_bpe_50k.json")
