@@ -20,8 +20,9 @@ knows how many ids are real.  Ids a..b are had by reading the blocks that hold
 them and no others.
 
 ``format("token_blocks")`` is a Spark data source.  Writing: each task writes
-its rows in the order they come, closing a file at the document that reaches
-``FILE_IDS`` ids; the driver commits by a manifest that lists the files in task
+its rows (doc_id and ids of 32 bits each, or doc_id and text, which it codes) in
+the order they come, closing a file at the document that reaches ``FILE_IDS``
+ids; the driver commits by a manifest that lists the files in task
 order with the ids and documents before each, so files of failed or repeated
 attempts are never read.  Reading: a partition per file, a document at a time;
 ``ids`` = ``full`` (default), ``digest`` (no ids; the CRC-32 is taken block by
@@ -56,7 +57,7 @@ from pyspark.sql.types import StructType
 from eventlens.llm.common import small_batches, text_or_empty, width
 from eventlens.llm.packing import VOCABULARY, word_ids
 from eventlens.llm.warc import filesystem
-from eventlens.session import materialize, release, scratch_path
+from eventlens.session import scratch_path
 
 BLOCK, PERCENTILE = 128, 90
 END_ID = 2
@@ -174,17 +175,24 @@ class Written(WriterCommitMessage):
 
 
 class BlockWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, file_ids: int):
-        self.path, self.file_ids = path, file_ids
+    def __init__(self, options: dict):
+        self.path, self.file_ids = options["path"], int(options.get("file_ids", FILE_IDS))
+        self.vocabulary, self.end_id = options.get("vocabulary", VOCABULARY), int(options.get("end_id", END_ID))
+
+    def _coded(self, batch: pa.RecordBatch) -> Iterator[bytes]:
+        if "ids" in batch.schema.names:
+            return (ids.as_py() for ids in batch.column("ids"))
+        coder, end = word_ids(self.vocabulary), self.end_id.to_bytes(4, "little")
+        return (coder.encode(text.as_py()) + end for text in batch.column("text"))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.path)
         fs.create_dir(root, recursive=True)
         done, now = [], None
         for batch in iterator:
-            for name, ids in zip(batch.column("doc_id"), batch.column("ids"), strict=True):
+            for name, ids in zip(batch.column("doc_id"), self._coded(batch), strict=True):
                 now = now or _File(fs, root, f"part-{uuid.uuid4().hex}.tkb")
-                now.add(name.as_py(), np.frombuffer(ids.as_buffer(), "<u4"))
+                now.add(name.as_py(), np.frombuffer(ids, "<u4"))
                 if now.ids >= self.file_ids:
                     done, now = [*done, now.close()], None
         if now:
@@ -320,27 +328,7 @@ class TokenBlocks(DataSource):
         return BlockReader(self.options["path"], self.options.get("ids", "full"))
 
     def writer(self, schema: StructType, overwrite: bool) -> BlockWriter:
-        return BlockWriter(self.options["path"], int(self.options.get("file_ids", FILE_IDS)))
-
-
-def _coder(vocabulary: str, end_id: int):
-    end = end_id.to_bytes(4, "little")
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_ids(vocabulary)
-        for batch in batches:
-            ids = [coder.encode(text.as_py()) + end for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    return coded
-
-
-def tokenised(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids): the whole texts' ids and the end id, 32 bits each."""
-    small_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.encode(text_or_empty(), "UTF-8").alias("text"))
-    return rows.mapInArrow(_coder(vocabulary, end_id), f"doc_id {kind}, ids binary")
+        return BlockWriter(dict(self.options))
 
 
 def register(spark: SparkSession) -> None:
@@ -348,18 +336,18 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenBlocks)
 
 
-def write_tokens(coded: DataFrame, path: str, file_ids: int = FILE_IDS) -> None:
-    """Write (doc_id, ids) in ascending order of doc_id.  The rows are coded
-    once, kept, and dealt by ranges of doc_id."""
-    spark = coded.sparkSession
+def write_tokens(docs: DataFrame, path: str, file_ids: int = FILE_IDS, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
+    """Write the ids of the whole texts, each with the end id, in ascending
+    order of doc_id.  Texts are dealt by ranges of doc_id and coded where they
+    are written, so ids never leave the task that packs them."""
+    spark = docs.sparkSession
     register(spark)
     small_batches(spark)
-    kept = materialize(coded, "token-ids")
-    order = [F.col("doc_id").asc(), F.xxhash64("ids"), F.col("ids")]
-    dealt = kept.repartitionByRange(width(spark), *order[:2]).sortWithinPartitions(*order)
-    rows = dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "ids")
-    rows.write.format("token_blocks").option("file_ids", file_ids).mode("append").save(path)
-    release(kept)
+    rows = docs.select("doc_id", F.encode(text_or_empty(), "UTF-8").alias("text"))
+    order = [F.col("doc_id").asc(), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(width(spark), *order).sortWithinPartitions(*order, "text")
+    writer = dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "text").write.format("token_blocks")
+    writer.options(file_ids=file_ids, vocabulary=vocabulary, end_id=end_id).mode("append").save(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: str = "full") -> DataFrame:
@@ -371,7 +359,7 @@ def token_round_trip(docs: DataFrame, path: str | None = None, **options) -> Dat
     """Write all documents' ids, read the files back: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write_tokens(tokenised(docs, **options), path)
+    write_tokens(docs, path, **options)
     kind = docs.schema["doc_id"].dataType
     back = read_tokens(spark, path, "digest")
     return back.select(F.col("doc_id").cast(kind).alias("doc_id"), "start", "n_tokens", "ids_crc32")

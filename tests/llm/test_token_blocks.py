@@ -53,7 +53,7 @@ def key(r):
 def test_awkward_documents(spark, file_ids):
     rows = awkward_texts()
     path = scratch_path(spark, "tokens")
-    T.write_tokens(T.tokenised(documents(spark, rows)), path, file_ids)
+    T.write_tokens(documents(spark, rows), path, file_ids)
     got = sorted((tuple(r) for r in T.read_tokens(spark, path, "digest").selectExpr("cast(doc_id as long)", "start", "n_tokens", "ids_crc32").collect()), key=key)
     ids = {(i, n, c) for i, _, n, c in expected(rows)}
     assert {(i, n, c) for i, _, n, c in got} == ids and len(got) == len(rows)
@@ -82,7 +82,7 @@ def test_empty_table(spark):
 
 def test_a_span_reads_its_blocks_only(spark, monkeypatch):
     path = scratch_path(spark, "tokens")
-    T.write_tokens(T.tokenised(documents(spark, [(1, words(random.Random(2), 60_000, 5000))])), path)
+    T.write_tokens(documents(spark, [(1, words(random.Random(2), 60_000, 5000))]), path)
     fs, root = T.filesystem(path)
     (name,) = [x.path for x in fs.get_file_info(pafs.FileSelector(root)) if x.path.endswith(".tkb")]
     with fs.open_input_file(name) as f:
@@ -92,3 +92,12 @@ def test_a_span_reads_its_blocks_only(spark, monkeypatch):
         monkeypatch.setattr(file, "_read", lambda at, size: reads.append(size) or read(at, size))
         (part,) = file.span(1000, 1300)
         assert (part == whole[1000:1300]).all() and sum(reads) < 4 * 600
+
+
+def test_ids_of_any_coding_are_written(spark):
+    path = scratch_path(spark, "tokens")
+    rows = [("a", bytearray(np.array([7, 2**32 - 1, 0], "<u4").tobytes())), ("b", bytearray()), (None, bytearray(np.arange(1000, dtype="<u4").tobytes()))]
+    T.register(spark)
+    spark.createDataFrame(rows, "doc_id string, ids binary").coalesce(1).write.format("token_blocks").mode("append").save(path)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids"]) for r in T.read_tokens(spark, path).collect()}
+    assert got["a"] == (0, 3, [7, 2**32 - 1, 0]) and got["b"][:2] == (3, 0) and got[None] == (3, 1000, list(range(1000)))
