@@ -6,43 +6,60 @@
                                    repo x type matrix, headline and the
                                    quarantined lines as JSON
   keyvalue  --input P --output D   key<TAB>value counts (U1 + A11), key order
+  counts    --input P --output D   a key<TAB>value file, ours or a foreign one,
+                                   decoded and summed per key, as JSON
   publish   --input P --output U   copy the dataset to a lake path (text or
-                                   --format parquet for the normalized table)
-  schema    --input P --output D   inferred schema tree (printed) and path
+                                   --format parquet for the normalized table);
+                                   readers see the old version until it is whole
+  schema    --input P --output D   merged schema (printed) and path
                                    profile as JSON
   preview   --input P [--n 20]     first events, normalized (P5)
 
-``--input`` accepts files, directories, globs and comma-separated lists
-(gzip is decoded); ``--hours DAY:H0-H1 --input BASE`` reads hourly dumps
-``BASE/DAY-H.json.gz``.
+``--input`` accepts files, directories, published datasets, globs and
+comma-separated lists (gzip is decoded).  ``--hours DAY:H0-H1 --input BASE``
+reads hourly dumps ``BASE/DAY-H.json.gz``: a damaged one gives what it can and
+is noted in the printed status (and in ``OUTPUT/hours`` of a report); with
+``--cap N`` hours are read in order until there are N lines or one is damaged.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from eventlens.session import clear_scratch
 
 
-def _paths(args) -> list[str]:
-    if getattr(args, "hours", None):
-        from eventlens.sources.lines import hourly_paths
+def _lines(spark: SparkSession, args) -> tuple[DataFrame, DataFrame | None]:
+    """The input's lines, and the status of its files where it is hourly dumps."""
+    from eventlens.sinks import published_path
+    from eventlens.sources import hours as H
+    from eventlens.sources.lines import read_lines
 
-        day, rng = args.hours.split(":")
-        lo, hi = (int(x) for x in rng.split("-"))
-        return hourly_paths(args.input, day, range(lo, hi + 1))
-    return args.input.split(",")
+    if not args.hours:
+        return read_lines(spark, [published_path(spark, p) for p in args.input.split(",")]), None
+    day, span = args.hours.split(":")
+    lo, hi = (int(x) for x in span.split("-"))
+    hours = range(lo, hi + 1)
+    if args.cap is not None:
+        got = H.capped_ingest(spark, args.input, day, hours, args.cap)
+        print(f"{got.events} events of hours {got.hours}" + ("" if got.failed is None else f"; hour {got.failed} is damaged"))
+        return got.lines.select("value"), None
+    status = H.status_of(H.read_hours(spark, args.input, day, hours, content="status"))
+    for r in status.orderBy("day", "hour").collect():
+        print(f"{r['day']}-{r['hour']}: {r['rows']} lines, {r['file_bytes']} bytes, {r['error'] or 'complete'}")
+    return H.lines_of(H.read_hours(spark, args.input, day, hours)).select("value"), status
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="eventlens")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("profile", "report", "keyvalue", "publish", "schema", "preview"):
+    for name in ("profile", "report", "keyvalue", "counts", "publish", "schema", "preview"):
         s = sub.add_parser(name)
         s.add_argument("--input", required=True)
         s.add_argument("--hours", help="DAY:H0-H1, read BASE/DAY-H.json.gz")
+        s.add_argument("--cap", type=int, help="with --hours: so many lines, in order of hour")
         s.add_argument("--partitions", type=int, help="spread few input files over so many parse tasks")
         if name != "preview":
             s.add_argument("--output", required=True)
@@ -58,15 +75,16 @@ def main(argv: list[str] | None = None) -> None:
     from eventlens.operators.ranking import full_ranking, leader_headline
     from eventlens.plans import report as R
     from eventlens.session import get_session
-    from eventlens.sinks import publish, write_keyvalue, write_report
+    from eventlens.sinks import publish, read_keyvalue, write_json_dir, write_keyvalue, write_report
+    from eventlens.sources.adapter import spread
     from eventlens.sources.json_scan import parse_events
-    from eventlens.sources.lines import read_lines
 
     spark = get_session(args.master)
-
-    from eventlens.sources.adapter import spread
-
-    lines = spread(read_lines(spark, _paths(args)), args.partitions)
+    if args.cmd == "counts":
+        write_json_dir(read_keyvalue(spark, args.input), args.output)
+        return
+    lines, status = _lines(spark, args)
+    lines = spread(lines, args.partitions)
     parsed = parse_events(lines)
     silver = normalize(parsed.where("valid"))
 
@@ -90,6 +108,8 @@ def main(argv: list[str] | None = None) -> None:
         leader_headline(spark.read.json(f"{out}/report"), spark.read.json(f"{out}/counters")).write.mode(
             "overwrite").json(f"{out}/headline")
         release(rows)
+        if status is not None:
+            write_json_dir(status, f"{out}/hours")
         quarantine(lines).write.mode("overwrite").json(f"{out}/quarantine")
     elif args.cmd == "keyvalue":
         write_keyvalue(A.metrics_long(silver), args.output, sort=True)
@@ -99,9 +119,9 @@ def main(argv: list[str] | None = None) -> None:
         else:
             print(publish(lines, args.output, "text"))
     elif args.cmd == "schema":
-        from eventlens.operators.schema_profile import schema_profile
+        from eventlens.operators.schema_profile import infer_schema, schema_profile
 
-        print(spark.read.json(_paths(args)).schema.treeString())
+        print(infer_schema(lines).first()["schema"])
         schema_profile(lines).orderBy("path").write.mode("overwrite").json(args.output)
     elif args.cmd == "preview":
         from eventlens.operators.quality import preview

@@ -25,8 +25,13 @@ def _lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# ASCII whitespace, as stripped around an NDJSON line
-WHITESPACE = " \t\n\r\x0b\x0c"
+# Whitespace as stripped around an NDJSON line: what Unicode calls white space
+# or a separator of lines, paragraphs, records or units (fixed values).
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: str | Column) -> Column:

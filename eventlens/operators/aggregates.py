@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.operators.emissions import emissions
+from eventlens.operators.ranking import top_k
 from eventlens.schema import PUSH
+from eventlens.session import materialize
 
 
 def count_by(silver: DataFrame, col: str, name: str = "name") -> DataFrame:
@@ -100,6 +102,28 @@ def repo_type_matrix(silver: DataFrame, k: int = 15) -> DataFrame:
     return joined.groupBy("repo_rank", "repo", "total").agg(F.to_json(F.map_from_entries(entries)).alias("types_json"))
 
 
+#: The wide matrix has a column a type, up to so many.
+MAX_TYPE_COLUMNS = 500
+
+
+def repo_type_matrix_wide(silver: DataFrame, k: int = 15) -> DataFrame:
+    """A10, pivoted: repo_rank, repo, total and a column for every event type
+    of the data (by name), 0 where a repository has none.
+
+    The columns come from the (repo, type) aggregate, which is written once and
+    read for the types, the totals and the cells, so events are scanned once.
+    More types than ``MAX_TYPE_COLUMNS`` raise: types are then no columns, and
+    ``repo_type_counts`` has the same cells as rows."""
+    pairs = materialize(repo_type_counts(silver), "repo-types")
+    types = [r[0] for r in pairs.select("event_type").distinct().orderBy("event_type").limit(MAX_TYPE_COLUMNS + 1).collect()]
+    if len(types) > MAX_TYPE_COLUMNS:
+        raise ValueError(f"more than {MAX_TYPE_COLUMNS} event types")
+    top = top_k(pairs.groupBy(F.col("repo").alias("name")).agg(F.sum("count").cast("bigint").alias("count")), k)
+    top = top.select(F.col("rank").alias("repo_rank"), F.col("name").alias("repo"), F.col("count").alias("total"))
+    cells = pairs.join(F.broadcast(top), "repo").groupBy("repo_rank", "repo", "total").pivot("event_type", types).agg(F.sum("count").cast("bigint"))
+    return cells.fillna(0, types)
+
+
 def metrics_long(silver: DataFrame) -> DataFrame:
     """One pass, every metric: U1 emissions summed per
     (kind, name, event_type)."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import extract as X
 from eventlens.schema import PREVIEW_KEYS, PREVIEW_N, REQUIRED_FIELDS
-from eventlens.sources.json_scan import valid_variants
+from eventlens.sources.json_scan import valid_events
 
 
 def _unpivot(agg: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
@@ -24,11 +24,11 @@ def _unpivot(agg: DataFrame, names: list[str], key: str, value: str) -> DataFram
 def required_fields(lines: DataFrame, fields: list[str] | None = None, line_col: str = "value") -> DataFrame:
     """For every required top-level key, the number of valid records that
     lack it (presence only; a JSON null counts as present).  Checks every
-    line, parsed once to a VARIANT, in one pass: (field, missing_rows), zero
-    rows included."""
+    line in one pass: keys are listed from the text of lines that the envelope
+    parse found valid: (field, missing_rows), zero rows included."""
     fields = fields or REQUIRED_FIELDS
-    lacks = {f: F.try_variant_get("v", f"$.{f}", "variant").isNull() for f in fields}
-    agg = valid_variants(lines, line_col).agg(*[F.count_if(missing).alias(f) for f, missing in lacks.items()])
+    keys = valid_events(lines, line_col).select(F.json_object_keys("line").alias("keys"))
+    agg = keys.agg(*[F.count_if(~F.array_contains("keys", f)).alias(f) for f in fields])
     return _unpivot(agg, fields, "field", "missing_rows")
 
 

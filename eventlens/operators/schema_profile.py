@@ -3,22 +3,22 @@
 Both read lines parsed once to a VARIANT (``json_scan.valid_variants``).  A13
 merges per-record schemas with ``schema_of_variant_agg`` -- a true aggregate
 (partial merge per task, one final merge), so discovery is one pass with no
-driver-side sample.  A14 walks the records level by level, every element of
-every array included, and counts for every path the records that carry it and
-the type names seen there.
+driver-side sample.  A14 walks each record level by level, every element of
+every array included, as deep as the record goes (its line's opening brackets
+bound the number of levels), and counts for every path the records that carry
+it and the type names seen there: one parse, one aggregation with partial
+sums per (path, type), whatever the depth.  ``discover`` takes both from one
+pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlens.session import materialize
 from eventlens.sources.json_scan import valid_variants
 
-#: Levels per pass.  Not a limit: records that go deeper take another pass.
-LEVELS = 6
-
 _FRONT = "array<struct<path:string,v:variant>>"
 _DONE = "array<struct<path:string,type:string,elem:boolean>>"
 
@@ -30,14 +30,12 @@ def infer_schema(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return valid_variants(lines, line_col).agg(F.count("*").alias("records"), F.schema_of_variant_agg("v").alias("schema"))
 
 
-def type_name(v: Column) -> Column:
-    """Type name of a variant value in the profile's vocabulary:
-    null, boolean, long, double, string, array, struct."""
+def scalar_type(v: Column) -> Column:
+    """Type name of a variant that is no object and no array, in the profile's
+    vocabulary: null, boolean, long, double, string."""
     s = F.schema_of_variant(v)
     return (
-        F.when(F.startswith(s, F.lit("OBJECT")), F.lit("struct"))
-        .when(F.startswith(s, F.lit("ARRAY")), F.lit("array"))
-        .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("long"))
+        F.when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("long"))
         .when(F.startswith(s, F.lit("DECIMAL")) | s.isin("DOUBLE", "FLOAT"), F.lit("double"))
         .when(s == "BOOLEAN", F.lit("boolean"))
         .when(s == "VOID", F.lit("null"))
@@ -51,36 +49,50 @@ def quoted(key: Column) -> Column:
     return F.when(plain, key).otherwise(F.concat(F.lit("`"), F.replace(key, F.lit("`"), F.lit("``")), F.lit("`")))
 
 
-def _children(path: Column, v: Column) -> Column:
-    """The fields of an object (``a.b``), or all elements of an array
-    (``a[]``); empty for scalars."""
-    step = F.when(path == "", F.lit("")).otherwise(F.concat(path, F.lit(".")))
-    fields = F.map_entries(F.try_variant_get(v, "$", "map<string, variant>"))
-    elements = F.try_variant_get(v, "$", "array<variant>")
-    return F.coalesce(
-        F.transform(fields, lambda e: F.struct(F.concat(step, quoted(e["key"])).alias("path"), e["value"].alias("v"))),
-        F.transform(elements, lambda e: F.struct(F.concat(path, F.lit("[]")).alias("path"), e.alias("v"))),
-        F.array().cast(_FRONT),
+def _opened(path: Column, v: Column) -> Column:
+    """A place with what is in it: the fields of an object, all elements of an
+    array, neither for a scalar."""
+    return F.struct(
+        path.alias("path"), v.alias("v"),
+        F.map_entries(F.try_variant_get(v, "$", "map<string, variant>")).alias("fields"),
+        F.try_variant_get(v, "$", "array<variant>").alias("elements"),
     )
 
 
-def _typed(front: Column) -> Column:
-    elements = lambda e: F.try_variant_get(e["v"], "$", "array<variant>")
-    return F.transform(
-        front, lambda e: F.struct(e["path"].alias("path"), type_name(e["v"]).alias("type"), (F.array_size(elements(e)) > 0).alias("elem"))
+def _typed(node: Column) -> Column:
+    kind = F.when(node["fields"].isNotNull(), F.lit("struct")).when(node["elements"].isNotNull(), F.lit("array")).otherwise(scalar_type(node["v"]))
+    return F.struct(node["path"].alias("path"), kind.alias("type"), (F.size(node["elements"]) > 0).alias("elem"))
+
+
+def _children(node: Column) -> Column:
+    """The fields of an object (``a.b``), or all elements of an array (``a[]``)."""
+    step = F.when(node["path"] == "", F.lit("")).otherwise(F.concat(node["path"], F.lit(".")))
+    return F.coalesce(
+        F.transform(node["fields"], lambda e: F.struct(F.concat(step, quoted(e["key"])).alias("path"), e["value"].alias("v"))),
+        F.transform(node["elements"], lambda e: F.struct(F.concat(node["path"], F.lit("[]")).alias("path"), e.alias("v"))),
+        F.array().cast(_FRONT),
     )
 
 
-def _descend(records: DataFrame) -> DataFrame:
-    """``front`` (places not looked into yet) taken LEVELS levels down; what
-    was passed is in ``done``."""
-    df = records.select(F.array().cast(_DONE).alias("done"), "front")
-    for _ in range(LEVELS):
-        df = df.select(
-            F.concat("done", _typed(F.col("front"))).alias("done"),
-            F.flatten(F.transform("front", lambda e: _children(e["path"], e["v"]))).alias("front"),
+def _walk(v: Column) -> Column:
+    """Every place below the record's root: (path, type, elem).  As many
+    levels are taken as the record's text opens brackets, at most; levels
+    below its depth have nothing left to look at."""
+    text = F.to_json(v)
+    most = F.length(text) - F.length(F.translate(text, "{[", ""))
+    root = _children(_opened(F.lit(""), v))
+    start = F.struct(F.array().cast(_DONE).alias("done"), root.alias("front"))
+
+    def level(state: Column, _: Column) -> Column:
+        nodes = F.transform(state["front"], lambda e: _opened(e["path"], e["v"]))
+        return F.when(F.size(state["front"]) == 0, state).otherwise(
+            F.aggregate(
+                F.array(nodes), state,
+                lambda _s, n: F.struct(F.concat(state["done"], F.transform(n, _typed)).alias("done"), F.flatten(F.transform(n, _children)).alias("front")),
+            )
         )
-    return df
+
+    return F.aggregate(F.sequence(F.lit(1), most), start, level)["done"]
 
 
 def _entries(done: Column) -> Column:
@@ -98,30 +110,55 @@ def _entries(done: Column) -> Column:
     return F.concat(single, F.transform(many, lambda e: row(e, 0)), once)
 
 
+def path_states(records: DataFrame) -> DataFrame:
+    """(path, type, elem, n) of records ``v``: n counts the records where the
+    row stands for the path; a null path counts the records."""
+    every = F.struct(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("type"), F.lit(None).cast("boolean").alias("elem"), F.lit(1).alias("n"))
+    walked = records.select(F.inline(F.array(F.struct(_walk(F.col("v")).alias("done")))))
+    rows = walked.select(F.inline(F.concat(F.array(every), _entries(F.col("done")))))
+    return rows.groupBy("path", "type", "elem").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def _merged(states: DataFrame) -> DataFrame:
+    """Per path: types, types_seen, present_rows, has_elements."""
+    per_path = states.where(F.col("path").isNotNull()).groupBy("path").agg(
+        F.array_sort(F.collect_set("type")).alias("types"), F.sum("n").cast("bigint").alias("present_rows"), F.bool_or("elem").alias("has_elements")
+    )
+    return per_path.withColumn("types_seen", F.concat_ws(",", "types"))
+
+
 def _profile(lines: DataFrame, line_col: str) -> DataFrame:
-    """Per path: types_seen, present_rows, has_elements.  One pass goes LEVELS
-    deep and also says whether any record goes deeper (a row without a path);
-    only those records are then written and taken further down, for as long as
-    any are left."""
-    records = valid_variants(lines, line_col).select(_children(F.lit(""), F.col("v")).alias("front"))
-    found = None
-    while True:
-        down = _descend(records)
-        deeper = F.when(
-            F.size("front") > 0,
-            F.array(F.struct(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("type"),
-                             F.lit(None).cast("boolean").alias("elem"), F.lit(1).alias("n"))),
-        )
-        rows = down.select(F.inline(F.concat(_entries(F.col("done")), F.coalesce(deeper, F.filter(_entries(F.col("done")), lambda e: F.lit(False))))))
-        level = rows.groupBy("path").agg(
-            F.array_sort(F.collect_set("type")).alias("types"), F.sum("n").cast("bigint").alias("present_rows"), F.bool_or("elem").alias("has_elements")
+    return _merged(path_states(valid_variants(lines, line_col)))
+
+
+def discover(lines: DataFrame, required: list[str], paths: list[str], line_col: str = "value") -> DataFrame:
+    """A13, A14, S6 and P4 from one scan and one parse: (part, name, types,
+    rows).  ``schema``: the merged schema and the records; ``profile``: every
+    path with its types and records; ``required``: records that lack a key;
+    ``coverage``: records with a value at a payload path.  The schema is
+    observed on the rows that the walk reads."""
+    seen = Observation()
+    records = valid_variants(lines, line_col).observe(seen, F.schema_of_variant_agg("v").alias("schema"))
+    states = materialize(path_states(records), "discovery")
+    profile = _merged(states)
+    present = profile.select("path", "present_rows")
+    spark = lines.sparkSession
+    count = states.where(F.col("path").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("records"))
+    # an optimised-away empty input is never observed
+    schema = seen.get["schema"] if count.first()[0] else infer_schema(lines, line_col).first()["schema"]
+    one = lambda names, key: spark.createDataFrame([(n, k) for n, k in zip(names, key, strict=True)], "name string, path string")
+    steps = [".".join(["payload", *p.removeprefix("$.").split(".")]) for p in paths]
+    none = F.lit(None).cast("string")
+    found = F.coalesce("present_rows", F.lit(0))
+    return (
+        count.select(F.lit("schema").alias("part"), F.lit("").alias("name"), F.lit(schema).cast("string").alias("types"), F.col("records").alias("rows"))
+        .unionByName(profile.select(F.lit("profile").alias("part"), F.col("path").alias("name"), F.col("types_seen").alias("types"), F.col("present_rows").alias("rows")))
+        .unionByName(
+            one(required, required).join(present, "path", "left").join(F.broadcast(count))
+            .select(F.lit("required").alias("part"), "name", none.alias("types"), (F.col("records") - found).alias("rows"))
         )
-        level = materialize(level, "profile")
-        here = level.where(F.col("path").isNotNull())
-        found = here if found is None else found.unionByName(here)
-        if level.where(F.col("path").isNull()).isEmpty():
-            return found.withColumn("types_seen", F.concat_ws(",", "types"))
-        records = materialize(down.where(F.size("front") > 0).select("front"), "profile-deeper")
+        .unionByName(one(paths, steps).join(present, "path", "left").select(F.lit("coverage").alias("part"), "name", none.alias("types"), found.alias("rows")))
+    )
 
 
 def schema_profile(lines: DataFrame, line_col: str = "value") -> DataFrame:

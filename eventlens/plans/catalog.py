@@ -25,13 +25,24 @@ from eventlens.operators.quality import required_fields as required_op
 from eventlens.operators.ranking import full_ranking, global_rank, leader_headline as headline_op, top_k
 from eventlens.operators.schema_profile import infer_schema, schema_profile as profile_op
 from eventlens.plans import report as R
-from eventlens.schema import LANGUAGE_PATHS, LANGUAGE_PATHS_3, MIN_EVENTS, TOP_K
+from eventlens.schema import LANGUAGE_PATHS, LANGUAGE_PATHS_3, MIN_EVENTS, REQUIRED_FIELDS, TOP_K
 from eventlens.session import ensure_semantics, scratch_path
-from eventlens.sinks import keyvalue_lines, ndjson, publish, read_keyvalue, reduce_keyvalue, write_hourly, write_json_dir, write_keyvalue
+from eventlens.sinks import (
+    keyvalue_lines,
+    ndjson,
+    path_size,
+    publish,
+    read_keyvalue,
+    read_published,
+    reduce_keyvalue,
+    write_json_dir,
+    write_keyvalue,
+)
 from eventlens.sources import adapter
+from eventlens.sources import hours as H
 from eventlens.sources.json_scan import parse_events, read_declared, read_inferred, valid_events
 from eventlens.sources.lines import HOUR_PARTITION, first_n, read_hourly, read_lines
-from eventlens.sources.lines import dataset_summary as summary_op
+
 from eventlens.sources.lines import volume_gate as gate
 
 #: Files of the ordered dump.
@@ -64,9 +75,9 @@ def hourly_stream_report(spark, sf):
     report over the counts that the sink holds at the end."""
     from eventlens.streaming.hourly import read_stream_report, start_report_stream
 
-    src = scratch_path(spark, "stream-src")
     lines = adapter.event_lines_with_hour(spark, sf).select("value", "hour")
-    files = publish(lines, src, "text", partition_by=["hour"], compression="gzip").files
+    done = publish(lines, scratch_path(spark, "stream-src"), "text", partition_by=["hour"], compression="gzip")
+    src, files = done.destination, done.files
     sink = scratch_path(spark, "stream-sink")
     q = start_report_stream(spark, src, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=max(1, -(-files // 3)))
     q.awaitTermination()
@@ -128,9 +139,9 @@ def first_n_lines(spark, sf):
 
 def hourly_gzip_ingest(spark, sf):
     """Hourly gzip layout, hour taken from the file path."""
-    path = scratch_path(spark, "hourly")
-    publish(adapter.event_lines_with_hour(spark, sf).select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
-    parsed = parse_events(read_hourly(spark, path, HOUR_PARTITION, 1), keep=["source_hour"])
+    lines = adapter.event_lines_with_hour(spark, sf).select("value", "hour")
+    done = publish(lines, scratch_path(spark, "hourly"), "text", partition_by=["hour"], compression="gzip")
+    parsed = parse_events(read_hourly(spark, done.destination, HOUR_PARTITION, 1), keep=["source_hour"])
     return parsed.groupBy("source_hour").agg(
         F.count("*").alias("lines"), F.count_if("valid").cast("bigint").alias("valid_events")
     )
@@ -142,19 +153,21 @@ def required_fields(spark, sf):
 
 
 def publish_roundtrip(spark, sf):
-    """Publish the raw dataset to a lake path, read it back, profile it."""
+    """Publish a part of the raw dataset, then all of it in its place; the
+    profile of what the pointer names."""
     path = scratch_path(spark, "published")
-    publish(_lines(spark, sf), path, "text")
-    return normalize(valid_events(spark.read.text(path))).groupBy("type").agg(F.count("*").alias("events"))
+    publish(_lines(spark, sf).where(F.hash("value") % 2 == 0), path)
+    publish(_lines(spark, sf), path)
+    return normalize(valid_events(read_published(spark, path))).groupBy("type").agg(F.count("*").alias("events"))
 
 
 def publish_result(spark, sf):
-    """What the publisher reports: rows written, and that files and bytes
-    are those found at the destination."""
+    """What the publisher reports: rows written, the mode, and that files
+    and bytes are those found at the destination."""
     done = publish(_lines(spark, sf), scratch_path(spark, "published"), "text")
     back = spark.read.text(done.destination).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"))
     found = back.groupBy("f").agg(F.max("n").alias("n")).agg(F.sum("n").alias("bytes"))
-    return found.select(F.lit(done.rows).cast("bigint").alias("rows"), (F.col("bytes") == done.bytes).alias("bytes_match"))
+    return found.select(F.lit(done.rows).cast("bigint").alias("rows"), F.lit(done.mode).alias("mode"), (F.col("bytes") == done.bytes).alias("bytes_match"))
 
 
 def volume_gate(spark, sf):
@@ -198,10 +211,72 @@ def ndjson_roundtrip(spark, sf):
 
 
 def dataset_summary(spark, sf):
-    """Events, files, days and hours of dumps named ``{day}-{h}.json.gz``."""
+    """Source, events, files, days and hours of dumps named
+    ``{day}-{h}.json.gz``, and that its bytes are those of the files."""
     path = scratch_path(spark, "summary")
-    write_hourly(adapter.event_lines_with_hour(spark, sf), path)
-    return summary_op(read_hourly(spark, path)).select("events", "files", "days", "hours", "n_hours")
+    H.write_hours(adapter.event_lines_with_hour(spark, sf), path, order=["event_id"])
+    row = H.dataset_summary(H.read_hours(spark, path, content="status"))
+    return row.select("source", "events", "files", "days", "hours", "n_hours", (F.col("bytes") == path_size(spark, path)[1]).alias("bytes_match"))
+
+
+def hourly_append(spark, sf):
+    """Dumps written in two calls that share hours: lines read of
+    every day and hour, and the rows that each file's status and the manifest give."""
+    path = scratch_path(spark, "append")
+    lines = adapter.event_lines_with_hour(spark, sf)
+    H.write_hours(lines.where("event_id % 3 = 0"), path, order=["event_id"])
+    listed = spark.createDataFrame(H.write_hours(lines.where("event_id % 3 <> 0"), path, order=["event_id"]), "file string, rows long, bytes long")
+    name = F.substring_index("file", "/", -1).alias("name")
+    found = H.read_hours(spark, path).groupBy(F.substring_index("source_file", "/", -1).alias("name"), "day", "hour").agg(
+        F.count("value").alias("lines"), F.max("rows").alias("rows")
+    )
+    return found.join(listed.select(name, F.col("rows").alias("listed")), "name", "left").select("day", "hour", "lines", "rows", "listed")
+
+
+# --- fixed values (fixture rules): the damaged day
+DAY, TRUNCATED, EMPTY, NOT_GZIP, MISSING = "2024-01-01", 5, 7, 9, 11
+CAP = 1500
+# --- end fixed values ---
+
+
+def _damaged_dumps(spark, sf) -> str:
+    """All events as one day of hourly dumps: one cut off at the start of its
+    second member (its first has the events of even id), one of no bytes, one
+    that is not gzip, one that is not there."""
+    base = scratch_path(spark, "damaged")
+    hour = F.col("hour").cast("int")
+    lines = adapter.event_lines_with_hour(spark, sf).select("value", "event_id", hour.alias("hour"), F.lit(DAY).alias("day"))
+    whole = ~hour.isin(EMPTY, NOT_GZIP, MISSING) & ((hour != TRUNCATED) | (F.col("event_id") % 2 == 0))
+    files = {x["file"].rsplit("/", 1)[1]: x["file"] for x in H.write_hours(lines.where(whole), base, order=["event_id"])}
+    fs, root = H.filesystem(base)
+    cut = f"{root}/{files.get(f'{DAY}-{TRUNCATED}.json.gz', f'{DAY}-{TRUNCATED}.json.gz')}"
+    with fs.open_input_stream(cut, compression=None) as f:
+        first = f.read()
+    for path, data in ((cut, first + first[:10]), (f"{root}/{DAY}-{EMPTY}.json.gz", b""), (f"{root}/{DAY}-{NOT_GZIP}.json.gz", b'{"id":"1"}\n')):
+        with fs.open_output_stream(path, compression=None) as out:
+            out.write(data)
+    return base
+
+
+def hourly_ingest_status(spark, sf):
+    """Lines of every hour of a day, damaged ones included, and each file's
+    status: rows, whether it is complete, what is wrong, whether it has bytes."""
+    found = H.read_hours(spark, _damaged_dumps(spark, sf), DAY, range(24))
+    return found.groupBy("hour").agg(
+        F.count("value").alias("lines"), F.max("rows").alias("rows"), F.bool_or("complete").alias("complete"),
+        F.max("error").alias("error"), (F.max("file_bytes") > 0).alias("has_bytes"),
+    )
+
+
+def capped_ingest(spark, sf):
+    """S4 over S5: the first 1500 lines in order of hour, up to the first
+    damaged one; with the hours used, the events and the hour that failed."""
+    got = H.capped_ingest(spark, _damaged_dumps(spark, sf), DAY, range(24), CAP)
+    parsed = parse_events(got.lines, keep=["hour", "line_no"])
+    return parsed.select(
+        "hour", "line_no", F.when(F.col("valid"), F.col("id")).alias("id"), F.lit(",".join(map(str, got.hours))).alias("hours"),
+        F.lit(got.events).cast("bigint").alias("events"), F.lit(got.failed).cast("int").alias("failed"),
+    )
 
 
 # ------------------------------------------------- projections / functions
@@ -338,6 +413,11 @@ def repo_type_matrix_top15(spark, sf):
     return A.repo_type_matrix(_silver(spark, sf))
 
 
+def repo_type_matrix_wide(spark, sf):
+    """A10, pivoted: a column for every event type."""
+    return A.repo_type_matrix_wide(_silver(spark, sf))
+
+
 def metrics_long(spark, sf):
     """A11."""
     return A.metrics_long(_silver(spark, sf))
@@ -365,6 +445,13 @@ def schema_field_count(spark, sf):
     return count_op(_lines(spark, sf))
 
 
+def discovery_document(spark, sf):
+    """A13, A14, S6 and P4 in one scan."""
+    from eventlens.operators.schema_profile import discover
+
+    return discover(_lines(spark, sf), REQUIRED_FIELDS, COVERAGE_PATHS)
+
+
 # -------------------------------------------------------------- ranking
 def all_push_repos(spark, sf):
     """T1."""
@@ -443,13 +530,13 @@ QUERIES: dict[str, Query] = {
     for f in [
         scan_inferred, scan_declared, scan_lines, malformed_lines, first_n_events, first_n_lines, hourly_gzip_ingest, required_fields,
         publish_roundtrip, publish_result, volume_gate, json_sink_roundtrip, text_sink_roundtrip, report_long,
-        report_document, ndjson_roundtrip, dataset_summary,
+        report_document, ndjson_roundtrip, dataset_summary, hourly_append, hourly_ingest_status, capped_ingest,
         push_events, language_events, nested_paths, path_coverage, preview,
         normalized_events, languages_3path, payload_keys, keyvalue_decode, keyvalue_parse,
         commit_volume_size_only, ranking_with_blank_names, emissions,
         top_repos, top_push_repos, top_commit_repos, top_users, languages, event_types, events_by_hour,
-        repo_type_counts, repo_type_rollup, repo_type_matrix_top15, metrics_long, run_counters,
-        schema_inferred, schema_profile, schema_field_count,
+        repo_type_counts, repo_type_rollup, repo_type_matrix_top15, repo_type_matrix_wide, metrics_long, run_counters,
+        schema_inferred, schema_profile, schema_field_count, discovery_document,
         all_push_repos, all_users, keyvalue_sorted, events_by_time, leader_headline,
         ranking_agreement, ranking_fallback, hourly_stream_report,
     ]

@@ -27,7 +27,7 @@ WITH fx AS (
     CASE WHEN user_id % 11 = 0 THEN 'unknown' WHEN user_id % 7 = 0 THEN concat('User', user_id)
          WHEN user_id % 13 = 0 THEN concat('u', chr(9), user_id, chr(10), chr(92), 'end') ELSE concat('user', user_id) END AS usr,
     CASE WHEN event_id % 3 = 0 THEN 'org0/hot' WHEN k % 25 = 0 THEN NULL ELSE concat('org', k % 10, '/repo', k) END AS raw_repo,
-    CASE WHEN event_id % 97 = 0 THEN (event_id // 97) % 6 END AS broken,
+    CASE WHEN event_id % 97 = 0 THEN (event_id // 97) % 8 END AS broken,
     CASE WHEN event_id % 50 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
     CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%H') END AS hour,
     CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN event_id % 4 ELSE event_id % 5 END AS n_commits
@@ -140,6 +140,14 @@ PROFILE_ENTRIES = """
 )"""
 
 
+#: A14 over the entries, and the merged schema (A13) from which fields occur.
+PROFILE = """
+SELECT path, array_to_string(list_sort(list(DISTINCT t)), ',') AS types_seen, CAST(count(*) AS BIGINT) AS present_rows
+FROM pe GROUP BY path
+UNION ALL SELECT 'payload.mix2[]', 'long,string', CAST(count(*) AS BIGINT) FROM s WHERE event_type = 'view' AND event_id % 4 = 0
+HAVING count(*) > 0"""
+
+
 def _agreement(name: str, left: str, right: str, n: int = 5) -> str:
     return f"""SELECT '{name}' AS pair, coalesce(bool_and(l.name IS NOT DISTINCT FROM r.name), true) AS agree,
   CAST(count(*) AS BIGINT) AS compared,
@@ -154,7 +162,7 @@ def _rep(metric: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "scan_inferred": BASE + """
-SELECT CASE WHEN broken = 0 THEN '_corrupt' WHEN NOT valid THEN '(absent)' ELSE coalesce(raw_type, '(absent)') END AS type_name,
+SELECT CASE WHEN broken IN (0, 6, 7) THEN '_corrupt' WHEN NOT valid THEN '(absent)' ELSE coalesce(raw_type, '(absent)') END AS type_name,
        CAST(count(*) AS BIGINT) AS rows
 FROM ev GROUP BY 1""",
     "scan_declared": BASE + """
@@ -163,7 +171,7 @@ SELECT CASE WHEN NOT valid THEN '_corrupt' ELSE coalesce(raw_type, '(absent)') E
 FROM ev GROUP BY 1""",
     "scan_lines": BASE + "\nSELECT valid, CAST(count(*) AS BIGINT) AS lines FROM ev GROUP BY valid",
     "malformed_lines": BASE + """
-SELECT ['invalid_json', 'trailing_text', 'trailing_text', 'trailing_text', 'not_object', 'bad_field_type'][broken + 1] AS reason,
+SELECT ['invalid_json', 'trailing_text', 'trailing_text', 'trailing_text', 'not_object', 'bad_field_type', 'invalid_json', 'invalid_json'][broken + 1] AS reason,
        CAST(count(*) AS BIGINT) AS lines
 FROM ev WHERE NOT valid GROUP BY 1""",
     "first_n_events": BASE + """
@@ -182,7 +190,7 @@ UNION ALL SELECT 'actor', CAST(0 AS BIGINT)
 UNION ALL SELECT 'repo', CAST(0 AS BIGINT)
 UNION ALL SELECT 'payload', CAST(count_if(event_type = 'view' AND event_id % 2 = 1) AS BIGINT) FROM s""",
     "publish_roundtrip": BASE + "\nSELECT type, CAST(count(*) AS BIGINT) AS events FROM s GROUP BY type",
-    "publish_result": BASE + "\nSELECT CAST(count(*) AS BIGINT) AS rows, true AS bytes_match FROM ev",
+    "publish_result": BASE + "\nSELECT CAST(count(*) AS BIGINT) AS rows, 'local' AS mode, true AS bytes_match FROM ev",
     "volume_gate": BASE + "\nSELECT CAST(count(*) AS BIGINT) AS events, CAST(50 AS BIGINT) AS minimum, count(*) >= 50 AS passed FROM s",
     "json_sink_roundtrip": BASE + "\n" + _ranking(C_PUSH, 15),
     "text_sink_roundtrip": BASE + "\nSELECT key, kind, name, event_type, value FROM ml",
@@ -204,10 +212,29 @@ UNION ALL SELECT 'counters', CAST(4 AS BIGINT), 'keys', CAST(keys AS BIGINT) FRO
     "ndjson_roundtrip": BASE + """
 SELECT id, type, repo, "user", language, hour, CAST(commits AS BIGINT) AS commits, created_at, CAST(8 AS BIGINT) AS n_keys FROM s""",
     "dataset_summary": BASE + """
-SELECT CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT d || h) AS BIGINT) AS files,
+SELECT 'archive' AS source, true AS bytes_match, CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT d || h) AS BIGINT) AS files,
        array_to_string(list_sort(list(DISTINCT d)), ',') AS days, array_to_string(list_sort(list(DISTINCT h)), ',') AS hours,
        CAST(count(DISTINCT h) AS BIGINT) AS n_hours
 FROM (SELECT strftime(ts, '%H') AS h, strftime(ts, '%Y-%m-%d') AS d FROM ev) x""",
+    "hourly_append": BASE + """
+SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(strftime(ts, '%H') AS INTEGER) AS hour, CAST(count(*) AS BIGINT) AS lines,
+       CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS listed
+FROM ev GROUP BY 1, 2""",
+    "hourly_ingest_status": BASE + """
+SELECT CAST(h AS INTEGER) AS hour, CAST(count(event_id) AS BIGINT) AS lines, CAST(count(event_id) AS BIGINT) AS rows, h NOT IN (5, 9, 11) AS complete,
+       CASE h WHEN 5 THEN 'truncated' WHEN 9 THEN 'not_gzip' WHEN 11 THEN 'missing' END AS error, h NOT IN (7, 11) AS has_bytes
+FROM range(24) r(h) LEFT JOIN ev ON CAST(strftime(ts, '%H') AS INTEGER) = h AND h NOT IN (7, 9, 11) AND (h <> 5 OR event_id % 2 = 0)
+GROUP BY h""",
+    "capped_ingest": BASE + """
+, q AS (
+  SELECT h, CASE WHEN valid THEN id END AS id, row_number() OVER (PARTITION BY h ORDER BY event_id) AS line_no,
+         row_number() OVER (ORDER BY h, event_id) AS n
+  FROM (SELECT *, CAST(strftime(ts, '%H') AS INTEGER) AS h FROM ev) x WHERE h < 5 OR h = 5 AND event_id % 2 = 0
+), t AS (SELECT * FROM q WHERE n <= 1500), e AS (SELECT count(*) AS events FROM t)
+SELECT h AS hour, CAST(line_no AS BIGINT) AS line_no, id,
+  (SELECT array_to_string(list_sort(list(DISTINCT h)), ',') FROM t, e WHERE h < 5 OR events = 1500) AS hours,
+  CAST(events AS BIGINT) AS events, CASE WHEN events < 1500 THEN 5 END AS failed
+FROM t, e""",
     "push_events": BASE + "\nSELECT id, repo, CAST(commits AS BIGINT) AS commits FROM s WHERE type = 'PushEvent'",
     "language_events": BASE + "\nSELECT id, language FROM s WHERE language IS NOT NULL",
     "nested_paths": BASE + """
@@ -268,6 +295,17 @@ UNION ALL SELECT repo, NULL, CAST(1 AS BIGINT), CAST(count(*) AS BIGINT) FROM s
 SELECT CAST(t.repo_rank AS BIGINT) AS repo_rank, t.repo, CAST(t.total AS BIGINT) AS total,
        concat('{{', string_agg(concat('"', p.type, '":', p.c), ',' ORDER BY p.type), '}}') AS types_json
 FROM tot t JOIN pairs p ON p.repo = t.repo GROUP BY t.repo_rank, t.repo, t.total""",
+    "repo_type_matrix_wide": BASE + """
+, tot AS (
+  SELECT * FROM (SELECT repo, count(*) AS total, row_number() OVER (ORDER BY count(*) DESC, repo) AS repo_rank
+                 FROM s GROUP BY repo) x WHERE repo_rank <= 15
+)
+SELECT CAST(repo_rank AS BIGINT) AS repo_rank, repo, CAST(total AS BIGINT) AS total,
+  """ + ",\n  ".join(
+        f"CAST(count_if(type = '{t}') AS BIGINT) AS \"{t}\""
+        for t in ["ForkEvent", "IssuesEvent", "PullRequestEvent", "PushEvent", "Unknown", "WatchEvent", *[f"Kind{i}Event" for i in range(23)]]
+    ) + """
+FROM s JOIN tot USING (repo) GROUP BY repo_rank, repo, total""",
     "metrics_long": BASE + "\nSELECT kind, name, event_type, value FROM ml",
     "run_counters": BASE + """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM s) AS records,
@@ -308,11 +346,7 @@ SELECT CAST(records AS BIGINT) AS records,
     'repo: OBJECT<' || CASE WHEN has_repo_name THEN 'name: STRING' ELSE '' END || '>',
     CASE WHEN has_type THEN 'type: STRING' END], lambda x: x IS NOT NULL), ', ') || '>' AS schema
 FROM flags""",
-    "schema_profile": BASE + PROFILE_ENTRIES + """
-SELECT path, array_to_string(list_sort(list(DISTINCT t)), ',') AS types_seen, CAST(count(*) AS BIGINT) AS present_rows
-FROM pe GROUP BY path
-UNION ALL SELECT 'payload.mix2[]', 'long,string', CAST(count(*) AS BIGINT) FROM s WHERE event_type = 'view' AND event_id % 4 = 0
-HAVING count(*) > 0""",
+    "schema_profile": BASE + PROFILE_ENTRIES + PROFILE,
     "schema_field_count": BASE + PROFILE_ENTRIES + """
 , prof AS (SELECT path, list_sort(list(DISTINCT t)) AS ts FROM pe GROUP BY path
   UNION ALL SELECT 'payload.mix2[]', ['long', 'string'] FROM s WHERE event_type = 'view' AND event_id % 4 = 0 GROUP BY 1)
@@ -348,3 +382,11 @@ FROM rep GROUP BY metric""",
 SELECT metric, rank, name, count, 'primary' AS source FROM prim
 UNION ALL SELECT metric, rank, name, count, 'secondary' FROM rep WHERE metric NOT IN (SELECT metric FROM prim)""",
 }
+
+_QUERY = {name: sql.removeprefix(BASE) for name, sql in ORACLE_SQL.items()}
+_FLAGS, _SCHEMA = _QUERY["schema_inferred"].split("\nSELECT CAST(records", 1)
+ORACLE_SQL["discovery_document"] = BASE + PROFILE_ENTRIES + _FLAGS + f"""
+SELECT 'schema' AS part, '' AS name, schema AS types, records AS rows FROM (SELECT CAST(records{_SCHEMA}) a
+UNION ALL SELECT 'profile', path, types_seen, present_rows FROM ({PROFILE}) b
+UNION ALL SELECT 'required', field, NULL, missing_rows FROM ({_QUERY["required_fields"]}) c
+UNION ALL SELECT 'coverage', path, NULL, present_rows FROM ({_QUERY["path_coverage"]}) d"""

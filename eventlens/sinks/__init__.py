@@ -3,6 +3,9 @@ any Hadoop-FS URI; nothing is funnelled through the driver."""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,28 +15,107 @@ from eventlens.functions.keyvalue import decode_key, encode_key, encode_line, pa
 
 
 class Published(NamedTuple):
-    """What ``publish`` wrote."""
+    """What ``publish`` wrote.  ``destination`` is the folder of this version,
+    ``mode`` says whether it lies on a ``cluster`` file system or a ``local`` one."""
 
     destination: str
     rows: int
     files: int
     bytes: int
+    mode: str
+    uri: str
 
 
-def publish(df: DataFrame, uri: str, fmt: str = "text", mode: str = "overwrite", partition_by: list[str] | None = None,
-            compression: str | None = None) -> Published:
+#: The file that names a published dataset's current version.
+POINTER = "_current.json"
+
+
+def publish(df: DataFrame, uri: str, fmt: str = "text", partition_by: list[str] | None = None, compression: str | None = None, keep: int = 1) -> Published:
     """Publish a dataset to a lake path (``hdfs://``, ``s3a://``, ``file:``),
-    replacing what was there.  Rows are counted while they are written; files
-    and bytes come from the file system's summary of the path."""
+    in place of what was there.
+
+    The data goes to a version folder of its own; the pointer is replaced last
+    and in one step, so readers see the old dataset until the new one is whole,
+    and a job that dies leaves the old one current.  Of earlier versions the
+    newest ``keep`` stay for readers that have begun.  Rows are counted while
+    they are written; files and bytes come from the file system's listing."""
+    spark = df.sparkSession
+    uri = uri.rstrip("/")
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     seen = Observation()
-    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if compression:
         w = w.option("compression", compression)
-    getattr(w, fmt)(uri)
-    files, size = path_size(df.sparkSession, uri)
-    return Published(uri, seen.get["rows"], files, size)
+    getattr(w, fmt)(f"{uri}/{version}")
+    files, size = path_size(spark, f"{uri}/{version}")
+    current = _pointer(spark, uri)
+    done = Published(f"{uri}/{version}", seen.get["rows"], files, size, file_system_mode(spark, uri), uri)
+    history = [version, *([] if current is None else current["history"])][: keep + 1]
+    _replace_text(spark, f"{uri}/{POINTER}", json.dumps({"version": version, "format": fmt, "rows": done.rows, "files": files, "bytes": size, "history": history}))
+    _collect(spark, uri, history)
+    return done
+
+
+def published_path(spark: SparkSession, uri: str) -> str:
+    """The folder of a published dataset's current version; ``uri`` itself where nothing was published."""
+    current = _pointer(spark, uri.rstrip("/"))
+    return uri if current is None else f"{uri.rstrip('/')}/{current['version']}"
+
+
+def read_published(spark: SparkSession, uri: str) -> DataFrame:
+    """The current version of a published dataset, in the format it was written."""
+    current = _pointer(spark, uri.rstrip("/"))
+    if current is None:
+        raise FileNotFoundError(f"nothing is published at {uri}")
+    return spark.read.format(current["format"]).load(published_path(spark, uri))
+
+
+def _file(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def file_system_mode(spark: SparkSession, uri: str) -> str:
+    return "local" if _file(spark, uri)[1].getUri().getScheme() == "file" else "cluster"
+
+
+def _pointer(spark: SparkSession, uri: str) -> dict | None:
+    path, fs = _file(spark, f"{uri}/{POINTER}")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _replace_text(spark: SparkSession, uri: str, text: str) -> None:
+    """Write a small file beside ``uri`` and put it in its place in one step."""
+    jvm = spark.sparkContext._jvm
+    target, _ = _file(spark, uri)
+    fresh, fs = _file(spark, f"{uri}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(target), how)
+
+
+def _collect(spark: SparkSession, uri: str, history: list[str]) -> None:
+    """Remove versions older than the oldest kept one (newer ones may be being written)."""
+    path, fs = _file(spark, uri)
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in history and name < min(history):
+            fs.delete(status.getPath(), True)
 
 
 def path_size(spark: SparkSession, uri: str) -> tuple[int, int]:
@@ -49,26 +131,6 @@ def path_size(spark: SparkSession, uri: str) -> tuple[int, int]:
     return files, size
 
 
-def write_hourly(lines: DataFrame, base: str, day: str = "day", hour: str = "hour") -> None:
-    """Hourly dumps ``{base}/{day}-{h}.json.gz``, one file an hour as the
-    archive's layout has it: lines are written by day and hour, then the files
-    are renamed (names only; the number of hours)."""
-    spark = lines.sparkSession
-    whole = lines.select("value", F.col(day).cast("string").alias("day"), F.col(hour).cast("int").alias("h"))
-    staging = f"{base.rstrip('/')}/_staging"
-    whole.repartition("day", "h").write.mode("overwrite").partitionBy("day", "h").option("compression", "gzip").text(staging)
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = new(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.listFiles(new(staging), True)
-    while found.hasNext():
-        path = found.next().getPath()
-        if path.getName().startswith("part-"):
-            hours = path.getParent()
-            name = f"{hours.getParent().getName().removeprefix('day=')}-{hours.getName().removeprefix('h=')}.json.gz"
-            fs.rename(path, new(f"{base.rstrip('/')}/{name}"))
-    fs.delete(new(staging), True)
-
-
 def write_json_dir(df: DataFrame, path: str) -> None:
     """One JSON object per row, directory output, overwrite."""
     df.write.mode("overwrite").json(path)

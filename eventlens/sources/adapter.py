@@ -28,7 +28,11 @@ BROKEN_LINES = [
     '{"id":"1"}}',
     '[{"id":"1"}]',
     '{"id":"1","actor":"bob"}',
+    "{'id':'1'}",
+    '{"id":"1","payload":{"size":NaN}}',
 ]
+#: White space that is not ASCII counts around a line, too.
+PAD_LEFT, PAD_RIGHT, BLANK = "\u00a0 ", "\t\u2028\x1f", " \u3000\x85"
 # Depth over 12, more than 8 keys, a key with a dot, nulls, arrays whose later
 # elements have other fields.
 DEEP = "true"
@@ -154,9 +158,10 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_lines_with_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines plus the UTC hour (``HH``) of the source event, for hourly layouts."""
+    """Lines plus the UTC hour (``HH``) and day of the source event, for hourly
+    layouts, and its id to order them by."""
     ev = fixture_events(spark, sf_dir)
-    return fixture_columns(ev).select("value", F.date_format("ts", "HH").alias("hour"), F.to_date("ts").alias("day"))
+    return fixture_columns(ev).select("value", F.date_format("ts", "HH").alias("hour"), F.to_date("ts").alias("day"), "event_id")
 
 
 def event_lines_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +169,6 @@ def event_lines_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     every 17th line carries surrounding spaces (exercises strip + skip)."""
     ev = fixture_events(spark, sf_dir)
     fx = fixture_columns(ev)
-    line = F.when(F.col("event_id") % 17 == 0, F.concat(F.lit("  "), "value", F.lit(" \t"))).otherwise(F.col("value"))
-    arr = F.when(F.col("event_id") % 13 == 0, F.array(line, F.lit("   "))).otherwise(F.array(line))
+    line = F.when(F.col("event_id") % 17 == 0, F.concat(F.lit(PAD_LEFT), "value", F.lit(PAD_RIGHT))).otherwise(F.col("value"))
+    arr = F.when(F.col("event_id") % 13 == 0, F.array(line, F.lit(BLANK))).otherwise(F.array(line))
     return fx.select(F.explode(arr).alias("value"))

@@ -1,5 +1,5 @@
 """Line-oriented sources: NDJSON text, hourly gzip dumps, caps and gates
-(S2, S4, S5, S8, S14)."""
+(S2, S4, S5, S8).  ``hours`` has the dumps as a data source (S5, S14)."""
 
 from __future__ import annotations
 
@@ -87,27 +87,6 @@ def read_hourly(spark: SparkSession, paths: str | list[str], hour_pattern: str =
     )
 
 
-def dataset_summary(hourly: DataFrame) -> DataFrame:
-    """Events, files, bytes, days and hours of an hourly dataset.
-    Bytes are taken once per file (max of the per-row file size), then
-    summed; days come from ``{day}-{h}`` file names when present.  The sets
-    are over files, so they are bounded by the file count."""
-    per_file = hourly.groupBy("source_file").agg(
-        F.count("*").alias("events"),
-        F.max("file_size").alias("bytes"),
-        F.first("source_hour", ignorenulls=True).alias("source_hour"),
-    )
-    day = F.nullif(F.regexp_extract("source_file", HOURLY_NAME, 1), F.lit(""))
-    return per_file.agg(
-        F.sum("events").alias("events"),
-        F.count("*").alias("files"),
-        F.sum("bytes").alias("bytes"),
-        F.concat_ws(",", F.array_sort(F.collect_set(day))).alias("days"),
-        F.concat_ws(",", F.array_sort(F.collect_set("source_hour"))).alias("hours"),
-        F.count_distinct("source_hour").alias("n_hours"),
-    )
-
-
 def volume_gate(events: DataFrame, minimum: int) -> DataFrame:
     """Whether an ingest holds at least ``minimum`` events: one row
     (events, minimum, passed).  It reports; what to read instead is the

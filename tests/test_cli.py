@@ -5,6 +5,7 @@ from conftest import SF_SMALL
 
 from eventlens.__main__ import main
 from eventlens.session import scratch_path
+from eventlens.sinks import read_published
 from eventlens.sources.adapter import event_lines
 from eventlens.sources.json_scan import parse_events
 
@@ -45,7 +46,32 @@ def test_cli_end_to_end(spark, dump):
     keys = [x.split("\t")[0] for x in lines]
     assert len(lines) == len(set(keys)) and all(x.count("\t") == 1 for x in lines)
     assert sum(int(ln.split("\t")[1]) for ln in lines if ln.startswith("type|")) == records
-    assert spark.read.text(lake).count() == records + malformed
+    assert read_published(spark, lake).count() == records + malformed
+    again = scratch_path(spark, "t-cli-again")
+    main(["report", "--input", lake, "--output", again])
+    assert spark.read.json(f"{again}/counters").collect() == [counters]
+
+    # a key/value file read back
+    back = scratch_path(spark, "t-cli-counts")
+    main(["counts", "--input", kv, "--output", back])
+    assert {r["name"]: r["value"] for r in spark.read.json(back).where("kind = 'push'").collect()} == full
+
+
+def test_cli_hours_and_cap(spark, tmp_path, capsys):
+    import gzip
+
+    for hour in range(3):
+        text = "".join(f'{{"id":"{hour}{i}","type":"PushEvent"}}\n' for i in range(4)).encode()
+        (tmp_path / f"2023-03-15-{hour}.json.gz").write_bytes(gzip.compress(text)[: -9 if hour == 1 else None])
+    out = scratch_path(spark, "t-cli-hours")
+    main(["report", "--input", str(tmp_path), "--hours", "2023-03-15:0-3", "--output", out])
+    said = capsys.readouterr().out
+    assert "2023-03-15-0: 4 lines" in said and "missing" in said and "truncated" in said
+    status = {r["hour"]: (r["rows"], r["complete"], r["error"] if "error" in r else None) for r in spark.read.json(f"{out}/hours").collect()}
+    assert status[0][:2] == status[2][:2] == (4, True) and status[1][1:] == (False, "truncated") and status[3] == (0, False, "missing")
+    assert spark.read.json(f"{out}/counters").first()["records"] == 8 + status[1][0]
+    main(["preview", "--input", str(tmp_path), "--hours", "2023-03-15:0-3", "--cap", "3"])
+    assert "3 events of hours [0]" in capsys.readouterr().out
 
 
 def test_keyvalue_is_in_key_order(spark):

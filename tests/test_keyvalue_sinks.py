@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.keyvalue import decode_key, parse_value, split_line
 from eventlens.session import scratch_path
-from eventlens.sinks import read_keyvalue, write_keyvalue, write_ndjson
+from eventlens.sinks import path_size, publish, published_path, read_keyvalue, read_published, write_keyvalue, write_ndjson
 
 
 def test_decode_and_parse(spark):
@@ -44,11 +44,43 @@ def test_control_characters_survive(spark):
 
 
 def test_publish_reports_what_it_wrote(spark):
-    from eventlens.sinks import publish
-
     path = scratch_path(spark, "t-published")
     done = publish(spark.range(100).selectExpr("cast(id as string) value").repartition(3), path)
-    assert (done.destination, done.rows, done.files, done.bytes) == (path, 100, 3, 290)
+    assert (done.uri, done.rows, done.files, done.bytes, done.mode) == (path, 100, 3, 290, "local")
+    assert published_path(spark, path) == done.destination and read_published(spark, path).count() == 100
+
+
+def test_a_publish_that_dies_leaves_the_old_version(spark):
+    import pytest
+
+    path = scratch_path(spark, "t-published")
+    publish(spark.range(100).selectExpr("cast(id as string) value"), path)
+    half = spark.range(100, numPartitions=4).selectExpr("if(id = 60, raise_error('killed'), cast(id as string)) value")
+    with pytest.raises(Exception, match="killed"):
+        publish(half, path)
+    assert read_published(spark, path).count() == 100
+    new = publish(spark.range(7).selectExpr("id"), path, "parquet")
+    assert sorted(r["id"] for r in read_published(spark, path).collect()) == list(range(7)) and new.rows == 7
+
+
+def test_a_reader_keeps_its_version_until_two_more_are_published(spark):
+    path = scratch_path(spark, "t-published")
+    old = publish(spark.range(5).selectExpr("cast(id as string) value"), path).destination
+    begun = spark.read.text(old)
+    publish(spark.range(6).selectExpr("cast(id as string) value"), path)
+    assert begun.count() == 5
+    publish(spark.range(7).selectExpr("cast(id as string) value"), path)
+    assert path_size(spark, path)[0] > 0 and read_published(spark, path).count() == 7
+    fs = spark._jvm.org.apache.hadoop.fs.Path(old).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(old))
+
+
+def test_unpublished_paths_stay_as_they_are(spark, tmp_path):
+    import pytest
+
+    assert published_path(spark, f"{tmp_path}/x.json") == f"{tmp_path}/x.json"
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, str(tmp_path))
 
 
 def test_ndjson_writes_nulls_and_roundtrips(spark):
@@ -60,14 +92,13 @@ def test_ndjson_writes_nulls_and_roundtrips(spark):
 
 
 def test_publish_partitioned_hourly_reads_hours(spark):
-    from eventlens.sinks import publish
     from eventlens.sources.adapter import event_lines_with_hour
     from eventlens.sources.lines import HOUR_PARTITION, read_hourly
 
     path = scratch_path(spark, "t-hourly")
     src = event_lines_with_hour(spark, SF_SMALL)
-    publish(src.select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
-    back = read_hourly(spark, path, HOUR_PARTITION, 1).groupBy("source_hour").count()
+    done = publish(src.select("value", "hour"), path, "text", partition_by=["hour"], compression="gzip")
+    back = read_hourly(spark, done.destination, HOUR_PARTITION, 1).groupBy("source_hour").count()
     want = src.groupBy(F.col("hour").alias("source_hour")).count()
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect()))
 
@@ -87,19 +118,3 @@ def test_first_lines_follow_hourly_file_order(spark):
     got = [(r["line_no"], r["value"]) for r in first_lines(spark, hourly_paths(base, "2023-03-15", [0, 2, 10]), 7).collect()]
     want = [f'{{"h":{h},"i":{i}}}' for h in (0, 2, 10) for i in range(3)][:7]
     assert sorted(got) == list(enumerate(want, start=1))
-
-
-def test_dataset_summary_from_hourly_names(spark):
-    import gzip
-    import os
-
-    from eventlens.sources.lines import dataset_summary, hourly_paths, read_hourly
-
-    base = scratch_path(spark, "t-summary")
-    local = base.replace("file:", "")
-    os.makedirs(local, exist_ok=True)
-    for h in (3, 4):
-        with gzip.open(f"{local}/2023-03-15-{h}.json.gz", "wt") as f:
-            f.write("".join(f'{{"i":{i}}}\n' for i in range(h)))
-    row = dataset_summary(read_hourly(spark, hourly_paths(base, "2023-03-15", [3, 4]))).collect()[0]
-    assert (row["events"], row["files"], row["days"], row["hours"], row["n_hours"]) == (7, 2, "2023-03-15", "03,04", 2)
