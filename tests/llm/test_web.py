@@ -1,14 +1,17 @@
 """WARC archives and HTML extraction."""
 
 import gzip
+import math
 import os
+import random
 import tempfile
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventlens.llm.html_text import extract, main_text
+from eventlens.llm.html_text import Page, Paths, extract, main_text, path_scores
 from eventlens.llm.warc import Slice, WarcReader, archive_round_trip, digest_of, member, read_warc, record_bytes, register, write_warc
 from eventlens.session import scratch_path
 
@@ -139,6 +142,105 @@ def test_names_on_every_block_and_on_a_section():
     assert main_text(FRAME % f"<article>{section}{advert}</article>{advert}") == " ".join([*texts[:2], "Price", texts[2]])
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title=it's>Hello world text here.</p><p>Second, Don't stop.</p><p>Third one's fine.</p>", "Hello world text here. Second, Don't stop. Third one's fine."),
+        ("<p class=a\"b>One, two.</p><p>Three \"four\".</p>", 'One, two. Three "four".'), ('<div><a href="x>link</a><p>Text, here.</p></div>', "Text, here."),
+        ("<p '>Text, here.</p><p>It's more.</p>", "Text, here. It's more."), ("<p title='a > b' class = \"c>d\">Text, here.</p>", "Text, here."),
+        ("a < b and <c", "a < b and <c"), ("<p>One, two.</p><![CDATA[ no ]]><p>Three, four.</p><!-- never closed <p>x", "One, two. Three, four."),
+        ("<p>One, two.<svg/>Three, four.</p>", "One, two. Three, four."), ("<p>x.</b></i></p>y, z.</div>", "x. y, z."),
+    ],
+)
+def test_faulty_tags(page, text):
+    assert main_text(page) == text
+
+
+SIX = [LONG % i for i in range(6)]
+
+
+@pytest.mark.parametrize("name", ["comments", "user-comments", "disqus_thread", "post-comments-area", "commentList", "x reader_comments"])
+@pytest.mark.parametrize("item", ["<p>%s</p>", "<div class=c><p>%s</p></div>", "<article><p>%s</p></article>", "<li class='comment even'><p>%s</p></li>"])
+def test_comments_are_left_out_whatever_their_size(name, item):
+    six = "".join(f"<p>{t}</p>" for t in SIX)
+    for n in (1, 3, 7, 30, 200):
+        said = "".join(item % f"I agree, mostly, with number {i}; still, it could be better, or longer." for i in range(n))
+        for tag in ("section class", "div id"):
+            section = f"<{tag}='{name}'><h3>Comments</h3>{said}</{tag.split()[0]}>"
+            for around in ("<article>%s</article>", "<div class=post>%s</div>", "<main><div>%s</div></main>"):
+                assert main_text(FRAME % (around % six + section)) == " ".join(SIX)
+                assert main_text(FRAME % (around % (six + section))) == " ".join(SIX)
+
+
+@pytest.mark.parametrize("name", ["no-comments", "comments-open", "has-comments", "comment-count"])
+def test_names_about_comments_are_not_comments(name):
+    six = "".join(f"<p>{t}</p>" for t in SIX)
+    assert main_text(FRAME % f"<div class='{name}'><article>{six}</article></div>") == " ".join(SIX)
+    assert main_text(FRAME % f"<div class='{name}'>{six}</div>") == " ".join(SIX)
+    assert main_text(FRAME % f"<article class='content--type-comment'>{six}</article>") == " ".join(SIX)
+
+
+def test_a_menu_in_an_article_is_below_the_threshold():
+    six = "".join(f"<p>{t} <a href=x>A link</a></p>" for t in SIX)
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Topic {i}</a></li>" for i in range(9)) + "</ul>"
+    text = " ".join(f"{t} A link" for t in SIX)
+    assert main_text(FRAME % f"<article><h1>Title</h1>{menu}{six}</article>") == f"Title {text}"
+    listed = "<ul><li>plain item</li><li>another <a href=x>linked</a> item</li></ul>"
+    assert main_text(FRAME % f"<article>{six}{listed}</article>") == f"{text} plain item another linked item"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000, "<! " * 300_000, '<a x="' * 150_000, "<p title='>" * 100_000, "<" * 1_000_000, "<font>" * 120_000 + "x", "</" * 300_000,
+        "<font>" * 50_000 + "</b>" * 150_000, "<font>" * 40_000 + "<p>x" * 80_000, "<![CDATA[>" * 100_000, "<div class=comments>" * 40_000 + "x", "<svg>" * 100_000,
+    ],
+    ids=range(12),
+)
+def test_faulty_pages_take_time_in_proportion(page):
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 8
+
+
+def plain_scores(page):
+    """The ratios of unnamed paths by their definition, one node after another."""
+    nodes = [(tuple(path(n.inside)), n) for n in page.nodes if n.size]
+    per = {p: [n for q, n in nodes if q == p] for p, _ in nodes}
+    points = lambda n: sum(c in ".,;:!?…。，、！？" for c in n.text)
+    ratio = {p: (sum(n.size for n in ns) / len(ns), sum(map(points, ns)) / len(ns)) for p, ns in per.items()}
+    scores = {}
+    for p, ns in per.items():
+        total = 0.0
+        for i, (q, _) in enumerate(nodes):
+            if q == p:
+                near = [(math.exp(-0.5 * (i - j) ** 2), ratio[nodes[j][0]]) for j in range(max(i - 2, 0), min(i + 3, len(nodes)))]
+                text, marks = (sum(w * r[k] for w, r in near) / sum(w for w, _ in near) for k in (0, 1))
+                total += math.log1p(text) * (1 + math.log1p(marks))
+        in_links = sum(n.size for n in ns if "a" in p) / sum(n.size for n in ns)
+        scores[p] = total / len(ns) * (1 - in_links) * (2 if {"article", "main"} & set(p) else 1)
+    return scores
+
+
+def path(element):
+    return path(element.above) + [element.tag] if element.above is not None else []
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_ratios_against_their_definition(seed):
+    rng = random.Random(seed)
+    tags = ["p", "div", "a", "b", "article", "ul", "li", "h2", "span", "section"]
+    page = "".join(rng.choice([f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", "One word ", "Text, with; marks. ", "long " * rng.randint(1, 40)]) for _ in range(rng.randint(5, 120)))
+    read = Page(page)
+    if not any(n.size for n in read.nodes):
+        return
+    paths = Paths(read.elements, {})
+    got = path_scores(read.nodes, paths)
+    want = plain_scores(read)
+    named = {paths.of[n.inside.number]: tuple(path(n.inside)) for n in read.nodes if n.size}
+    assert {named[p]: pytest.approx(s) for p, s in got.items()} == want
+
+
 def test_extract(spark):
     rows = [(1, "u", FRAME % ARTICLE), (1, "u", FRAME % ARTICLE), (2, None, None), (None, "u", "x" * 200_000)]
     got = extract(table(spark, rows))
