@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.llm.common import running_sum
+
 PART = 256
 SYSTEM = "system"
 #: The format's fixed marks.
@@ -51,13 +53,13 @@ def rotate(conversations: DataFrame) -> DataFrame:
         "turns", lambda t: F.struct(_head(t["role"], speaker).alias("head"), t["text"].alias("text"), (t["role"] == speaker).alias("own"))
     )
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["head"])
-        stop = start + F.length(p["text"]) + len(END)
-        span = F.when(p["own"], F.array(F.concat_ws(":", start, stop))).otherwise(F.array().cast("array<string>"))
-        return F.struct((stop + 1).alias("at"), F.concat(acc["spans"], span).alias("spans"))
+    size = lambda p: F.length(p["head"]) + F.length(p["text"]) + len(END) + 1
+
+    def spans(bound: Column) -> Column:
+        placed = F.arrays_zip(bound.alias("p"), running_sum(F.transform(bound, size)).alias("at"))
+        own = F.filter(placed, lambda z: z["p"]["own"])
+        return F.transform(own, lambda z: F.concat_ws(":", z["at"] + F.length(z["p"]["head"]), z["at"] + size(z["p"]) - 1))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
     rendered = views.select("conv_id", "speaker", "part", pieces.alias("pieces"))
     return rendered.select(
         "conv_id",
@@ -66,5 +68,5 @@ def rotate(conversations: DataFrame) -> DataFrame:
         F.size("pieces").cast("long").alias("n_turns"),
         F.size(F.filter("pieces", lambda p: p["own"])).cast("long").alias("n_own"),
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["text"], F.lit(END + "\n"))), "").alias("text"),
-        F.array_join(F.aggregate("pieces", none, step)["spans"], ",").alias("mask"),
+        F.array_join(spans(F.col("pieces")), ",").alias("mask"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,28 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def scan(values: Column, merge: Callable[[Column, Column], Column], zero: int = 0, chunk: int = 128) -> Column:
+    """What ``merge`` makes of all values before each one (``zero`` before the
+    first), for an array of integers.  Arrays grow inside chunks only, so the
+    work is in proportion to the length times the chunk."""
+    kind = "struct<at:bigint,out:array<bigint>>"
+
+    def along(items: Column, value: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.lit(zero).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out")).cast(kind)
+        step = lambda acc, x: F.struct(merge(acc["at"], value(x)).cast("bigint").alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(items, start, step)
+
+    parts = F.transform(F.sequence(F.lit(1), F.size(values), F.lit(chunk)), lambda i: along(F.slice(values, i, F.lit(chunk)), lambda x: x))
+    whole = F.array(parts)
+    based = F.transform(whole, lambda p: F.arrays_zip(p.alias("part"), along(p, lambda x: x["at"])["out"].alias("base")))
+    out = F.transform(F.flatten(based), lambda z: F.transform(z["part"]["out"], lambda x: merge(z["base"], x)))
+    return F.when(F.size(values) > 0, F.flatten(out)).otherwise(F.array().cast("array<bigint>"))
+
+
+def running_sum(values: Column) -> Column:
+    return scan(values, lambda a, b: a + b)
+
+
 def join_skewed(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` with ``keyed`` (unique on ``keys``; ``weight`` is at most
     a small factor off the number of rows that have the key).

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import join_skewed, plain, text_or_empty
+from eventlens.llm.common import join_skewed, plain, running_sum, scan, text_or_empty
 from eventlens.session import materialize
 
 #: Fixed patterns: what is matched, the least length, and the part that it is measured on.
@@ -42,29 +42,36 @@ LIVE = r"(?<![A-Za-z0-9])(?=[a-z0-9]*[A-Z])(?=[A-Z0-9]*[a-z])(?=[A-Za-z]*[0-9])[
 KINDS = ["assign", "access", "hex", "live"]
 
 
-def spans_of(text: Column, pattern: str, kind: str, value: Column | None = None) -> Column:
+_SPANS = "array<struct<start:int,kind:int,end:int,text:string>>"
+
+
+def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """Array of (start, kind rank, end, value) for the leftmost matches that do
-    not overlap.  The pieces between matches give their places in code points."""
+    not overlap.  The lengths of matches and of the pieces between them, summed
+    along the text, give their places in code points."""
     matched = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    numbered = F.arrays_zip(matched.alias("m"), F.slice(between, F.lit(1), F.size(matched)).alias("b"))
-    none = F.lit(0)
+    pairs = F.arrays_zip(matched.alias("m"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matched)).alias("b"))
+
+    def placed(pair: Column) -> Column:
+        before = running_sum(F.transform(pair, lambda x: F.length(x["b"]) + F.length(x["m"])))
+        return F.transform(F.arrays_zip(pair.alias("p"), before.alias("at")), lambda z: _span(z["p"], z["at"], kind))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["b"])
-        end = start + F.length(x["m"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), x["m"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    # the pairs are bound once: an expression used twice in a lambda is not evaluated twice for its argument
+    return F.flatten(F.transform(F.array(pairs), placed)).cast(_SPANS)
 
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>")
-    return F.aggregate(numbered, F.struct(none.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+def _span(pair: Column, at: Column, kind: str) -> Column:
+    start = at + F.length(pair["b"])
+    return F.struct(
+        start.cast("int").alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + F.length(pair["m"])).cast("int").alias("end"), pair["m"].alias("text")
+    )
 
 
 def candidates(docs: DataFrame, owner: str) -> DataFrame:
     """Rows of documents that have any candidate: row_id, doc_id, owner, spans."""
     text = F.col("text_")
     value = lambda s: F.regexp_replace(s, "^" + ASSIGN_HEAD, "")
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>")
+    empty = F.array().cast(_SPANS)
     maybe = text.rlike(ASSIGN_HEAD + "[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_LEAST)
     assign = F.when(maybe, F.filter(spans_of(text, ASSIGN, "assign"), lambda s: F.length(value(s["text"])) >= ASSIGN_LEAST)).otherwise(empty)
     others = [F.when(text.rlike(p), spans_of(text, p, k)).otherwise(empty) for k, p in (("access", ACCESS), ("hex", HEX), ("live", LIVE))]
@@ -123,13 +130,15 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
         F.col("doc_id").alias("_key"), F.filter("spans", lambda s: ~s["example"]).alias("_spans")
     ).filter(F.size("_spans") > 0).dropDuplicates(["_key"])
 
-    def step(acc: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
-        piece = F.when(end > start, F.concat(F.substring(F.col("text"), acc["at"] + 1, start - acc["at"]), F.lit(mask))).otherwise("")
-        return F.struct(end.alias("at"), F.concat(acc["out"], piece).alias("out"))
+    def piece(z: Column) -> Column:
+        """The text up to a span's part that no span before it covers, and the mask."""
+        start, end = F.greatest(z["s"]["start"], z["at"]), F.greatest(z["s"]["end"], z["at"])
+        return F.when(end > start, F.concat(F.substring(F.col("text"), z["at"] + 1, start - z["at"]), F.lit(mask))).otherwise("")
 
-    tail = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
-    masked = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, tail)
+    ends = F.transform("_spans", lambda s: s["end"])
+    covered = F.transform(scan(ends, F.greatest), lambda x: x.cast("int"))
+    pieces = F.transform(F.arrays_zip(F.col("_spans").alias("s"), covered.alias("at")), piece)
+    masked = F.concat(F.array_join(pieces, ""), F.substring(F.col("text"), F.array_max(ends) + 1, F.length("text")))
     rows = plain(docs, "doc_id", "text")
     joined = rows.withColumn("_key0", key).join(spans, F.col("_key0").eqNullSafe(F.col("_key")), "left")
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked)
