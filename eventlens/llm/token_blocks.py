@@ -66,15 +66,21 @@ MANIFEST = "_manifest.json"
 #: A file is closed at the document that reaches so many ids.
 FILE_IDS = 16 << 20
 #: Blocks packed, or read, at once.
-_AT_ONCE = 1024
-_HEAD, _FOOT = struct.Struct("<IBB"), struct.Struct("<QQQQQ8s")
+_AT_ONCE = 4096
+_HEAD, _FOOT = np.dtype([("least", "<u4"), ("width", "u1"), ("patches", "u1")]), struct.Struct("<QQQQQ8s")
 _PATCH = np.dtype([("at", "u1"), ("bits", "<u4")])
 _NULL = 1 << 31
 SCHEMA = "doc_id string, start long, n_tokens long, ids_crc32 long, ids array<long>"
 
 
-def pack_blocks(ids: np.ndarray) -> list[bytes]:
-    """Blocks of ``ids`` (unsigned 32-bit), the last one padded with its least id."""
+def _spread(at: np.ndarray, size: int) -> np.ndarray:
+    """Places ``at`` to ``at + size`` of every row."""
+    return at[:, None] + np.arange(size)
+
+
+def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of ``ids`` (unsigned 32-bit), the last one padded with its least
+    id: their bytes, and where each begins."""
     whole, left = divmod(len(ids), BLOCK)
     blocks = ids[: whole * BLOCK].reshape(whole, BLOCK)
     if left:
@@ -82,43 +88,72 @@ def pack_blocks(ids: np.ndarray) -> list[bytes]:
         blocks = np.vstack([blocks, np.concatenate([tail, np.full(BLOCK - left, tail.min(), ids.dtype)])[None]])
     least = blocks.min(axis=1)
     above = (blocks - least[:, None]).astype(np.uint32)
-    bits = np.frexp(above.astype(np.float64))[1]
-    widths = np.percentile(bits, PERCENTILE, axis=1, method="higher").astype(np.int64)
-    packed: list[bytes] = [b""] * len(blocks)
+    nth = -(-PERCENTILE * (BLOCK - 1) // 100)
+    widths = np.frexp(np.partition(above, nth, axis=1)[:, nth].astype(np.float64))[1].astype(np.int64)
+    rows, places = np.nonzero(above > ((1 << widths) - 1).astype(np.uint32)[:, None])
+    patches = np.bincount(rows, minlength=len(blocks))
+    starts = np.concatenate([[0], np.cumsum(_HEAD.itemsize + BLOCK // 8 * widths + _PATCH.itemsize * patches)])
+    out = np.empty(starts[-1], np.uint8)
+    heads = np.empty(len(blocks), _HEAD)
+    heads["least"], heads["width"], heads["patches"] = least, widths, patches
+    out[_spread(starts[:-1], _HEAD.itemsize)] = heads.view(np.uint8).reshape(len(blocks), -1)
     for w in np.unique(widths):
-        rows = np.flatnonzero(widths == w)
-        places = np.arange(w, dtype=np.uint32)
-        ones = ((above[rows][:, :, None] >> places) & 1).astype(np.uint8).reshape(len(rows), BLOCK * w)
-        low = np.packbits(ones, axis=1, bitorder="little")
-        for k, r in enumerate(rows):
-            out = np.flatnonzero(bits[r] > w)
-            patches = np.empty(len(out), _PATCH)
-            patches["at"], patches["bits"] = out, above[r, out] >> np.uint32(w) if w < 32 else 0
-            packed[r] = _HEAD.pack(least[r], w, len(out)) + low[k].tobytes() + patches.tobytes()
-    return packed
-
-
-def unpack_blocks(data: bytes, starts: list[int]) -> np.ndarray:
+        same = np.flatnonzero(widths == w)
+        low = _pack(above[same], int(w))
+        out[_spread(starts[same] + _HEAD.itemsize, low.shape[1])] = low
+    if len(rows):
+        patch = np.empty(len(rows), _PATCH)
+        patch["at"], patch["bits"] = places, above[rows, places] >> widths[rows].astype(np.uint32)
+        nth_of_block = np.arange(len(rows)) - np.concatenate([[0], np.cumsum(patches)])[rows]
+        at = starts[rows] + _HEAD.itemsize + BLOCK // 8 * widths[rows] + _PATCH.itemsize * nth_of_block
+        out[_spread(at, _PATCH.itemsize)] = patch.view(np.uint8).reshape(len(rows), -1)
+    return out, starts[:-1]
+
+
+def _pack(values: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of a block's values, one after another, as bytes of rows."""
+    words = np.zeros((BLOCK * w // 64 + 1, len(values)), np.uint64)
+    columns = (values & np.uint32((1 << w) - 1)).T.astype(np.uint64)
+    for i in range(BLOCK if w else 0):
+        word, bit = divmod(i * w, 64)
+        words[word] |= columns[i] << np.uint64(bit)
+        if bit + w > 64:
+            words[word + 1] |= columns[i] >> np.uint64(64 - bit)
+    return np.ascontiguousarray(words[:-1].T).astype("<u8").view(np.uint8)
+
+
+def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     """The ids of blocks that begin at ``starts`` of ``data``."""
-    heads = [_HEAD.unpack_from(data, s) for s in starts]
+    raw, starts = np.frombuffer(data, np.uint8), np.asarray(starts)
+    heads = raw[_spread(starts, _HEAD.itemsize)].view(_HEAD)[:, 0]
+    widths, patches = heads["width"].astype(np.int64), heads["patches"].astype(np.int64)
     ids = np.empty((len(starts), BLOCK), np.uint32)
-    widths = np.array([h[1] for h in heads])
     for w in np.unique(widths):
-        rows = np.flatnonzero(widths == w)
-        size = BLOCK // 8 * int(w)
-        low = np.frombuffer(b"".join([data[starts[r] + _HEAD.size : starts[r] + _HEAD.size + size] for r in rows]), np.uint8)
-        ones = np.unpackbits(low.reshape(len(rows), size), axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        padded = np.zeros((len(rows), BLOCK, 32), np.uint8)
-        padded[:, :, :w] = ones
-        ids[rows] = np.packbits(padded, axis=2, bitorder="little").view("<u4")[:, :, 0]
-    for r, (least, w, patches) in enumerate(heads):
-        if patches:
-            found = np.frombuffer(data, _PATCH, patches, starts[r] + _HEAD.size + BLOCK // 8 * w)
-            ids[r, found["at"]] |= found["bits"] << np.uint32(w)
-        ids[r] += np.uint32(least)
+        same = np.flatnonzero(widths == w)
+        ids[same] = _unpack(raw[_spread(starts[same] + _HEAD.itemsize, BLOCK // 8 * int(w))], int(w))
+    rows = np.repeat(np.arange(len(starts)), patches)
+    if len(rows):
+        nth_of_block = np.arange(len(rows)) - np.concatenate([[0], np.cumsum(patches)])[rows]
+        at = starts[rows] + _HEAD.itemsize + BLOCK // 8 * widths[rows] + _PATCH.itemsize * nth_of_block
+        patch = raw[_spread(at, _PATCH.itemsize)].view(_PATCH)[:, 0]
+        ids[rows, patch["at"]] |= patch["bits"] << widths[rows].astype(np.uint32)
+    ids += heads["least"][:, None]
     return ids.ravel()
 
 
+def _unpack(low: np.ndarray, w: int) -> np.ndarray:
+    """Rows of values from the bytes of ``_pack``."""
+    out = np.zeros((BLOCK, len(low)), np.uint32)
+    words = np.ascontiguousarray(np.ascontiguousarray(low).view("<u8").T) if w else None
+    for i in range(BLOCK if w else 0):
+        word, bit = divmod(i * w, 64)
+        value = words[word] >> np.uint64(bit)
+        if bit + w > 64:
+            value |= words[word + 1] << np.uint64(64 - bit)
+        out[i] = value & np.uint64((1 << w) - 1)
+    return out.T
+
+
 class _File:
     """A file being written: blocks go out as they fill."""
 
@@ -147,10 +182,9 @@ class _File:
         ids = np.concatenate(self.held) if self.held else np.empty(0, np.uint32)
         ready = len(ids) if last else len(ids) // BLOCK * BLOCK
         for at in range(0, ready, _AT_ONCE * BLOCK):
-            packed = pack_blocks(ids[at : min(at + _AT_ONCE * BLOCK, ready)])
-            for block in packed:
-                self.starts.append(self.at)
-                self._write(block)
+            packed, starts = pack_blocks(ids[at : min(at + _AT_ONCE * BLOCK, ready)])
+            self.starts += (self.at + starts).tolist()
+            self._write(packed.tobytes())
         self.held, self.waiting = [ids[ready:].copy()], len(ids) - ready
 
     def close(self) -> dict:
@@ -245,7 +279,7 @@ class OpenFile:
         while at * BLOCK < stop:
             to = min(at + _AT_ONCE, -(-stop // BLOCK))
             data = self._read(self.starts[at], self.starts[to] - self.starts[at])
-            ids = unpack_blocks(data, [s - self.starts[at] for s in self.starts[at:to]])
+            ids = unpack_blocks(data, np.array(self.starts[at:to]) - self.starts[at])
             yield ids[max(start - at * BLOCK, 0) : stop - at * BLOCK]
             at = to
 
@@ -308,7 +342,7 @@ class BlockReader(DataSourceReader):
                     held, held_from = next(coming), fed
                     fed += len(held)
                 cut = held[at - held_from : stop - held_from]
-                crc = zlib.crc32(cut.astype("<u4"), crc)
+                crc = zlib.crc32(np.ascontiguousarray(cut, "<u4"), crc)
                 if self.ids == "full":
                     parts.append(cut)
                 at += len(cut)

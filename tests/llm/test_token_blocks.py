@@ -16,25 +16,37 @@ from eventlens.llm import token_blocks as T
 from eventlens.session import scratch_path
 
 
-def starts_of(packed):
-    return np.concatenate([[0], np.cumsum([len(p) for p in packed])])[:-1].tolist()
-
-
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 49_407), st.integers(0, 2**32 - 1)), min_size=1, max_size=400))
 def test_blocks_round_trip(ids):
     ids = np.array(ids, np.uint32)
-    packed = T.pack_blocks(ids)
-    assert (T.unpack_blocks(b"".join(packed), starts_of(packed))[: len(ids)] == ids).all()
+    packed, starts = T.pack_blocks(ids)
+    assert (T.unpack_blocks(packed.tobytes(), starts)[: len(ids)] == ids).all() and len(starts) == -(-len(ids) // T.BLOCK)
 
 
 def test_few_large_ids_are_patches():
     ids = np.array([5, 6, 7, 8] * 32, np.uint32)
     ids[17] = 4_000_000_000
-    (packed,) = T.pack_blocks(ids)
+    packed, _ = T.pack_blocks(ids)
     assert len(packed) == 6 + 16 * 2 + 5
 
 
+@pytest.mark.parametrize("width", range(33))
+def test_every_width(width):
+    ids = np.random.default_rng(width).integers(0, 2**width, 5 * T.BLOCK + 7, dtype=np.uint64).astype(np.uint32)
+    ids[:: T.BLOCK], ids[1 :: T.BLOCK] = 0, 2**width - 1
+    packed, starts = T.pack_blocks(ids)
+    assert (T.unpack_blocks(packed.tobytes(), starts)[: len(ids)] == ids).all()
+
+
+def test_packed_bits_are_laid_out_as_said():
+    ids = np.arange(1000, 1000 + T.BLOCK, dtype=np.uint32)
+    packed, _ = T.pack_blocks(ids)
+    bits = "".join(f"{b:08b}"[::-1] for b in packed.tobytes()[6:])
+    assert packed.tobytes()[:6] == (1000).to_bytes(4, "little") + bytes([7, 0])
+    assert [int(bits[7 * i : 7 * i + 7][::-1], 2) for i in range(T.BLOCK)] == list(range(T.BLOCK))
+
+
 def expected(rows):
     tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
     coded = [(i, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [T.END_ID], "<u4")) for i, t in rows]
