@@ -7,17 +7,20 @@ which the necessary prefix, shingles ordered by rarity, is the single rarest
 shingle.  So:
 
 1. One pass over the texts keeps, per document, the positions whose shingle
-   may be a benchmark shingle (a fixed-size bitmap of their hashes), each with
-   the few words around it.  Nothing else of the text moves.
+   may be a benchmark shingle (a bitmap of their hashes, sized by their
+   number), each with the few words around it.  Nothing else of the text moves.
 2. Those occurrences are counted per shingle over all documents; each window
    takes its rarest shingle, and a window with an absent shingle is dropped.
 3. Occurrences of prefix shingles are joined with their windows.  Positional
    and length bounds come first (the window must start and end inside the
    document), then the words of the window are compared one by one.
 
-The main path is DataFrame functions only.  The bitmap has a fixed size
-(512 KB); windows are broadcast only after a count, and joined by shuffle
-beyond it.
+The main path is DataFrame functions only.  The bitmap has ``SLOTS_EACH`` slots
+a shingle, so one position in so many passes by chance, between 512 KB and
+32 MB; with more shingles than that more pass, and the join drops them.  Windows
+are broadcast only after a count; beyond it both joins, on the shingle and on
+the window's words, part hot keys from the rest (``join_skewed``), so that a
+passage in a third of all documents fills no task.
 
 Edge cases: null or empty texts have no words and hit nothing; items without
 words have no window; a repeated item counts once per ``item_id``; rows of a
@@ -30,12 +33,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import ascii_lower, plain, text_or_empty
+from eventlens.llm.common import ascii_lower, join_skewed, plain, text_or_empty
 from eventlens.session import materialize
 
 SHINGLE = 5
-#: Slots of the bitmap of benchmark shingles (a power of two, 64 to a word).
-FILTER_SLOTS = 1 << 22
+#: Slots of the bitmap of benchmark shingles: so many a shingle, within bounds
+#: (powers of two, 64 to a word).
+SLOTS_EACH, LEAST_SLOTS, MOST_SLOTS = 64, 1 << 22, 1 << 28
 
 #: Windows up to this many are broadcast (about 200 bytes each).
 BROADCAST_WINDOWS = 100_000
@@ -76,25 +80,30 @@ def window_shingles(windows: DataFrame, q: int) -> DataFrame:
     )
 
 
-def bitmap(shingles: DataFrame) -> DataFrame:
-    """One row: array<long> of FILTER_SLOTS bits, set where a shingle hashes to."""
-    slot = F.col("h").bitwiseAND(F.lit(FILTER_SLOTS - 1).cast("long"))
+def slots_for(shingles: int) -> int:
+    return min(max(1 << (SLOTS_EACH * shingles - 1).bit_length() if shingles else 0, LEAST_SLOTS), MOST_SLOTS)
+
+
+def bitmap(shingles: DataFrame, slots: int) -> DataFrame:
+    """One row: array<long> of ``slots`` bits, set where a shingle hashes to."""
+    slot = F.col("h").bitwiseAND(F.lit(slots - 1).cast("long"))
     marked = shingles.groupBy(F.shiftrightunsigned(slot, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(h & 63 as int))")).alias("bits")
+        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")
     )
-    slots = shingles.sparkSession.range(0, FILTER_SLOTS >> 6, numPartitions=1)
-    filled = slots.join(marked, slots["id"] == marked["at"], "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    words = shingles.sparkSession.range(0, slots >> 6, numPartitions=1)
+    filled = words.join(marked, words["id"] == marked["at"], "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda s: s["bits"]).alias("bits"))
 
 
 def occurrences(docs: DataFrame, shingles: DataFrame, widths: list[int], window: int) -> DataFrame:
     """Every document with its word count and the places that may hold a
     benchmark shingle, each with the words within a window's reach."""
-    bits = materialize(bitmap(shingles), "shingle-bits")
+    slots = slots_for(shingles.count())
+    bits = materialize(bitmap(shingles, slots), "shingle-bits")
     out = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row_id"), words_of(text_or_empty()).alias("w"), bits.scalar().alias("bits")
     )
-    mask = FILTER_SLOTS - 1
+    mask = slots - 1
 
     def possible(q: int) -> Column:
         def marked(i: Column) -> Column:
@@ -134,20 +143,27 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     ranked = shingles.join(counts, ["q", "h"], "left").groupBy("words").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "q", "h", "k")).alias("rarest")
     )
-    prefixes = materialize(
-        ranked.filter(F.col("rarest.n") > 0).select("words", "rarest.q", "rarest.h", "rarest.k"), "prefixes"
-    )
-    keyed = F.broadcast(prefixes) if prefixes.count() <= BROADCAST_WINDOWS else prefixes
+    prefixes = ranked.filter(F.col("rarest.n") > 0).select("words", "rarest.*")
+    prefixes = prefixes.groupBy("q", "h").agg(F.max("n").alias("n"), F.collect_list(F.struct("words", "k")).alias("windows"))
+    prefixes = materialize(prefixes, "prefixes")
+    few = windows.count() <= BROADCAST_WINDOWS
+    met = places.join(F.broadcast(prefixes.drop("n")), ["q", "h"]) if few else join_skewed(places, prefixes, ["q", "h"], "n")
+    met = met.select("row_id", "n_words", "pos", "first", "near", F.inline("windows"))
     start, length = F.col("pos") - F.col("k"), F.size("words")
     spans = (
-        places.join(keyed, ["q", "h"])
-        .filter((start >= 0) & (start + length <= F.col("n_words")))
+        met.filter((start >= 0) & (start + length <= F.col("n_words")))
         .filter(F.slice("near", F.greatest(start - F.col("first") + 1, F.lit(1)), length) == F.col("words"))
         .select("row_id", start.alias("start"), (start + length).alias("end"), "words")
     )
     spans = materialize(spans, "spans")
-    per_window = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
-    seen = spans.select("row_id", "words").distinct().join(per_window, "words").select("row_id", F.explode("items").alias("item"))
+    owned = windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
+    in_rows = spans.select("row_id", "words").distinct()
+    if few:
+        seen = in_rows.join(F.broadcast(owned), "words")
+    else:
+        often = in_rows.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
+        seen = join_skewed(in_rows, materialize(owned.join(often, "words"), "window-items"), ["words"], "n")
+    seen = seen.select("row_id", F.explode("items").alias("item"))
     by_items = seen.groupBy("row_id").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("item_ids"))
     before = Window.partitionBy("row_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     covered = (

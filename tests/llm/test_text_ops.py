@@ -57,7 +57,10 @@ DOCS = [
 ]
 
 
-def test_hits(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_hits(spark, monkeypatch, most):
+    """With windows broadcast, and joined by shuffle."""
+    monkeypatch.setattr("eventlens.llm.decontaminate.BROADCAST_WINDOWS", most)
     items = spark.createDataFrame([(i, t, "z") for i, t in ITEMS], "item_id bigint, text string, words string")
     expected = Counter((i, *(x if not isinstance(x, list) else tuple(x) for x in brute_hits(t, ITEMS))) for i, t in DOCS)
     got = hits(documents(spark, DOCS), items).collect()
@@ -67,6 +70,30 @@ def test_hits(spark):
     assert kept.columns == documents(spark, DOCS).columns
 
 
+def test_a_passage_in_a_third_of_all_documents(spark, monkeypatch):
+    """Hot shingles and windows part from the rest; a crowded bitmap changes nothing."""
+    from eventlens.llm import common, decontaminate
+
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "LEAST_SLOTS", 64)
+    monkeypatch.setattr(decontaminate, "SLOTS_EACH", 1)
+    monkeypatch.setattr(common, "HOT_KEYS", 20)
+    passage = " ".join(f"p{i}" for i in range(12))
+    items = [(i, f"{passage} own{i} " + " ".join(f"i{i}x{j}" for j in range(12))) for i in range(40)]
+    docs = [(i, f"before {passage} after" if i % 3 == 0 else f"text {i} {items[i % 40][1]} end" if i % 3 == 1 else f"clean {i} " * 9) for i in range(900)]
+    table = spark.createDataFrame([(i, t, "z") for i, t in items], "item_id bigint, text string, words string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in hits(documents(spark, docs), table).collect()}
+    some = {i: brute_hits(docs[i][1], items) for i in (0, 1, 2, 4, 300, 301, 302, 898)}
+    assert {i: got[i] for i in some} == some
+    assert sum(n > 0 for _, n, _ in got.values()) == 600 and got[3][2] == sorted(str(i) for i in range(40))
+
+
+def test_the_bitmap_grows_with_the_benchmark():
+    from eventlens.llm.decontaminate import slots_for
+
+    assert [slots_for(n) for n in (0, 1, 65_536, 65_537, 1_000_000, 10**9)] == [1 << 22, 1 << 22, 1 << 22, 1 << 23, 1 << 26, 1 << 28]
+
+
 def test_hits_empty(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert hits(documents(spark, DOCS), none).filter("n_hit > 0").count() == 0
@@ -216,12 +243,12 @@ def test_language_id(spark):
 
 def test_language_models_keep_every_gram(spark):
     """A language of 500,000 different 4-grams, all seen once, stays whole beside two small ones."""
-    from eventlens.llm.language_id import train
+    from eventlens.llm.language_id import count_grams, sorted_arrays
 
     rng = np.random.default_rng(4)
     han = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 250_000))) for _ in range(2)]
     rows = [(0, "the quick brown fox jumps over the lazy dog", "en"), (1, "der schnelle braune Fuchs springt", "de"), (2, han[0], "zh"), (3, han[1], "zh")]
-    models = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    models = sorted_arrays(count_grams(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
     assert models.languages == ["de", "en", "zh"]
     assert len(models.models[2].grams[4]) > 499_990
     assert int(models.entropies(folded(han[0][:500].encode())).argmin()) == 2
@@ -237,6 +264,82 @@ def test_language_models_without_matrix():
         assert (one.entropies(folded(t)) == two.entropies(folded(t))).all()
 
 
+def plain_kneser_ney(texts):
+    """P(unit | three before) by the definition, on dictionaries of strings."""
+    counts = {4: Counter(t[i : i + 4] for t in texts for i in range(len(t) - 3))}
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    discount = {}
+    for n, c in counts.items():
+        ones, twos = (sum(x == k for x in c.values()) for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / 65536
+        same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        total = sum(same.values())
+        return max(same.get(gram, 0) - discount[n], 0) / total + discount[n] * len(same) / total * p(gram[1:])
+
+    return p
+
+
+TRAINED = {
+    "en": ["the quick brown fox jumps over the lazy dog", "a dog and a fox and the lazy one", "aaaa bbb"],
+    "de": ["der schnelle braune fuchs springt über den faulen hund", "ein hund und ein fuchs"],
+    "zh": ["狐狸跳过了懒狗 狐狸跳过", "𝒜𝒷 狐狸"],
+}
+ASKED = ["the unknown zebra", "über füchse und dogs", "懒狐狸", "q", "the quick brown fox", "aaaa aaaa"]
+
+
+def test_kneser_ney_against_its_definition():
+    units = {x: [padded(folded(t.encode())) for t in ts] for x, ts in TRAINED.items()}
+    counted = {x: np.unique(np.concatenate([packed(u, 4) for u in us]), return_counts=True) for x, us in units.items()}
+    models = LanguageModels(counted)
+    plain = {x: plain_kneser_ney(["".join(map(chr, u)) for u in us]) for x, us in units.items()}
+    for text in ASKED + TRAINED["en"]:
+        asked = padded(folded(text.encode()))
+        said = "".join(map(chr, asked))
+        want = [-np.mean([np.log2(plain[x](said[i : i + 4])) for i in range(len(said) - 3)]) for x in models.languages]
+        assert models.entropies(folded(text.encode())) == pytest.approx(want, abs=1e-5)
+
+
+def test_language_models_by_joins(spark, monkeypatch):
+    """Tables applied by joins give what sorted arrays on the workers give."""
+    from eventlens.llm import language_id as L
+    from eventlens.llm.kneser_ney_tables import entropies
+
+    rows = [(i, t, x) for i, (x, t) in enumerate((x, t) for x, ts in TRAINED.items() for t in ts)] + [(90, None, "en"), (91, "1 2 3", "de"), (92, "unlabelled", None)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*ASKED, None, "", "12 !?", "the the" * 3000, *ASKED])], "doc_id long, text string").repartition(2)
+    near = lambda model: sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6), r["rejected"]) for r in L.identify(asked, model).collect())
+    arrays = L.fit(labelled)
+    monkeypatch.setattr(L, "MODEL_GRAMS", 0)
+    monkeypatch.setattr(L, "sorted_arrays", None)
+    tables = L.fit(labelled)
+    assert isinstance(tables, L.TableModel) and near(tables) == near(arrays)
+    models, calibration = arrays.value
+    assert tables.calibration.mean == pytest.approx(calibration.mean, abs=1e-6) and tables.calibration.temperature == calibration.temperature
+    texts = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(ASKED)], "row_id long, text binary")
+    for r in entropies(tables.tables, texts).collect():
+        assert r["entropies"] == pytest.approx(models.entropies(folded(ASKED[r["row_id"]].encode())).tolist(), abs=1e-6)
+    assert L.identify(asked, tables).columns == ["doc_id", "text", "lang_pred", "score", "rejected"]
+
+
+def test_language_id_by_joins_on_given_documents(spark, monkeypatch):
+    from eventlens.llm import language_id as L
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known = docs.filter(~L.held_out())
+    near = lambda model: {r["doc_id"]: (r["lang_pred"], round(r["score"], 5), r["rejected"]) for r in L.identify(docs.select("doc_id", "text"), model).collect()}
+    arrays = near(L.fit(known))
+    monkeypatch.setattr(L, "MODEL_GRAMS", 1000)
+    assert near(L.fit(known)) == arrays and L.keep_identified(docs).count() == sum(not x[2] for x in arrays.values())
+
+
 def test_language_id_awkward(spark):
     docs = documents(spark, awkward_texts())
     assert keep_identified(docs).count() == 0  # no labels: nothing can be identified
