@@ -89,6 +89,20 @@ def clear_scratch(spark: SparkSession) -> None:
         remove_path(spark, _handed_out.pop())
 
 
+def scratch_mark() -> frozenset[str]:
+    """The scratch paths handed out so far, for ``release_since``."""
+    return frozenset(_handed_out)
+
+
+def release_since(spark: SparkSession, mark: frozenset[str], *keep) -> None:
+    """Remove the scratch paths handed out after ``mark``, but for those of the
+    materialised tables ``keep``: what a finished step left behind."""
+    kept = {df.scratch for df in keep}
+    for path in _handed_out - mark - kept:
+        remove_path(spark, path)
+        _handed_out.discard(path)
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back.  Used when several consumers need the same expensive input: readers

@@ -116,3 +116,15 @@ def test_scratch_folder(spark, tmp_path):
     with pytest.raises(ValueError):
         checkpoint_root(session("spark://x"))
     assert checkpoint_root(session("local[2]"))
+
+
+def test_scratch_of_a_step_is_removed(spark):
+    from eventlens import session
+
+    first = session.materialize(spark.range(3), "t-first")
+    mark = session.scratch_mark()
+    kept, gone = session.materialize(first, "t-kept"), session.materialize(spark.range(4), "t-gone")
+    session.release_since(spark, mark, kept)
+    path = lambda df: spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    there = [path(x).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(x)) for x in (first, kept, gone)]
+    assert there == [True, True, False] and kept.count() == 3
