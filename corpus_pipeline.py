@@ -4,8 +4,8 @@ Every stage takes (spark, docs, sf_dir), works on all rows that the stage
 before kept and returns a DataFrame; all but the last return the columns of
 ``documents``.  ``run`` writes what a stage returns as Parquet in the shared
 checkpoint folder and hands the reread table to the next one, so a lost
-executor costs at most part of one stage, and removes each input copy when the
-next stage is written.
+executor costs at most part of one stage, and removes each input copy, and
+whatever scratch a stage left, when the next stage is written.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from eventlens.llm.exact_dedup import drop_duplicates
 from eventlens.llm.language_id import keep_identified
 from eventlens.llm.near_dedup import drop_near
 from eventlens.llm.packing import packed_documents
-from eventlens.session import materialize, release
+from eventlens.session import materialize, release, release_since, scratch_mark
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,9 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
+        mark = scratch_mark()
         kept = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        release_since(spark, mark, kept)
         if i:
             release(docs)
         docs = kept

@@ -16,7 +16,7 @@ they are few, and otherwise joined by shuffle.
 Edge cases: a null or empty text is one empty line; a key of fewer than
 ``min_chars`` code points is never dropped; each row of a repeated ``doc_id``
 is a document of its own; empty tables give empty results; other columns are
-ignored.  Line keys are compared by 96 bits of hash.
+ignored.  Line keys are compared by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm.common import WHITE, ascii_lower, text_or_empty, width
-from eventlens.session import materialize, scratch_path
+from eventlens.session import materialize, remove_path, scratch_path
 
 KEY = ["h1", "h2"]
 
-#: Common lines up to this many (16 bytes each) are broadcast.
+#: Common lines up to this many (about 16 bytes each) are broadcast.
 BROADCAST_LINES = 500_000
 
 
@@ -44,7 +44,7 @@ def line_hashes(text: Column, min_chars: int) -> Column:
 
     def hashed(line: Column) -> Column:
         key = F.trim(line, F.lit(WHITE))
-        return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.hash(key).alias("h2")))
+        return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")))
 
     return F.transform(lines_of(ascii_lower(text)), hashed)
 
@@ -56,16 +56,17 @@ class LineRuns:
         self.spark, self.threshold, self.fanout = spark, threshold, fanout
         self.buckets = width(spark)
         self.levels: list[list[DataFrame]] = []
-        self.tables: list[str] = []
+        self.tables: dict[str, str] = {}
 
     def store(self, run: DataFrame, parts: list[str] | None = None) -> DataFrame:
         """Write a run bucketed and sorted by hash; reading it back needs no shuffle."""
         name = f"line_run_{uuid.uuid4().hex[:12]}"
-        writer = run.repartition(self.buckets, *KEY).write.format("parquet").option("path", scratch_path(self.spark, name))
+        path = scratch_path(self.spark, name)
+        writer = run.repartition(self.buckets, *KEY).write.format("parquet").option("path", path)
         if parts:
             writer = writer.partitionBy(*parts)
         writer.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
-        self.tables.append(name)
+        self.tables[name] = path
         return self.spark.table(name)
 
     def add(self, batch: DataFrame) -> None:
@@ -95,8 +96,9 @@ class LineRuns:
         """Every line key of at least ``threshold`` documents, materialised."""
         runs = [r for level in self.levels for r in level]
         out = materialize(self._merge(runs).filter(F.col("n") >= self.threshold), "common-lines")
-        for name in self.tables:
+        for name, path in self.tables.items():
             self.spark.sql(f"DROP TABLE {name}")
+            remove_path(self.spark, path)
         return out
 
 

@@ -4,6 +4,8 @@ import re
 
 import duckdb
 import pytest
+from fixtures import awkward_texts, documents
+from pyspark.sql import functions as F
 from test_dedup import brute_components
 from test_text_ops import brute_hits
 
@@ -11,6 +13,7 @@ import __spark_entry__
 import corpus_pipeline
 from eventlens.llm.catalog import QUERIES
 from eventlens.llm.language_id import keep_identified
+from eventlens.session import scratch_mark
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +26,7 @@ def tables():
 
 def test_registered():
     names = list(__spark_entry__.queries())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(QUERIES) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontaminate", "packing"]
 
@@ -46,6 +49,37 @@ def test_pipeline(spark, tables):
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == expected
 
 
+def test_pipeline_on_awkward_documents(spark, tmp_path):
+    """Null ids and texts, empty and very long texts, ties, repeated rows, clashing columns."""
+    texts = awkward_texts()
+    items = [(1, " ".join(f"w{i}" for i in range(12))), (2, None), (3, "x" * 10)]
+    texts += [(60, f"words before {items[0][1]} and after"), (61, "a" * 400_000), (62, None), (None, None)]
+    docs = documents(spark, texts).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "xx").when(F.col("doc_id") % 3 == 0, "yy"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    first = keep_identified(spark.read.parquet(f"{tmp_path}/documents.parquet")).select("doc_id", "text").collect()
+    left = {}
+    for i, t in sorted(((r["doc_id"], r["text"]) for r in first), key=lambda r: (-len(r[1]), r[0] is None, r[0])):
+        left.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t), (i, t))
+    left = list(left.values())
+    named = [(n, t) for n, (_, t) in enumerate(left)]
+    found, _ = brute_components(named)
+    groups = {}
+    for (i, t), (_, _, group) in zip(left, found, strict=True):
+        groups.setdefault(group, []).append((i is None, i or 0, i, t))
+    kept = [min(g)[2:] for g in groups.values()]
+    expected = sorted((i is not None, i or 0) for i, t in kept if not brute_hits(t, items)[1])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    got = [r["doc_id"] for r in out.filter("start = 0").select("doc_id").collect()]
+    assert sorted((i is not None, i or 0) for i in got) == expected and 60 not in got
+
+
+def test_scratch_of_stages_goes(spark):
+    mark = scratch_mark()
+    out = corpus_pipeline.run(spark, SF)
+    assert scratch_mark() - mark == {out.scratch} and out.count() > 0
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
