@@ -17,8 +17,14 @@ needed depends on the answer: components, not pairs.
   a large bucket the member nearest to the bucket's commonest symbols, else
   the smallest), and the nearest center is verified.  Buckets of near copies
   collapse into components with a number of comparisons linear in their size.
-* Then members of a bucket that still lie in different components are compared
-  by signature, in blocks.  A large bucket is cut into blocks of ``BLOCK``
+* Members of buckets that still hold several components are asked for by their
+  full sets: ordered by rarity, two sets of the similarity share a shingle among
+  the first few of the smaller and somewhat more of the larger one.  A member
+  none of whose such shingles another component has is out; a family whose
+  documents differ in shingles of their own, all within the distance and none
+  within the similarity, goes no further (rows in proportion to the sets).
+* Then the members left are compared by signature, in blocks, within buckets
+  that hold several of their components.  A large bucket is cut into blocks of ``BLOCK``
   members; members outside the bucket's commonest component visit every block,
   the others only their own.  What comes out is not pairs but, for a member
   within the distance of a member of another component, that one's group: its
@@ -59,6 +65,8 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 BLOCK = 512
 #: Buckets from this size have their center chosen by the commonest symbols.
 LARGE = 16
+#: Counters of shingles by hash, which order shingles by rarity.
+SLOTS = 1 << 20
 #: Representatives up to this many (about 40 bytes each) go to the text scan by broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -328,15 +336,83 @@ def grouped(nodes: DataFrame, nearest: DataFrame, labels: DataFrame) -> DataFram
     return materialize(rows, "near-grouped")
 
 
-def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Verified links between nodes that lie in different components so far."""
-    placed = materialize(members.select("key", "node").join(groups, "node"), "near-placed")
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, n): how many of a task's sets have a shingle of the slot."""
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        tokens = batch.column("shingles").flatten().to_numpy().view(np.uint64)
+        total += np.bincount((tokens % SLOTS).astype(np.int64), minlength=SLOTS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+
+def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
+    """How many of a set's rarest shingles are looked up by larger or equal
+    sets, and how many of its own it looks up: two sets of the similarity share
+    one among the former of the smaller and the latter of the larger."""
+    return n + 1 - -(-2 * percent * n // (100 + percent)), n + 1 - -(-percent * n // 100)
+
+
+def _prefixes(shared, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+        for batch in batches:
+            tokens, nodes, comps, offered = [], [], [], []
+            rows = zip(batch.column("shingles"), batch.column("node").to_pylist(), batch.column("comp").to_pylist(), strict=True)
+            for shingles, node, comp in rows:
+                one = shingles.values.to_numpy().view(np.uint64)
+                few, more = prefix_sizes(len(one), percent)
+                first = one[np.lexsort((one, often[(one % SLOTS).astype(np.int64)]))[:more]]
+                tokens.append(first.view(np.int64))
+                nodes.append(np.full(more, node))
+                comps.append(np.full(more, comp))
+                offered.append(np.arange(more) < few)
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, nodes, comps, offered)], ["token", "node", "comp", "offered"])
+
+    return run
+
+
+def alive(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(node): nodes of ``sets`` that may reach the similarity with a node of
+    another component, materialised.  The counters are a bounded broadcast."""
+    counts = sets.mapInArrow(_counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(often)
+    rows = sets.join(groups.select("node", "comp"), "node").mapInArrow(_prefixes(shared, percent), "token long, node long, comp long, offered boolean")
+    rows = materialize(rows, "near-prefixes")
+    tokens = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bool_or("offered").alias("met"), F.count(F.lit(1)).alias("n"))
+    tokens = materialize(tokens.filter((F.col("lo") < F.col("hi")) & F.col("met")).select("token", "n"), "near-tokens")
+    out = materialize(join_skewed(rows.select("token", "node"), tokens, ["token"], "n").select("node").distinct(), "near-alive")
+    release(rows, tokens)
+    shared.unpersist()
+    return out
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """(key, n, most): buckets that hold several components, their members and
+    the commonest component; materialised."""
     parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("most")
     ).filter(F.col("parts") > 1)
-    mixed = materialize(mixed.select("key", "n", F.col("most.comp").alias("most")), "near-mixed")
-    rows = join_skewed(placed, mixed, ["key"], "n")
+    return materialize(mixed.select("key", "n", F.col("most.comp").alias("most")), "near-mixed")
+
+
+def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Verified links between nodes that lie in different components so far."""
+    placed = materialize(members.select("key", "node").join(groups, "node"), "near-placed")
+    mixed = _mixed(placed)
+    if mixed.isEmpty():
+        release(placed)
+        return mixed.select(F.col("key").alias("a"), F.col("most").alias("b"))
+    sets = _sets_of(docs, nodes, join_skewed(placed, mixed, ["key"], "n").select("node"))
+    left = alive(sets, groups, percent)
+    asked = materialize(placed.join(left, "node"), "near-asked")
+    release(mixed)
+    mixed = _mixed(asked)
+    rows = join_skewed(asked, mixed, ["key"], "n")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     home = F.pmod(F.xxhash64("node"), blocks).cast("int")
     visits = F.when(F.col("comp") == F.col("most"), F.array(home)).otherwise(F.sequence(F.lit(0), blocks - 1))
@@ -344,13 +420,10 @@ def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, groups: D
     rows = rows.join(nodes.select("node", "sig"), "node")
     rows = rows.select("key", "block", "node", "comp", "grp", (F.col("block") == F.col("home_block")).alias("home"), "sig")
     reach = materialize(_dealt(rows, "key", "block").mapInArrow(_bucket_reach, "node long, grp long").distinct(), "near-reach")
-    release(placed, mixed)
-    if reach.isEmpty():
-        return reach.select(F.col("node").alias("a"), F.col("grp").alias("b"))
+    release(placed, asked, mixed)
 
-    whole = materialize(groups.join(reach.select("grp").distinct(), "grp", "left_semi"), "near-asked")
+    whole = materialize(groups.join(left, "node").join(reach.select("grp").distinct(), "grp", "left_semi"), "near-whole")
     sizes = materialize(whole.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
-    sets = _sets_of(docs, nodes, whole.select("node").union(reach.select("node")))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     inside = join_skewed(whole, sizes, ["grp"], "n").select(
         "grp", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "comp", F.lit(False).alias("visitor")
@@ -360,7 +433,7 @@ def other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, groups: D
     )
     both = inside.unionByName(outside).join(sets, "node").select("grp", "block", "visitor", "node", "comp", "shingles")
     links = materialize(_dealt(both, "grp", "block", "visitor").mapInArrow(_verified(percent), "a long, b long"), "near-links")
-    release(reach, whole, sizes, sets)
+    release(reach, whole, sizes, sets, left)
     return links
 
 

@@ -1,6 +1,7 @@
 """Exact, line and near duplicates against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -166,7 +167,55 @@ def edit_trees(seed, families=6, versions=120, length=160):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed", [1])
+def near_misses(n, length=400, edits=18, seed=5):
+    """A family at similarity 0.63: every document has words of its own in places of a template."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    rows = []
+    for d in range(n):
+        words = list(base)
+        for at in range(0, edits):
+            words[at * (length // edits) + rng.randrange(5, length // edits - 5)] = f"d{d}x{at}"
+        rows.append((d, " ".join(words)))
+    return rows
+
+
+def test_near_miss_families_cost_in_proportion(spark, monkeypatch):
+    """Blocks and set rows grow with the family, not with its pairs; two true copies in it are found."""
+    from eventlens.llm import near_dedup as N
+
+    dealt = N._dealt
+    figures = {}
+    for n in (150, 600):
+        rows = near_misses(n)
+        rows += [(1000, rows[3][1].replace("b7 ", "")), (1001, rows[n - 1][1] + " more words at the end")]
+        seen = []
+        monkeypatch.setattr(N, "_dealt", lambda df, *keys, seen=seen: (seen.append(df.count()), dealt(df, *keys))[1])
+        got = {r["doc_id"]: r["component_id"] for r in near_groups(documents(spark, rows)).collect()}
+        assert got == {i: i for i, _ in rows} | {1000: 3, 1001: n - 1}
+        figures[n] = sum(seen[1:])  # the first is of buckets' centers
+    assert figures[600] < 6 * max(figures[150], 100), figures
+
+
+def test_prefixes_meet():
+    """Sets of the similarity share a shingle among the rarest ones, whatever their sizes."""
+    from eventlens.llm.near_dedup import prefix_sizes
+
+    rng = random.Random(2)
+    for _ in range(4000):
+        n, percent = rng.randint(1, 60), rng.choice([50, 75, 80, 100])
+        both = rng.randint(1, n)
+        one = set(range(n))
+        two = set(range(n - both, n)) | {1000 + i for i in range(rng.randint(0, 40))}
+        small, large = sorted((one, two), key=len)
+        if 100 * len(small & large) < percent * len(small | large):
+            continue
+        order = {t: rng.random() for t in small | large}
+        first = lambda s, k: set(sorted(s, key=order.get)[:k])
+        assert first(small, prefix_sizes(len(small), percent)[0]) & first(large, prefix_sizes(len(large), percent)[1])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 11])
 def test_near_trees(spark, seed):
     """Versions made from versions: members of several components are near one center."""
     rows = edit_trees(seed)
