@@ -17,8 +17,10 @@ length and digest from the payload, return none) or ``skip`` (headers only).
 Both sides use ``pyarrow.fs``, which opens local, HDFS and object-store paths
 on executors.  Foreign archives (no sidecar, no extra field) are read whole.
 
-Edge cases: null payloads are empty; null urls have no target header; an empty
-table writes archives without records; repeated ids are separate records.
+Edge cases: null payloads are empty; null urls have no target header; a record
+with a null id has no id header, is no response that others refer to while one
+with an id has its payload, and refers to that one; an empty table writes
+archives without records; repeated ids are separate records.
 """
 
 from __future__ import annotations

@@ -351,6 +351,31 @@ def test_language_id_awkward(spark):
     assert keep_identified(documents(spark, [])).count() == 0
 
 
+def test_chat_of_very_long_texts_and_many_turns_of_one_number(spark):
+    long, many = "é" * 300_000, 3000
+    rows = [(1, 0, "a", long), (1, 1, "b", "x")] + [(2, 5, "a" if i % 2 else "b", f"t{i}") for i in range(many)]
+    got = {(r["conv_id"], r["speaker"]): r for r in rotate(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    one = got[1, "a"]
+    assert one["mask"] == f"{len('<|im_start|>assistant') + 1}:{len('<|im_start|>assistant') + 1 + len(long) + 10}" and long in one["text"]
+    spans = [tuple(map(int, x.split(":"))) for x in got[2, "a"]["mask"].split(",")]
+    texts = [got[2, "a"]["text"][a:b] for a, b in spans]
+    assert sorted(texts) == sorted(f"t{i}<|im_end|>" for i in range(1, many, 2)) and got[2, "a"]["n_turns"] == many
+
+
+def test_spans_of_many_matches(spark):
+    """40,000 secrets in one document, placed in time that grows in proportion."""
+    import time
+
+    text = " é ".join(f"token = abcdefghij{i:08d}" for i in range(40_000))
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    find_secrets(docs.limit(0)).collect()
+    start = time.perf_counter()
+    (row,) = find_secrets(docs).collect()
+    assert time.perf_counter() - start < 30
+    step = len("token = abcdefghij00000000 é ")
+    assert [(s["start"], s["end"]) for s in row["spans"]] == [(i * step, i * step + step - 3) for i in range(40_000)]
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "system", "be brief"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "<|im_end|>"), (1, None, "ann", "first"),

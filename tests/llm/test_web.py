@@ -241,6 +241,18 @@ def test_ratios_against_their_definition(seed):
     assert {named[p]: pytest.approx(s) for p, s in got.items()} == want
 
 
+def test_null_ids_in_archives(spark):
+    rows = [(None, "u", "<p>a</p>"), (4, "u", "<p>a</p>"), (None, "u", "<p>b</p>"), (None, "u", "<p>b</p>")]
+    got = archive_round_trip(table(spark, rows)).collect()
+    assert sorted((r["record_id"] or "", r["record_type"], r["refers_to"]) for r in got if r["payload_digest"] == digest_of(b"<p>a</p>")) == [("", "revisit", "4"), ("4", "response", None)]
+    assert [(r["record_id"], r["record_type"]) for r in got if r["payload_digest"] == digest_of(b"<p>b</p>")] == [(None, "response")] * 2
+
+
+def test_extract_with_columns_of_its_results(spark):
+    rows = spark.createDataFrame([(1, "u", FRAME % ARTICLE, "t", 5)], "page_id bigint, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in extract(rows).collect()] == [(1, "u", TEXT, len(TEXT))]
+
+
 def test_extract(spark):
     rows = [(1, "u", FRAME % ARTICLE), (1, "u", FRAME % ARTICLE), (2, None, None), (None, "u", "x" * 200_000)]
     got = extract(table(spark, rows))
