@@ -59,7 +59,8 @@ class Damaged(Exception):
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
+    """The file system of a path or URI (Spark's ``s3a`` is ``s3`` here), and the path there."""
+    return pafs.FileSystem.from_uri(f"s3://{path[6:]}" if path.startswith("s3a://") else path)
 
 
 def read_json(path: str):
@@ -371,7 +372,8 @@ def _joined(target: str) -> callable:
                 size = 0
                 with fs.open_output_stream(posixpath.join(root, row["name"]), compression=None) as out:
                     for part in row["parts"]:
-                        with fs.open_input_stream(filesystem(part)[1], compression=None) as f:
+                        theirs, at = filesystem(part)
+                        with theirs.open_input_stream(at, compression=None) as f:
                             while data := f.read(1 << 20):
                                 out.write(data)
                                 size += len(data)
