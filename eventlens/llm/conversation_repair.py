@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import inf
 
 import pandas as pd
 import pyarrow as pa
