@@ -299,13 +299,11 @@ FROM tot t JOIN pairs p ON p.repo = t.repo GROUP BY t.repo_rank, t.repo, t.total
 , tot AS (
   SELECT * FROM (SELECT repo, count(*) AS total, row_number() OVER (ORDER BY count(*) DESC, repo) AS repo_rank
                  FROM s GROUP BY repo) x WHERE repo_rank <= 15
-)
-SELECT CAST(repo_rank AS BIGINT) AS repo_rank, repo, CAST(total AS BIGINT) AS total,
-  """ + ",\n  ".join(
-        f"CAST(count_if(type = '{t}') AS BIGINT) AS \"{t}\""
-        for t in ["ForkEvent", "IssuesEvent", "PullRequestEvent", "PushEvent", "Unknown", "WatchEvent", *[f"Kind{i}Event" for i in range(23)]]
-    ) + """
-FROM s JOIN tot USING (repo) GROUP BY repo_rank, repo, total""",
+), t AS (SELECT DISTINCT type FROM s)
+, cells AS (
+  SELECT CAST(repo_rank AS BIGINT) AS repo_rank, repo, CAST(total AS BIGINT) AS total, t.type, count(s.event_id) AS n
+  FROM tot CROSS JOIN t LEFT JOIN s USING (repo, type) GROUP BY ALL)
+SELECT * FROM (PIVOT cells ON type USING CAST(sum(n) AS BIGINT) GROUP BY repo_rank, repo, total)""",
     "metrics_long": BASE + "\nSELECT kind, name, event_type, value FROM ml",
     "run_counters": BASE + """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM s) AS records,
