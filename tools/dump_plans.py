@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEY = ["report_long", "top_push_repos", "repo_type_matrix_top15", "run_counters", "all_users", "schema_profile",
-       "leader_headline", "first_n_lines"]
+       "leader_headline", "first_n_lines", "required_fields", "discovery_document", "repo_type_matrix_wide", "dataset_summary"]
 
 
 def main() -> None:
