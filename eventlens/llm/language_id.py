@@ -10,11 +10,11 @@ nor a worker holds them.
 
 Scoring: a text's cross-entropy per character under every model; the lowest
 wins.  ``score`` is the winner's share of the likelihoods at a temperature
-fitted on training texts.  Rejection is calibrated per language on a bounded
-sample of ``CALIBRATION_DOCS`` training rows a language: a text is rejected
-when its cross-entropy exceeds the sample's mean by ``REJECT_DEVIATIONS``
-deviations (widened for short texts) and is over twice the mean besides, or
-when it has no letters.
+fitted on the training texts.  Rejection is calibrated per language, both on
+every labelled training row with letters: a text is rejected when its
+cross-entropy exceeds the language's median by ``REJECT_DEVIATIONS`` deviations
+(scaled median ones, widened for short texts) and is over twice the median
+besides, or when it has no letters.  The medians are exact, found by counting.
 
 Edge cases: null or letterless texts are ``und`` with score 0; rows without a
 label train nothing and are scored; with no labelled rows everything is
@@ -24,26 +24,32 @@ and kept by ``keep_identified``.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm.char_lm import ORDER, SPACE, LanguageModels, folded, packed, padded, summed
 from eventlens.llm.common import plain, small_batches
 from eventlens.llm.kneser_ney_tables import Tables, entropies, estimate
-from eventlens.session import materialize, release
+from eventlens.session import materialize, release, release_since, scratch_mark
 
 #: 4-grams that a task holds per language before it passes them on.
 TASK_GRAMS = 1_000_000
 #: (language, 4-gram) pairs, about 12 bytes each, that may go to every worker.
 MODEL_GRAMS = 10_000_000
-CALIBRATION_DOCS = 500
 REJECT_DEVIATIONS = 8.0
+TEMPERATURES = [0.05 * 1.5**k for k in range(12)]
+#: Bins that a round of ``medians`` counts a language's values in.
+BINS = 1024
 UNKNOWN = "und"
+#: A training text's cross-entropy under its own language, and its loss at every temperature.
+_OWN = "lang string, h double, loss array<double>"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,34 +109,13 @@ def sorted_arrays(counts: DataFrame) -> LanguageModels:
     return LanguageModels(counted)
 
 
-class Calibration:
-    """Per language the mean and deviation of the cross-entropy, and a
-    temperature, from a sample of (language, cross-entropies)."""
-
-    def __init__(self, languages: list[str], sample: Iterable[tuple[str, np.ndarray]]):
-        self.mean = np.full(len(languages), np.inf)
-        self.deviation = np.zeros(len(languages))
-        at = {x: i for i, x in enumerate(languages)}
-        own: dict[int, list[float]] = {}
-        margins, right = [], []
-        for lang, h in sample:
-            if lang not in at:
-                continue
-            own.setdefault(at[lang], []).append(float(h[at[lang]]))
-            margins.append(h - h.min())
-            right.append(at[lang])
-        for i, values in own.items():
-            self.mean[i] = np.median(values)
-            self.deviation[i] = 1.4826 * np.median(np.abs(np.array(values) - self.mean[i])) + 1e-3
-        self.temperature = 1.0
-        if margins:
-            gaps, wanted = np.array(margins), np.array(right)
-
-            def loss(t: float) -> float:
-                z = -gaps / t
-                return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), wanted]).mean())
-
-            self.temperature = min((0.05 * 1.5**k for k in range(12)), key=loss)
+class Calibration(NamedTuple):
+    """Per language the median and deviation of the cross-entropy, and a
+    temperature."""
+
+    mean: np.ndarray
+    deviation: np.ndarray
+    temperature: float
 
     def verdict(self, entropies: np.ndarray, units: int) -> tuple[int, float, bool]:
         """Best language, its score, and whether the text (of so many folded units) is rejected."""
@@ -142,6 +127,78 @@ class Calibration:
         return best, score, bool(over > slack and over > self.mean[best])
 
 
+def medians(values: DataFrame) -> dict[str, float]:
+    """The exact median of ``h`` in every ``lang``.  Each round counts the
+    values between the bounds known so far in bins, and the ends of the values
+    in the middle's bin are the next bounds, so that neither a task nor the
+    driver holds a language's values."""
+    spark = values.sparkSession
+    ends = values.groupBy("lang").agg(F.count(F.lit(1)), F.min("h"), F.max("h")).collect()
+    # (language, middle rank) -> the values before the bounds, and the bounds
+    bounds = {(lang, k): (0, lo, hi) for lang, n, lo, hi in ends for k in ((n - 1) // 2, n // 2)}
+    while wide := [(*key, lo, hi) for key, (_, lo, hi) in bounds.items() if lo < hi]:
+        asked = F.broadcast(spark.createDataFrame(wide, "lang string, k long, lo double, hi double"))
+        place = F.least(F.floor((F.col("h") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
+        inside = values.join(asked, "lang").filter(F.col("h").between(F.col("lo"), F.col("hi")))
+        bins = inside.groupBy("lang", "k", place.alias("place")).agg(F.count(F.lit(1)), F.min("h"), F.max("h"))
+        counted = defaultdict(list)
+        for lang, k, *found in sorted(bins.collect()):
+            counted[lang, k].append(found)
+        for (lang, k), found in counted.items():
+            before = bounds[lang, k][0]
+            for _, n, lo, hi in found:
+                if k < before + n:
+                    bounds[lang, k] = before, lo, hi
+                    break
+                before += n
+    return {lang: (bounds[lang, (n - 1) // 2][1] + bounds[lang, n // 2][1]) / 2 for lang, n, _, _ in ends}
+
+
+def calibrate(own: DataFrame, languages: list[str]) -> Calibration:
+    """The calibration by all rows of ``own`` (lang, h, loss)."""
+    rows = materialize(own, "calibration")
+    loss = rows.agg(*[F.sum(F.get("loss", F.lit(i))) for i in range(len(TEMPERATURES))]).first()
+    temperature = TEMPERATURES[int(np.argmin(loss))]
+    middle = medians(rows.select("lang", "h"))
+    known = F.broadcast(own.sparkSession.createDataFrame(list(middle.items()), "lang string, middle double"))
+    off = medians(rows.join(known, "lang").select("lang", F.abs(F.col("h") - F.col("middle")).alias("h")))
+    release(rows)
+    deviation = [1.4826 * off[x] + 1e-3 for x in languages]
+    return Calibration(np.array([middle[x] for x in languages]), np.array(deviation), temperature)
+
+
+def _owned(languages: list[str], found: Iterable[tuple[str, np.ndarray]]) -> pa.RecordBatch:
+    """``_OWN`` of (language, cross-entropies under all languages)."""
+    at = {x: i for i, x in enumerate(languages)}
+    langs, own, losses = [], [], []
+    for lang, h in found:
+        z = (h.min() - h) / np.array(TEMPERATURES)[:, None]
+        langs.append(lang)
+        own.append(float(h[at[lang]]))
+        losses.append(np.log(np.exp(z).sum(axis=1)) - z[:, at[lang]])
+    kinds = [pa.string(), pa.float64(), pa.list_(pa.float64())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((langs, own, losses), kinds, strict=True)], ["lang", "h", "loss"])
+
+
+def _own_by_arrays(shared: Broadcast) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = shared.value
+        for batch in batches:
+            texts = ((x, folded(t.as_py())) for x, t in zip(batch.column("lang").to_pylist(), utf8(batch.column("text")), strict=True))
+            yield _owned(models.languages, ((x, models.entropies(units)) for x, units in texts if (units != SPACE).any()))
+
+    return run
+
+
+def _own_by_tables(languages: list[str]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = zip(batch.column("lang").to_pylist(), map(np.array, batch.column("entropies").to_pylist()), strict=True)
+            yield _owned(languages, found)
+
+    return run
+
+
 def _scorer(shared, text_at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, calibration = shared.value
@@ -164,14 +221,15 @@ def _scorer(shared, text_at: int) -> Callable:
     return run
 
 
-def _sample(labelled: DataFrame) -> DataFrame:
-    """(lang, text): at most CALIBRATION_DOCS rows of each language."""
-    named = labelled.filter(F.col("lang").isNotNull())
-    sizes = F.broadcast(named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
-    place = F.pmod(F.xxhash64("doc_id"), F.col("rows"))
-    order = Window.partitionBy("lang").orderBy("place")
-    some = named.join(sizes, "lang").withColumn("place", place).filter(place < 3 * CALIBRATION_DOCS).select("lang", "place", "text")
-    return some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CALIBRATION_DOCS).select("lang", "text")
+class ArrayModel(NamedTuple):
+    """A model that every worker holds."""
+
+    models: Broadcast
+    calibration: Calibration | None
+
+    @property
+    def value(self) -> tuple[LanguageModels | None, Calibration | None]:
+        return self.models.value, self.calibration
 
 
 class TableModel(NamedTuple):
@@ -181,25 +239,27 @@ class TableModel(NamedTuple):
     calibration: Calibration
 
 
-def fit(labelled: DataFrame):
-    """What is learnt from ``labelled`` (doc_id, text, lang): a broadcast
-    (models, calibration), or a ``TableModel`` where that would be too large."""
+def fit(labelled: DataFrame) -> ArrayModel | TableModel:
+    """What is learnt from ``labelled`` (text, lang): models in arrays that are
+    broadcast, or in tables where they would be too large, calibrated on every
+    row that has a label."""
     spark = labelled.sparkSession
     counts = count_grams(labelled)
     size = counts.count()
+    named = labelled.filter(F.col("lang").isNotNull()).select("lang", "text")
     if size > MODEL_GRAMS:
         tables = estimate(counts)
-        some = materialize(_sample(labelled).withColumn("row_id", F.monotonically_increasing_id()), "calibration")
-        found = entropies(tables, some.select("row_id", F.encode("text", "UTF-8").alias("text"))).join(some.select("row_id", "lang"), "row_id")
-        sample = ((r["lang"], np.array(r["entropies"])) for r in found.select("lang", "entropies").toLocalIterator())
-        return TableModel(tables, Calibration(tables.languages, sample))
-    models = sorted_arrays(counts) if size else None
+        mark = scratch_mark()
+        rows = materialize(named.withColumn("row_id", F.monotonically_increasing_id()), "calibration-rows")
+        found = entropies(tables, rows.select("row_id", F.encode("text", "UTF-8").alias("text"))).join(rows.select("row_id", "lang"), "row_id")
+        calibration = calibrate(found.select("lang", "entropies").mapInArrow(_own_by_tables(tables.languages), _OWN), tables.languages)
+        release_since(spark, mark)
+        return TableModel(tables, calibration)
+    models = spark.sparkContext.broadcast(sorted_arrays(counts) if size else None)
     release(counts)
-    calibration = None
-    if models is not None:
-        lettered = ((r["lang"], folded((r["text"] or "").encode())) for r in _sample(labelled).toLocalIterator())
-        calibration = Calibration(models.languages, ((x, models.entropies(units)) for x, units in lettered if (units != SPACE).any()))
-    return spark.sparkContext.broadcast((models, calibration))
+    if not size:
+        return ArrayModel(models, None)
+    return ArrayModel(models, calibrate(named.mapInArrow(_own_by_arrays(models), _OWN), models.value.languages))
 
 
 def _judge(model: TableModel) -> Callable:

@@ -351,6 +351,38 @@ def test_language_id_awkward(spark):
     assert keep_identified(documents(spark, [])).count() == 0
 
 
+def test_medians(spark):
+    """Exact, with ties, neighbouring numbers and an even number of values."""
+    from eventlens.llm.language_id import medians
+
+    rng = np.random.default_rng(5)
+    near = [1.0, float(np.nextafter(1.0, 2)), float(np.nextafter(np.nextafter(1.0, 2), 2))]
+    values = {"a": rng.exponential(2, 2001).tolist(), "b": rng.normal(0, 1e9, 1500).tolist(), "c": [3.5], "d": [0.0] * 700 + [1.0] * 700, "e": near, "f": [1e-300, 2.0, 2.0, 1e300]}
+    rows = spark.createDataFrame([(x, v) for x, vs in values.items() for v in vs], "lang string, h double").repartition(5)
+    assert medians(rows) == {x: float(np.median(vs)) for x, vs in values.items()}
+    assert medians(rows.limit(0)) == {}
+
+
+def test_language_id_calibrates_on_every_row(spark):
+    """Medians and temperature are those of all labelled rows, however many a language has."""
+    from eventlens.llm.language_id import TEMPERATURES
+
+    rng = np.random.default_rng(6)
+    letters = {"xx": list("abcdef  "), "yy": list("defghij "), "zz": list("abcxyz ")}
+    rows = [(x, "".join(rng.choice(letters[x], int(rng.integers(3, 60))))) for x, n in (("xx", 1501), ("yy", 1200), ("zz", 7)) for _ in range(n)]
+    rows += [("xx", None), ("yy", "12"), (None, "abc")]
+    labelled = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    models, calibration = fit(labelled).value
+    units = [(models.languages.index(x), folded((t or "").encode())) for x, t in rows if x]
+    scored = [(i, models.entropies(u)) for i, u in units if (u != 32).any()]
+    for i in range(3):
+        own = np.array([h[i] for x, h in scored if x == i])
+        assert calibration.mean[i] == np.median(own)
+        assert calibration.deviation[i] == 1.4826 * np.median(np.abs(own - np.median(own))) + 1e-3
+    loss = lambda t: np.mean([np.log(np.exp((h.min() - h) / t).sum()) + (h[i] - h.min()) / t for i, h in scored])
+    assert calibration.temperature == min(TEMPERATURES, key=loss)
+
+
 def test_chat_of_very_long_texts_and_many_turns_of_one_number(spark):
     long, many = "é" * 300_000, 3000
     rows = [(1, 0, "a", long), (1, 1, "b", "x")] + [(2, 5, "a" if i % 2 else "b", f"t{i}") for i in range(many)]
