@@ -1,6 +1,8 @@
 """Golden edge lines: one or more per ragged case (C1-C12) and per
 quarantine reason, checked field by field after parse + normalize."""
 
+from collections import Counter
+
 from conftest import lines_df
 
 from eventlens.operators.normalize import normalize
@@ -187,3 +189,37 @@ def test_commit_fallback_without_ansi(spark):
         assert got == {"1": 0, "2": 2}
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_profile_counts_in_the_task(spark, monkeypatch):
+    """A task adds its lines' states up before they are shuffled, in a table
+    of bounded size, with the variant's rules for numbers and repeated keys."""
+    import pyarrow as pa
+
+    from eventlens.operators import schema_profile as S
+
+    lines = [
+        '{"a":9223372036854775807,"b":-9223372036854775809,"c":1.0,"d":-0,"e":1e400,"f":[],"g":[[1],["x",null]]}',
+        '{"a":1,"a":"x","a.b":{"":true},"z[]":[3],"\\ud800":{}}',
+        '{"g":[[2.5]],"a":null}',
+    ]
+    want = {
+        "a": ("long,null,string", 3), "b": ("double", 1), "c": ("double", 1), "d": ("long", 1), "e": ("double", 1), "f": ("array", 1),
+        "g": ("array", 2), "g[]": ("array", 2), "g[][]": ("double,long,null,string", 2), "`a.b`": ("struct", 1), "`a.b`.``": ("boolean", 1),
+        "`z[]`": ("array", 1), "`z[]`[]": ("long", 1), "?": ("struct", 1),
+    }
+    got = {r["path"]: (r["types_seen"], r["present_rows"]) for r in S.schema_profile(lines_df(spark, [*lines, "[1]", "", '{"a":NaN}'])).collect()}
+    assert got == want
+
+    batch = pa.RecordBatch.from_arrays([pa.array([x.encode() for x in lines * 500])], ["line"])
+    whole = [b for b in S._counted(iter([batch, batch]))]
+    assert len(whole) == 1 and whole[0].num_rows < 40
+    monkeypatch.setattr(S, "TASK_STATES", 5)
+    parts = [b for b in S._counted(iter([batch, batch]))]
+    assert len(parts) > 100 and max(b.num_rows for b in parts) < 30
+    sums = Counter()
+    for b in parts:
+        for r in b.to_pylist():
+            sums[r["path"], r["type"], r["elem"]] += r["n"]
+    assert dict(sums) == {(r["path"], r["type"], r["elem"]): r["n"] for r in whole[0].to_pylist()}
+    assert sums[None, None, None] == 3000
