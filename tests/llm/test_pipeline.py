@@ -3,6 +3,7 @@
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from fixtures import awkward_texts, documents
 from pyspark.sql import functions as F
@@ -87,3 +88,16 @@ def test_stages_keep_the_columns(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_language_stage_rejects_by_all_rows(spark):
+    """600 texts of one kind and 599 of another: the middle of all rows is in
+    the first kind, while half of the rows may as well have it in the other."""
+    import zlib
+
+    rng = np.random.default_rng(7)
+    ids = [i for i in range(2400) if zlib.crc32(str(i).encode()) % 4 != 2][:1199]
+    first = set(ids[::2])
+    text = lambda i: "the cat sat on the mat " * 8 if i in first else "".join(map(chr, rng.integers(0x4E00, 0x9000, 60)))
+    docs = spark.createDataFrame([(i, text(i), "xx") for i in ids], "doc_id long, text string, lang string").repartition(2)
+    assert {r["doc_id"] for r in keep_identified(docs).collect()} == first
