@@ -101,3 +101,16 @@ def test_language_stage_rejects_by_all_rows(spark):
     text = lambda i: "the cat sat on the mat " * 8 if i in first else "".join(map(chr, rng.integers(0x4E00, 0x9000, 60)))
     docs = spark.createDataFrame([(i, text(i), "xx") for i in ids], "doc_id long, text string, lang string").repartition(2)
     assert {r["doc_id"] for r in keep_identified(docs).collect()} == first
+
+
+def test_language_stage_learns_from_every_labelled_row(spark):
+    """A language whose rows all have ids that ``held_out`` picks."""
+    import zlib
+
+    rng = np.random.default_rng(11)
+    is_out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    ids = [i for i in range(800) if not is_out(i)][:200] + [i for i in range(800) if is_out(i)][:60]
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    text = lambda i: " ".join(word("αβγδεζηθ" if is_out(i) else "abcdefgh") for _ in range(40))
+    docs = spark.createDataFrame([(i, text(i), "el" if is_out(i) else "en") for i in ids], "doc_id long, text string, lang string").repartition(2)
+    assert {r["doc_id"] for r in keep_identified(docs).collect()} == set(ids)
