@@ -28,7 +28,9 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +50,12 @@ _LOADED: dict = {}
 #: Words of these letters only are cut here by the vocabulary's own rules
 #: (fixed pattern): composed characters whose lower case is one character.
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u017e0-9]+")
+_PLAIN_LINES = re.compile("[\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]*")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|\n|[^a-z\u00df-\u00f6\u00f8-\u017e0-9\n]+")
+#: The only id of a line break, which stands between words that are coded together.
+_BREAK = 0xFFFFFFFF
+#: Words of a text whose ids are put together at once.
+_WORDS = 1 << 18
 
 #: The rules of the vocabularies that words may be cut for (fixed values).
 RULES = {
@@ -85,8 +92,12 @@ class PieceIds(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if piece == "\n":
+            found = [_BREAK]
+        else:
+            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            found = [t.id for t in self.model.tokenize(shown)]
+        ids = self[piece] = array("I", found).tobytes()
         return ids
 
 
@@ -128,6 +139,46 @@ class WordIds(dict):
     def encode(self, text: bytes | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or b"").split()))
 
+    def encode_all(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+        """The ids of every text, ``end_id`` last; what ``encode`` gives, but
+        each of the texts' distinct words is coded once."""
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()).fill_null(""))
+        place = words.flatten().dictionary_encode()
+        at, ends = place.indices.to_numpy(), np.cumsum(pc.list_value_length(words).to_numpy()).tolist()
+        ids, first, n = self._distinct(place.dictionary)
+        start, end = 0, np.array([end_id], "<u4")
+        for stop in ends:
+            parts = []
+            for i in range(start, stop, _WORDS):
+                mine = at[i : min(i + _WORDS, stop)]
+                to = np.cumsum(n[mine])
+                parts.append(ids[np.arange(to[-1]) + np.repeat(first[mine] + n[mine] - to, n[mine])])
+            yield np.concatenate([*parts, end])
+            start = stop
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them each word's begin and how many it has."""
+        text = pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
+        held = [s for s in self.special if s in text]
+        odd = []
+        if held or not _PLAIN_LINES.fullmatch(text):
+            lines = text.split("\n")
+            odd = [i for i, w in enumerate(lines) if w and not (_PLAIN.fullmatch(w) and not any(s in w for s in held))]
+            whole = [np.frombuffer(self[lines[i].encode()], "<u4") for i in odd]
+            for i in odd:
+                lines[i] = ""
+            text = "\n".join(lines)
+        coded = np.frombuffer(b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower()))), "<u4")
+        breaks = np.flatnonzero(coded == _BREAK)
+        ids = coded[coded != _BREAK]
+        bounds = np.concatenate([[0], breaks - np.arange(len(breaks)), [len(ids)]])
+        first, n = bounds[:-1], np.diff(bounds)
+        if odd:
+            n[odd] = [len(x) for x in whole]
+            first[odd] = len(ids) + np.cumsum(n[odd]) - n[odd]
+            ids = np.concatenate([ids, *whole])
+        return ids, first, n
+
 
 def word_ids(vocabulary: str) -> WordIds:
     if vocabulary not in _LOADED:

@@ -67,6 +67,8 @@ MANIFEST = "_manifest.json"
 FILE_IDS = 16 << 20
 #: Blocks packed, or read, at once.
 _AT_ONCE = 4096
+#: Bytes of rows that a task codes together.
+_BYTES = 8 << 20
 _HEAD, _FOOT = np.dtype([("least", "<u4"), ("width", "u1"), ("patches", "u1")]), struct.Struct("<QQQQQ8s")
 _PATCH = np.dtype([("at", "u1"), ("bits", "<u4")])
 _NULL = 1 << 31
@@ -203,6 +205,20 @@ class _File:
         return {"file": self.name, "ids": self.ids, "documents": len(self.lengths)}
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one of ``_BYTES`` at most, unless one has more:
+    the more words are coded together, the fewer of them are distinct."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > _BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 class Written(WriterCommitMessage):
     def __init__(self, task: int, files: list[dict]):
         self.task, self.files = task, files
@@ -213,20 +229,19 @@ class BlockWriter(DataSourceArrowWriter):
         self.path, self.file_ids = options["path"], int(options.get("file_ids", FILE_IDS))
         self.vocabulary, self.end_id = options.get("vocabulary", VOCABULARY), int(options.get("end_id", END_ID))
 
-    def _coded(self, batch: pa.RecordBatch) -> Iterator[bytes]:
+    def _coded(self, batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         if "ids" in batch.schema.names:
-            return (ids.as_py() for ids in batch.column("ids"))
-        coder, end = word_ids(self.vocabulary), self.end_id.to_bytes(4, "little")
-        return (coder.encode(text.as_py()) + end for text in batch.column("text"))
+            return (np.frombuffer(ids.as_py(), "<u4") for ids in batch.column("ids"))
+        return word_ids(self.vocabulary).encode_all(batch.column("text"), self.end_id)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = filesystem(self.path)
         fs.create_dir(root, recursive=True)
         done, now = [], None
-        for batch in iterator:
+        for batch in _gathered(iterator):
             for name, ids in zip(batch.column("doc_id"), self._coded(batch), strict=True):
                 now = now or _File(fs, root, f"part-{uuid.uuid4().hex}.tkb")
-                now.add(name.as_py(), np.frombuffer(ids, "<u4"))
+                now.add(name.as_py(), ids)
                 if now.ids >= self.file_ids:
                     done, now = [*done, now.close()], None
         if now:

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from fixtures import awkward_texts, documents, words
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from eventlens.llm import packing
 from eventlens.llm import token_blocks as T
 from eventlens.session import scratch_path
 
@@ -113,3 +115,29 @@ def test_ids_of_any_coding_are_written(spark):
     spark.createDataFrame(rows, "doc_id string, ids binary").coalesce(1).write.format("token_blocks").mode("append").save(path)
     got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids"]) for r in T.read_tokens(spark, path).collect()}
     assert got["a"] == (0, 3, [7, 2**32 - 1, 0]) and got["b"][:2] == (3, 0) and got[None] == (3, 1000, list(range(1000)))
+
+
+@pytest.mark.parametrize("at_once", [packing._WORDS, 3])
+def test_texts_coded_together(monkeypatch, at_once):
+    monkeypatch.setattr(packing, "_WORDS", at_once)
+    texts = [t for _, t in awkward_texts()] + [None, "", " \t\n", "\n a  b\x0b\x0cc \r", "It's WE'LL 'S 12a\"'s", "<|endoftext|> x<|startoftext|>y z", "é É e\u0301 ŒUVRE İ ß", "a\x1cb\u00a0c\u2028d", "日本 語 日本"]
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    coder = packing.WordIds(packing.VOCABULARY)
+    for given in (pa.array(texts), pa.array([t if t is None else t.encode() for t in texts], pa.binary()), pa.array(["x", *texts, "y"]).slice(1, len(texts))):
+        assert [x.tolist() for x in coder.encode_all(given, 7)] == expected
+    assert list(coder.encode_all(pa.array([], pa.string()), 7)) == []
+
+
+def test_a_word_is_coded_once_for_many_rows(spark, monkeypatch):
+    """In batches of 256 rows, words of all rows are still coded together."""
+    asked = []
+    coder = packing.WordIds(packing.VOCABULARY)
+    distinct = coder._distinct
+    monkeypatch.setattr(coder, "_distinct", lambda words: asked.extend(words.to_pylist()) or distinct(words))
+    monkeypatch.setitem(packing._LOADED, packing.VOCABULARY, coder)
+    rows = pa.RecordBatch.from_pydict({"doc_id": [str(i) for i in range(1000)], "text": [f"some words of row{i % 7}, again".encode() for i in range(1000)]})
+    path = scratch_path(spark, "tokens")
+    monkeypatch.setattr(T.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    T.BlockWriter({"path": path}).write(iter([rows.slice(i, 256) for i in range(0, 1000, 256)]))
+    assert sorted(asked) == sorted(["some", "words", "of", "again", *[f"row{i}," for i in range(7)]])
